@@ -1,0 +1,25 @@
+"""Finding the keys that are too large for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A key is heavy from one thousandth of all rows on, so there are at most a thousand heavy keys.
+HEAVY_SHARE = 0.001
+# Below this many rows a key is never worth splitting.
+HEAVY_ROWS = 1_000_000
+
+
+def heavy_keys(
+    df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, min_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows and at least ``min_rows`` rows.
+
+    The result has at most ``1 / share`` rows whatever the input, so broadcasting it is safe.
+    Counting is pre-aggregated on the map side.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
+    heavy = (F.col("_rows") >= min_rows) & (F.col("_rows") >= total * F.lit(share))
+    return counts.where(F.col("_rows") >= min_rows).where(heavy).select(*keys)
