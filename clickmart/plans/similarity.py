@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.functions import strength
@@ -13,6 +13,8 @@ from clickmart.operators.ranking import top_n
 
 # Products with more users than this are searched through their strongest users first.
 PROBE_DEPTH = 1000
+# Most parts that the users of one product are split into while they are searched.
+MAX_PARTS = 4096
 # How much deeper the search goes for users whose result is not certain yet.
 DEEPER = 8
 # Bounds are floating-point sums; a score has to beat its bound by more than their error.
@@ -113,69 +115,83 @@ def similar_users(
     no unseen user can reach the list.
     """
     raw = user_vectors(interactions)
+    index = _user_index(user_norms(raw, mode))
     vectors = materialize(
-        raw.join(user_norms(raw, mode), "user_id").select("user_id", "product_id", "weight", "norm")
-    )
-    wanted = vectors if targets is None else vectors.join(
-        targets.select("user_id").distinct(), "user_id", "left_semi"
+        raw.join(index, "user_id").select("uid", "product_id", "weight", "norm")
     )
+    asked = index
+    if targets is not None:
+        asked = index.join(targets.select("user_id").distinct(), "user_id", "left_semi")
     sizes = vectors.groupBy("product_id").agg(F.count("*").alias("users"))
-    crowded = sizes.where(F.col("users") > depth)
-    if crowded.isEmpty():
-        dots = _mirrored_dots(vectors) if targets is None else _dots(wanted, vectors)
-        return _fill(_best(dots, k), wanted, vectors, k)
+    if sizes.where(F.col("users") > depth).isEmpty():
+        dots = _mirrored_dots(vectors) if targets is None else _dots(_of(vectors, asked), vectors)
+        found = _best(dots, k)
+    else:
+        everybody = targets is None
+        found = _search(vectors, materialize(sizes), asked.select("uid"), everybody, k, depth)
+    return _complete_lists(found, asked, index, k)
+
+
+_PAIR = ["uid", "other"]
+
+
+def _user_index(norms: DataFrame) -> DataFrame:
+    """Users with a number that follows the order of their ids.
+
+    Pairs are then pairs of numbers, which hash and sort faster than text. The numbers only live
+    in this written table and never leave the plan.
+    """
+    ordered = norms.orderBy("user_id")
+    return materialize(ordered.withColumn("uid", F.monotonically_increasing_id()))
 
-    crowded = materialize(crowded)
-    full = vectors.join(crowded, "product_id", "left_anti")
-    dots = (
-        _mirrored_dots(full)
-        if targets is None
-        else _dots(wanted.join(crowded, "product_id", "left_anti"), full)
-    )
-    found = _search_crowded(
-        wanted.join(crowded, "product_id", "left_semi"),
-        vectors.join(crowded, "product_id", "left_semi"),
-        crowded,
-        materialize(dots),
-        vectors.select("user_id", "norm").distinct(),
-        k,
-        depth,
-    )
-    return _fill(found, wanted, vectors, k)
 
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-_PAIR = ["user_id", "other_id"]
+
+def _of(vectors: DataFrame, users: DataFrame) -> DataFrame:
+    return vectors.join(users.select("uid"), "uid", "left_semi")
 
 
 def _others(vectors: DataFrame) -> DataFrame:
     return vectors.select(
-        F.col("user_id").alias("other_id"),
+        F.col("uid").alias("other"),
         "product_id",
         F.col("weight").alias("other_weight"),
         F.col("norm").alias("other_norm"),
     )
 
 
-def _dots(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Dot products of every user on the left with everybody else on the right."""
-    return _sum_dots(left.join(_others(right), "product_id").where("user_id <> other_id"))
+def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Users on the left with those on the right who share a product.
+
+    The number of tasks is given: the join multiplies its input, so partitions merged by input
+    size would be far too few.
+    """
+    spread = left.repartition(_tasks(left.sparkSession), "product_id")
+    return spread.join(_others(right), "product_id")
 
 
-def _sum_dots(joined: DataFrame) -> DataFrame:
-    return joined.groupBy(*_PAIR).agg(
+def _sum_dots(met: DataFrame) -> DataFrame:
+    return met.groupBy(*_PAIR).agg(
         F.sum(F.col("weight") * F.col("other_weight")).alias("dot"),
         F.max("norm").alias("norm"),
         F.max("other_norm").alias("other_norm"),
     )
 
 
+def _dots(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Dot products of every user on the left with everybody else on the right."""
+    return _sum_dots(_meet(left, right).where("uid <> other"))
+
+
 def _mirrored_dots(vectors: DataFrame) -> DataFrame:
     """All pairs, each computed once and then given to both users."""
-    once = _sum_dots(vectors.join(_others(vectors), "product_id").where("user_id < other_id"))
-    same = F.struct("user_id", "other_id", "norm", "other_norm")
+    once = _sum_dots(_meet(vectors, vectors).where("uid < other"))
+    same = F.struct("uid", "other", "norm", "other_norm")
     swapped = F.struct(
-        F.col("other_id").alias("user_id"),
-        F.col("user_id").alias("other_id"),
+        F.col("other").alias("uid"),
+        F.col("uid").alias("other"),
         F.col("other_norm").alias("norm"),
         F.col("norm").alias("other_norm"),
     )
@@ -192,8 +208,8 @@ def _best(dots: DataFrame, k: int) -> DataFrame:
     """
     dot = F.col("dot").cast("double")
     ranked = dots.withColumn("strength", dot * dot / F.col("other_norm"))
-    order = [F.desc("strength"), F.asc("other_id")]
-    return top_n(ranked, ["user_id"], order, k, "rank").select(
+    order = [F.desc("strength"), F.asc("other")]
+    return top_n(ranked, ["uid"], order, k, "rank").select(
         *_PAIR,
         "rank",
         "strength",
@@ -201,93 +217,144 @@ def _best(dots: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _search_crowded(
-    wanted: DataFrame,
+def _search(
     vectors: DataFrame,
-    crowded: DataFrame,
-    dots: DataFrame,
-    norms: DataFrame,
+    sizes: DataFrame,
+    open_users: DataFrame,
+    everybody: bool,
     k: int,
     depth: int,
 ) -> DataFrame:
-    """Best users when some products are too crowded to compare everybody.
-
-    ``dots`` is complete for all other products. ``wanted`` and ``vectors`` hold the crowded ones.
-    """
-    share = F.col("weight").cast("double") * F.col("weight") / F.col("norm")
-    vectors = vectors.withColumn("share", share)
-    settled: list[DataFrame] = []
-    open_users: DataFrame | None = None
+    """Best users when some products are too crowded to compare everybody on them."""
     depth = max(depth, k + 1)
+    above = 0
+    dots: DataFrame | None = None
+    settled: list[DataFrame] = []
     while True:
-        mine = wanted if open_users is None else wanted.join(open_users, "user_id", "left_semi")
-        known = dots if open_users is None else dots.join(open_users, "user_id", "left_semi")
-        strongest = materialize(
-            top_n(vectors, ["product_id"], [F.desc("share"), F.asc("user_id")], depth, "place")
-        )
-        # Nobody below the last listed user of a product weighs more on it than that user.
-        tails = (
-            crowded.where(F.col("users") > depth)
-            .join(strongest.where(F.col("place") == depth), "product_id")
-            .select("product_id", F.sqrt("share").alias("tail"))
-        )
-        bounds = (
-            mine.join(tails, "product_id")
-            .groupBy("user_id")
-            .agg(F.sum(F.col("weight") * F.col("tail")).alias("bound"), F.count("*").alias("cut"))
-        )
-        seen = (
-            mine.select("user_id", "product_id")
-            .join(strongest.select("product_id", F.col("user_id").alias("other_id")), "product_id")
-            .where("user_id <> other_id")
-            .select(*_PAIR)
-        )
-        candidates = known.select(*_PAIR).unionByName(seen).distinct()
-        extra = (
-            candidates.join(mine.select("user_id", "product_id", "weight"), "user_id")
-            .join(_others(vectors).drop("other_norm"), ["other_id", "product_id"])
-            .select(*_PAIR, (F.col("weight") * F.col("other_weight")).alias("dot"))
-        )
-        other_norms = norms.select(
-            F.col("user_id").alias("other_id"), F.col("norm").alias("other_norm")
-        )
-        total = (
-            known.select(*_PAIR, "dot")
-            .unionByName(extra)
-            .groupBy(*_PAIR)
-            .agg(F.sum("dot").alias("dot"))
-            .join(norms, "user_id")
-            .join(other_norms, "other_id")
+        # Products that fit the depth by now are compared in full and add to the dot products.
+        fitting = sizes.where((F.col("users") > above) & (F.col("users") <= depth))
+        full = vectors.join(fitting, "product_id", "left_semi")
+        added = _mirrored_dots(full) if everybody and above == 0 else _dots(
+            _of(full, open_users), full
         )
-        found = materialize(_best(total, k))
-        last = found.groupBy("user_id").agg(
+        if dots is not None:
+            added = _merge_dots(_of(dots, open_users).unionByName(added))
+        dots = materialize(added)
+
+        crowded = sizes.where(F.col("users") > depth)
+        if crowded.isEmpty():
+            settled.append(_best(dots, k))
+            return reduce(DataFrame.unionByName, settled)
+
+        found, bounds = _probe(vectors, crowded, dots, open_users, k, depth)
+        last = found.groupBy("uid").agg(
             F.count("*").alias("listed"), F.min("strength").alias("weakest")
         )
-        # Certain: every list was complete; or one list was cut, and then its order is the order
-        # of everybody left; or the weakest listed user beats whatever the unseen can reach.
+        # Certain: one list was cut, and then its order is the order of everybody left; or the
+        # weakest listed user beats whatever the unseen can reach. Users without a crowded product
+        # have no bound and are certain anyway.
         certain = (F.col("listed") == k) & (
             (F.col("cut") == 1) | (F.sqrt("weakest") > F.col("bound") * MARGIN)
         )
         open_users = materialize(
-            bounds.join(last, "user_id", "left")
+            bounds.join(last, "uid", "left")
             .where(~F.coalesce(certain, F.lit(False)))
-            .select("user_id")
+            .select("uid")
         )
-        settled.append(found.join(open_users, "user_id", "left_anti"))
+        settled.append(found.join(open_users, "uid", "left_anti"))
         if open_users.isEmpty():
             return reduce(DataFrame.unionByName, settled)
-        depth *= DEEPER
+        above, depth = depth, depth * DEEPER
+
+
+def _merge_dots(dots: DataFrame) -> DataFrame:
+    return dots.groupBy(*_PAIR).agg(
+        F.sum("dot").alias("dot"),
+        F.max("norm").alias("norm"),
+        F.max("other_norm").alias("other_norm"),
+    )
 
 
-def _fill(best: DataFrame, wanted: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """Complete short lists with the lowest user ids, at similarity 0.
+def _probe(
+    vectors: DataFrame,
+    crowded: DataFrame,
+    dots: DataFrame,
+    open_users: DataFrame,
+    k: int,
+    depth: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Best users among those seen at this depth, and what an unseen user could still reach.
+
+    ``dots`` is complete for all products but the crowded ones.
+    """
+    crowd = vectors.join(crowded, "product_id").withColumn(
+        "share", F.col("weight").cast("double") * F.col("weight") / F.col("norm")
+    )
+    mine = _of(crowd, open_users)
+    # At most ``depth`` users per product, strongest first.
+    strongest = materialize(
+        top_n(crowd, ["product_id"], [F.desc("share"), F.asc("uid")], depth, "place")
+    )
+    # Nobody further down a list weighs more on its product than the last one on it.
+    tails = strongest.where(F.col("place") == depth).select(
+        "product_id", F.sqrt("share").alias("tail")
+    )
+    bounds = (
+        mine.join(tails, "product_id")
+        .groupBy("uid")
+        .agg(F.sum(F.col("weight") * F.col("tail")).alias("bound"), F.count("*").alias("cut"))
+    )
+    # The users of a product are split into parts and its list is copied to each part, so that
+    # however many users share it, a task sees about ``depth`` of them.
+    parts = F.least(F.ceil(F.col("users") / depth), F.lit(MAX_PARTS)).cast("int")
+    copies = strongest.select(
+        "product_id",
+        F.col("uid").alias("other"),
+        F.col("norm").alias("other_norm"),
+        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+    )
+    seen = (
+        mine.select(
+            "uid",
+            "product_id",
+            "norm",
+            F.pmod(F.xxhash64("uid"), parts).cast("int").alias("part"),
+        )
+        .repartition(_tasks(vectors.sparkSession), "product_id", "part")
+        .join(copies, ["product_id", "part"])
+        .where("uid <> other")
+        .select(*_PAIR, F.lit(0).cast("long").alias("dot"), "norm", "other_norm")
+    )
+    candidates = materialize(_merge_dots(_of(dots, open_users).unionByName(seen)))
+    extra = (
+        candidates.join(mine.select("uid", "product_id", "weight"), "uid")
+        .join(_others(crowd).drop("other_norm"), ["other", "product_id"])
+        .select(
+            *_PAIR,
+            (F.col("weight") * F.col("other_weight")).alias("dot"),
+            "norm",
+            "other_norm",
+        )
+    )
+    return materialize(_best(_merge_dots(candidates.unionByName(extra)), k)), bounds
+
+
+def _complete_lists(
+    found: DataFrame, asked: DataFrame, index: DataFrame, k: int
+) -> DataFrame:
+    """Put the ids back and complete short lists with the lowest user ids, at similarity 0.
 
     At most ``k`` ids are taken already, the user's own included, so ``k + 1`` of them suffice.
     """
-    lowest = vectors.select("user_id").distinct().orderBy("user_id").limit(k + 1)
+    lowest = index.orderBy("user_id").limit(k + 1)
     spare = lowest.agg(F.array_sort(F.collect_list("user_id"))).scalar()
+    names = index.select(F.col("uid").alias("other"), F.col("user_id").alias("other_id"))
     entry = F.struct("rank", "other_id", "similarity_score")
-    lists = best.groupBy("user_id").agg(F.array_sort(F.collect_list(entry)).alias("found"))
+    lists = (
+        found.join(names, "other")
+        .groupBy("uid")
+        .agg(F.array_sort(F.collect_list(entry)).alias("found"))
+    )
     taken = F.transform("found", lambda item: item["other_id"])
     unused = F.array_except("spare", F.concat(taken, F.array("user_id")))
     filler = F.transform(
@@ -300,9 +367,8 @@ def _fill(best: DataFrame, wanted: DataFrame, vectors: DataFrame, k: int) -> Dat
     )
     empty = F.array().cast("array<struct<rank:int,other_id:string,similarity_score:double>>")
     return (
-        wanted.select("user_id")
-        .distinct()
-        .join(lists, "user_id", "left")
+        asked.select("uid", "user_id")
+        .join(lists, "uid", "left")
         .withColumn("found", F.coalesce("found", empty))
         .withColumn("spare", spare)
         .select("user_id", F.inline(F.concat("found", filler)))
