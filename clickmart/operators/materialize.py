@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _temporary_root() -> str:
+    return tempfile.mkdtemp(prefix="clickmart-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names, or a temporary one when running on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +21,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="clickmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _temporary_root()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def upsert(
     target: DataFrame, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None
 ) -> DataFrame:
-    """Target with the updates merged in; keys must be unique in ``updates``.
+    """Target with the updates merged in; keys must be unique on either side.
 
     Without ``update_cols`` a matching row is replaced. With it only those columns take the new
     value, a NULL included, and every other column of a matching row keeps the old one. Keys that
@@ -19,9 +19,17 @@ def upsert(
     if update_cols is None:
         return target.join(updates, keys, "left_anti").unionByName(updates)
 
-    old = target.select(*keys, F.struct(*target.columns).alias("_old"))
-    new = updates.select(*keys, F.struct(*target.columns).alias("_new"))
-    both = old.join(new, keys, "full")
+    # One row per key on each side, so putting both under each other and grouping by key pairs them
+    # up like a full outer join would, whatever the keys look like.
+    row = F.struct(*target.columns)
+    none = F.lit(None).cast(target.select(row.alias("row")).schema["row"].dataType)
+    sides = target.select(*keys, row.alias("_old"), none.alias("_new")).unionByName(
+        updates.select(*keys, none.alias("_old"), row.alias("_new"))
+    )
+    both = sides.groupBy(*keys).agg(
+        F.first("_old", ignorenulls=True).alias("_old"),
+        F.first("_new", ignorenulls=True).alias("_new"),
+    )
     columns = []
     for name in target.columns:
         if name in keys:
