@@ -11,7 +11,7 @@ from clickmart.operators.quality import (
     row_counts,
     sample_rows,
 )
-from clickmart.operators.ranking import best_value, collect_ranked, top_n
+from clickmart.operators.ranking import best_value, collect_ranked, top_n, top_n_tree
 from clickmart.operators.skew import heavy_keys
 from clickmart.operators.upsert import insert_ignore, upsert
 
@@ -32,5 +32,6 @@ __all__ = [
     "row_counts",
     "sample_rows",
     "top_n",
+    "top_n_tree",
     "upsert",
 ]

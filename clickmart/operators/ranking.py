@@ -16,6 +16,25 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
+# Groups merged into one on each level of ``top_n_tree``.
+FAN_IN = 64
+
+
+def top_n_tree(
+    df: DataFrame, key: str, spread: str, parts: Column, order: list[Column], n: int, rank: str
+) -> DataFrame:
+    """``top_n`` of one key for large ``n`` and groups of any size.
+
+    Beyond some ``n`` Catalyst no longer cuts groups early. Here each group is ranked in ``parts``
+    parts, by hash of ``spread``, and the winners are merged level by level, so that no task ever
+    ranks more than one part or ``FAN_IN * n`` rows.
+    """
+    df = df.withColumn("_part", F.pmod(F.xxhash64(spread), F.greatest(parts, F.lit(1))))
+    for part in (F.col("_part"), F.col("_part") % FAN_IN):
+        df = top_n(df.withColumn("_part", part), [key, "_part"], order, n, "_place").drop("_place")
+    return top_n(df.drop("_part"), [key], order, n, rank)
+
+
 def best_value(value: Column, weight: Column, where: Column) -> Column:
     """Aggregate: the value with the highest weight, the smallest one among equals.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,9 +24,8 @@ COLLABORATIVE_REASON = "Collaborative: Similar users liked this"
 HYBRID_REASON = "Hybrid: Combined content and collaborative filtering"
 POPULARITY_REASON = "Popularity-based recommendation"
 
-# Best sellers looked at before searching deeper for users who know most of them.
-POPULAR_DEPTH = 1000
-DEEPER = 8
+# Products compared with what users touched at a time, most popular first.
+POPULAR_PAGE = 10_000
 
 
 def _exact(score: Column) -> Column:
@@ -175,49 +175,45 @@ def popularity_recs(
     jitter: float | None = None,
     seed: int = 0,
     model_id: int = 1,
-    depth: int = POPULAR_DEPTH,
+    page: int = POPULAR_PAGE,
 ) -> DataFrame:
     """The most popular products a user has not touched yet.
 
-    Only the first ``depth`` products by popularity are compared with what a user touched. A user
-    who knows so many of them that fewer than ``k`` remain is searched again ``DEEPER`` times
-    deeper, so nobody's list is cut short.
+    The catalogue is gone through in pages of ``page`` products. The first page serves everybody
+    who has not touched nearly all of it; the next pages are only for the users still short of
+    ``k``. So every step handles a bounded page and nobody's list is cut.
 
     ``jitter=0.2`` spreads the score by up to a fifth either way, by seed and not by run.
     """
-    popularity = F.coalesce(F.round("popularity_score", 4), F.lit(0.0))
-    catalogue = products.select(
-        "product_id", popularity.alias("popularity"), F.col("popularity_score").alias("ordering")
-    )
-    by_popularity = [F.desc_nulls_last("ordering"), F.asc("product_id")]
-    remaining = users.select("user_id").distinct()
+    catalogue = products.select("product_id", "popularity_score")
+    by_popularity = [F.desc_nulls_last("popularity_score"), F.asc("product_id")]
+    waiting = users.select("user_id").distinct().withColumn("have", F.lit(0))
     picked: list[DataFrame] = []
+    rest = catalogue
     while True:
-        best = materialize(catalogue.orderBy(*by_popularity).limit(depth))
-        listed = best.count()
-        # At most ``depth`` rows, as the limit says.
+        # At most ``page`` rows, as the limit says: one task numbers them, every task gets them.
         place = F.row_number().over(Window.orderBy(*by_popularity))
-        best = F.broadcast(best.withColumn("place", place))
-        choice = _first_untouched(remaining, best, interactions, listed, k)
-        if listed < depth:
+        best = materialize(rest.orderBy(*by_popularity).limit(page).withColumn("place", place))
+        last = best.where(F.col("place") == page).first()
+        listed = page if last is not None else best.count()
+        choice = _first_untouched(waiting, F.broadcast(best), interactions, listed, k)
+        if last is None:
             picked.append(_place_products(choice, best))
             break
         choice = materialize(choice)
-        short = F.size("free") < k
-        picked.append(_place_products(choice.where(~short), best))
-        remaining = choice.where(short).select("user_id")
-        if remaining.isEmpty():
+        picked.append(_place_products(choice, best))
+        waiting = choice.select("user_id", (F.col("have") + F.size("free")).alias("have")).where(
+            F.col("have") < k
+        )
+        if waiting.isEmpty():
             break
-        depth *= DEEPER
+        rest = catalogue.where(_after(last.popularity_score, last.product_id))
 
-    result = picked[0]
-    for more in picked[1:]:
-        result = result.unionByName(more)
-    score = _exact(F.col("popularity"))
+    score = _exact(F.coalesce(F.round("popularity_score", 4), F.lit(0.0)))
     if jitter is not None:
         noise = F.pmod(F.xxhash64("user_id", "product_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
-        score = _exact(F.round(F.col("popularity") * (1 - jitter + 2 * jitter * noise), 4))
-    return result.select(
+        score = _exact(F.round(score.cast("double") * (1 - jitter + 2 * jitter * noise), 4))
+    return reduce(DataFrame.unionByName, picked).select(
         "user_id",
         "product_id",
         F.lit(model_id).alias("model_id"),
@@ -228,33 +224,44 @@ def popularity_recs(
     )
 
 
+def _after(score: float | None, product_id: str) -> Column:
+    """Products that follow the given one in the order of popularity."""
+    later_id = F.col("product_id") > product_id
+    if score is None:
+        return F.col("popularity_score").isNull() & later_id
+    same = (F.col("popularity_score") == score) & later_id
+    return F.col("popularity_score").isNull() | (F.col("popularity_score") < score) | same
+
+
 def _first_untouched(
-    users: DataFrame, best: DataFrame, interactions: DataFrame, listed: int, k: int
+    waiting: DataFrame, best: DataFrame, interactions: DataFrame, listed: int, k: int
 ) -> DataFrame:
-    """Places of the first ``k`` listed products per user that the user has not touched.
+    """Places of the first listed products per user that the user has not touched, up to ``k``.
 
-    With ``t`` of them touched, those ``k`` are within the first ``t + k`` places.
+    With ``t`` of them touched, the first ``k`` untouched ones are within the first ``t + k``.
     """
     touched = (
-        interactions.join(users, "user_id", "left_semi")
+        interactions.join(waiting, "user_id", "left_semi")
         .join(best.select("product_id", "place"), "product_id")
         .groupBy("user_id")
         .agg(F.collect_set("place").alias("touched"))
     )
-    known = F.coalesce("touched", F.array().cast("array<int>"))
-    reach = F.least(F.lit(listed), F.size(known) + k)
-    places = F.when(reach > 0, F.sequence(F.lit(1), F.greatest(reach, F.lit(1)))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return users.join(touched, "user_id", "left").select(
-        "user_id", F.slice(F.array_except(places, known), 1, k).alias("free")
-    )
+    none = F.array().cast("array<int>")
+    known = F.coalesce("touched", none)
+    missing = F.lit(k) - F.col("have")
+    reach = F.least(F.lit(listed), F.size(known) + missing)
+    places = F.when(reach > 0, F.sequence(F.lit(1), F.greatest(reach, F.lit(1)))).otherwise(none)
+    free = F.slice(F.array_except(places, known), F.lit(1), missing)
+    return waiting.join(touched, "user_id", "left").select("user_id", "have", free.alias("free"))
 
 
 def _place_products(choice: DataFrame, best: DataFrame) -> DataFrame:
-    spread = choice.select("user_id", F.posexplode("free").alias("i", "place"))
-    return spread.join(best, "place").select(
-        "user_id", "product_id", "popularity", (F.col("i") + 1).alias("rank")
+    spread = choice.select("user_id", "have", F.posexplode("free").alias("i", "place"))
+    return spread.join(F.broadcast(best), "place").select(
+        "user_id",
+        "product_id",
+        "popularity_score",
+        (F.col("have") + F.col("i") + 1).alias("rank"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickmart.functions import strength
 from clickmart.operators.materialize import materialize
-from clickmart.operators.ranking import top_n
+from clickmart.operators.ranking import top_n, top_n_tree
 
 # Products with more users than this are searched through their strongest users first.
 PROBE_DEPTH = 1000
@@ -291,9 +291,13 @@ def _probe(
         "share", F.col("weight").cast("double") * F.col("weight") / F.col("norm")
     )
     mine = _of(crowd, open_users)
+    # The users of a product are handled in parts, so that however many users share it, a task
+    # sees about ``depth`` of them.
+    parts = F.least(F.ceil(F.col("users") / depth), F.lit(MAX_PARTS)).cast("int")
     # At most ``depth`` users per product, strongest first.
+    order = [F.desc("share"), F.asc("uid")]
     strongest = materialize(
-        top_n(crowd, ["product_id"], [F.desc("share"), F.asc("uid")], depth, "place")
+        top_n_tree(crowd, "product_id", "uid", parts, order, depth, "place")
     )
     # Nobody further down a list weighs more on its product than the last one on it.
     tails = strongest.where(F.col("place") == depth).select(
@@ -304,9 +308,7 @@ def _probe(
         .groupBy("uid")
         .agg(F.sum(F.col("weight") * F.col("tail")).alias("bound"), F.count("*").alias("cut"))
     )
-    # The users of a product are split into parts and its list is copied to each part, so that
-    # however many users share it, a task sees about ``depth`` of them.
-    parts = F.least(F.ceil(F.col("users") / depth), F.lit(MAX_PARTS)).cast("int")
+    # Every part of a product meets its own copy of the product's list.
     copies = strongest.select(
         "product_id",
         F.col("uid").alias("other"),

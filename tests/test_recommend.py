@@ -167,7 +167,7 @@ def test_content_and_hybrid(spark):
     assert weights.where("product_id = 'p2'").first().recommendation_score == 1.9
 
 
-@pytest.mark.parametrize("depth", [1000, 7, 3])
+@pytest.mark.parametrize("page", [1000, 30, 7])
 def test_popularity_equals_brute_force(spark, depth):
     draw = random.Random(1)
     products = [(f"p{i:02d}", draw.choice([0.1, 0.2, 0.9, None])) for i in range(30)]
@@ -185,7 +185,7 @@ def test_popularity_equals_brute_force(spark, depth):
         spark.createDataFrame([(u,) for u in users], "user_id string"),
         spark.createDataFrame(products, "product_id string, popularity_score double"),
         visits(spark, *data),
-        depth=depth,
+        page=page,
     )
     assert rows(found.select("user_id", "product_id", "rank_position")) == sorted(expected)
 

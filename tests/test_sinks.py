@@ -86,26 +86,26 @@ def test_recommendation_items_take_arrays_and_json(spark):
         assert items["v"].recommended_products == []
 
 
-class JsonWriter:
-    """Writes the items of one partition to a file of its own."""
+def json_writer(folder: str):
+    class Writer:
+        """Writes the items of one partition to a file of its own."""
 
-    def __init__(self, folder: str):
-        self.path = Path(folder) / f"{uuid.uuid4().hex}.json"
+        def __enter__(self):
+            self.file = (Path(folder) / f"{uuid.uuid4().hex}.json").open("w")
+            return self
 
-    def __enter__(self):
-        self.file = self.path.open("w")
-        return self
+        def put_item(self, item: dict) -> None:
+            self.file.write(json.dumps(item) + "\n")
 
-    def put_item(self, item: dict) -> None:
-        self.file.write(json.dumps(item) + "\n")
+        def __exit__(self, *error) -> None:
+            self.file.close()
 
-    def __exit__(self, *error) -> None:
-        self.file.close()
+    return Writer
 
 
 def test_put_items_runs_per_partition(spark, tmp_path):
     folder = str(tmp_path)
-    sinks.put_items(spark.range(10).repartition(3), lambda: JsonWriter(folder))
+    sinks.put_items(spark.range(10).repartition(3), json_writer(folder))
     written = [json.loads(line) for f in tmp_path.glob("*.json") for line in f.open()]
     assert sorted(i["id"] for i in written) == list(range(10))
 
