@@ -168,7 +168,7 @@ def test_content_and_hybrid(spark):
 
 
 @pytest.mark.parametrize("page", [1000, 30, 7])
-def test_popularity_equals_brute_force(spark, depth):
+def test_popularity_equals_brute_force(spark, page):
     draw = random.Random(1)
     products = [(f"p{i:02d}", draw.choice([0.1, 0.2, 0.9, None])) for i in range(30)]
     order = sorted(products, key=lambda p: (p[1] is None, -(p[1] or 0), p[0]))
