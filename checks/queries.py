@@ -30,7 +30,13 @@ from clickmart.plans import (
     warehouse,
 )
 from clickmart.schema import DAILY_METRICS_SCHEMA, conform
-from clickmart.sinks import flat_items, recency_items, recommendation_items, segment_items
+from clickmart.sinks import (
+    flat_items,
+    publish_events,
+    recency_items,
+    recommendation_items,
+    segment_items,
+)
 from clickmart.sources import (
     decode_events,
     encode_events,
@@ -183,7 +189,7 @@ def ingest_roundtrip(i: Inputs) -> DataFrame:
 @query
 def stream_ingest(i: Inputs) -> DataFrame:
     wire, lake, checkpoint = (i.scratch(n) for n in ("wire", "lake", "ingest"))
-    encode_events(i.events).write.text(wire)
+    publish_events(i.events, path=wire)
     start_ingest(read_event_stream(i.spark, path=wire), lake, checkpoint, None).awaitTermination()
     return read_lake(i.spark, lake).select(*EVENT_COLUMNS)
 

@@ -16,7 +16,7 @@ def _temporary_root() -> str:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names, or a temporary one when running on one machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):

@@ -45,7 +45,7 @@ def _lead_in_ranges(
     )
     inside = Window.partitionBy(key, "_range").orderBy(*order)
     ahead = Window.partitionBy(key).orderBy("_range")
-    # At most one row per key and range, both bounded.
+    # Ranges are contiguous, so there are at most as many rows as heavy keys and ranges together.
     first = (
         cut.groupBy(key, "_range")
         .agg(F.min(F.struct(*order, F.col(value).alias("_value"))).alias("_head"))
@@ -53,12 +53,9 @@ def _lead_in_ranges(
     )
     return (
         cut.withColumn("_inside", F.lead(value).over(inside))
-        .withColumn("_is_last", F.row_number().over(_reverse(key, order)) == 1)
+        .withColumn("_is_last", F.lead(F.lit(True)).over(inside).isNull())
         .join(F.broadcast(first), [key, "_range"], "left")
         .withColumn(alias, F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_inside")))
         .select(*df.columns, alias)
     )
 
-
-def _reverse(key: str, order: list[str]):
-    return Window.partitionBy(key, "_range").orderBy(*[F.desc_nulls_last(c) for c in order])

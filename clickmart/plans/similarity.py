@@ -114,7 +114,7 @@ def similar_users(
     a user whose list could still miss somebody is searched again ``DEEPER`` times deeper, until
     no unseen user can reach the list.
     """
-    raw = user_vectors(interactions)
+    raw = materialize(user_vectors(interactions))
     index = _user_index(user_norms(raw, mode))
     vectors = materialize(
         raw.join(index, "user_id").select("uid", "product_id", "weight", "norm")

@@ -6,6 +6,7 @@ from clickmart.sinks.items import (
     segment_items,
     write_items_json,
 )
+from clickmart.sinks.messages import publish_events, publish_options
 from clickmart.sinks.tables import (
     append_table,
     insert_overwrite,
@@ -26,6 +27,8 @@ __all__ = [
     "insert_overwrite",
     "latest_version",
     "overwrite_table",
+    "publish_events",
+    "publish_options",
     "put_items",
     "read_version",
     "recency_items",

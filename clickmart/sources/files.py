@@ -20,13 +20,16 @@ def read_events_csv(spark: SparkSession, path: str, keep_empty: bool = False) ->
     return wire.fillna("") if keep_empty else blanks_to_null(wire)
 
 
-def read_lake(spark: SparkSession, path: str, event_types: list[str] | None = None) -> DataFrame:
-    """Events of the lake, which is partitioned by event type.
+def read_lake(
+    spark: SparkSession, path: str | list[str], event_types: list[str] | None = None
+) -> DataFrame:
+    """Events of the lake, which is partitioned by event type; several lakes read as one.
 
     ``event_types`` prunes whole partitions. A lake nobody has written yet reads as an empty frame.
     """
+    paths = [path] if isinstance(path, str) else path
     try:
-        lake = spark.read.schema(LAKE_SCHEMA).parquet(path)
+        lake = spark.read.schema(LAKE_SCHEMA).parquet(*paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -55,6 +55,11 @@ def test_serving_options():
     assert options == {"url": "jdbc:x", "dbtable": "t", "truncate": "true", "batchsize": "1000"}
 
 
+def test_publish_options():
+    options = sinks.publish_options("b:9092", "user_events")
+    assert options["topic"] == "user_events" and options["kafka.acks"] == "all"
+
+
 def test_segment_items(spark):
     segments = spark.createDataFrame(
         [(None, "", None, None, None, "", None), ("u1", "VIP", 1200.5, 3, "b", "c", "2024-01-02")],

@@ -82,6 +82,9 @@ def test_lake(spark, tmp_path):
     views = sources.read_lake(spark, path, ["view"])
     assert rows(views.select("product_id")) == [("p1",), ("p3",)]
     assert "PartitionFilters: [" in views._jdf.queryExecution().toString()
+    other = str(tmp_path / "other")
+    _lake(spark, other)
+    assert sources.read_lake(spark, [path, other]).count() == 6
     both = sources.read_lake_glob(spark, path)
     assert rows(both.select("event_type", "product_id")) == [
         ("cart", "p2"),

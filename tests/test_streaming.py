@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from clickmart.plans import profiles, similarity
 from clickmart.schema import LAKE_SCHEMA, conform
-from clickmart.sources import encode_events, read_event_stream, read_lake, star_schema
+from clickmart.sinks import publish_events, read_version
+from clickmart.sources import read_event_stream, read_lake, star_schema
 from clickmart.streaming import (
     compact_features,
     read_features,
     start_feature_refresh,
     start_ingest,
 )
-from clickmart.sinks import read_version
 
 
 def test_ingest_restarts_without_duplicates(spark, data, tmp_path):
     wire, lake, checkpoint = (str(tmp_path / n) for n in ("wire", "lake", "checkpoint"))
     events = star_schema.clickstream(spark, data)
     early = F.col("event_id") % 2 == 0
-    encode_events(events.where(early)).write.text(wire)
+    publish_events(events.where(early), path=wire)
     spark.createDataFrame([("broken",), ('{"event_type":"view"}',)], "value string").write.mode(
         "append"
     ).text(wire)
@@ -34,7 +34,7 @@ def test_ingest_restarts_without_duplicates(spark, data, tmp_path):
     assert first == events.where(early).count()
     run()
     assert read_lake(spark, lake).count() == first
-    encode_events(events.where(~early)).write.mode("append").text(wire)
+    publish_events(events.where(~early), path=wire)
     run()
     assert rows(read_lake(spark, lake)) == rows(conform(events, LAKE_SCHEMA))
 
