@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,15 @@ def read_events_csv(spark: SparkSession, path: str, keep_empty: bool = False) ->
     return wire.fillna("") if keep_empty else blanks_to_null(wire)
 
 
+def _read_one(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(LAKE_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LAKE_SCHEMA)
+
+
 def read_lake(
     spark: SparkSession, path: str | list[str], event_types: list[str] | None = None
 ) -> DataFrame:
@@ -27,13 +38,8 @@ def read_lake(
 
     ``event_types`` prunes whole partitions. A lake nobody has written yet reads as an empty frame.
     """
-    paths = [path] if isinstance(path, str) else path
-    try:
-        lake = spark.read.schema(LAKE_SCHEMA).parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lake = spark.createDataFrame([], LAKE_SCHEMA)
+    lakes = [_read_one(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    lake = reduce(DataFrame.unionByName, lakes)
     if event_types is not None:
         lake = lake.where(F.col("event_type").isin(event_types))
     return lake
