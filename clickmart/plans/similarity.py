@@ -54,10 +54,13 @@ def user_norms(vectors: DataFrame, mode: str) -> DataFrame:
     ``rows`` takes the norm over single interactions while products still match row by row, so a
     user with several interactions per product can reach a similarity above 1.
     """
+    return vectors.groupBy("user_id").agg(F.sum(_square(mode)).alias("norm"))
+
+
+def _square(mode: str) -> Column:
     if mode not in ("vector", "rows"):
         raise ValueError(f"unknown similarity mode: {mode}")
-    square = F.col("weight") * F.col("weight") if mode == "vector" else F.col("squares")
-    return vectors.groupBy("user_id").agg(F.sum(square).alias("norm"))
+    return F.col("weight") * F.col("weight") if mode == "vector" else F.col("squares")
 
 
 def _cosine(dot: Column, norm_1: Column, norm_2: Column) -> Column:
@@ -109,40 +112,70 @@ def similar_users(
     are ordered by id. When fewer than ``k`` users share anything, the lowest ids fill up with
     similarity 0.
 
+    Users with the very same vector are compared once, as one: a group of copies, however large,
+    costs no more than a single user.
+
     Users are compared through the products they share. A product with at most ``depth`` users
     is compared in full. Above that, only the ``depth`` users for whom it weighs most are compared;
     a user whose list could still miss somebody is searched again ``DEEPER`` times deeper, until
     no unseen user can reach the list.
     """
     raw = materialize(user_vectors(interactions))
-    index = _user_index(user_norms(raw, mode))
-    vectors = materialize(
-        raw.join(index, "user_id").select("uid", "product_id", "weight", "norm")
-    )
-    asked = index
+    members = _members(raw, mode)
+    alike = members.where("uid = alike")
+    vectors = materialize(raw.join(alike, "user_id").select("uid", "product_id", "weight", "norm"))
+    asked = members
+    if targets is not None:
+        asked = members.join(targets.select("user_id").distinct(), "user_id", "left_semi")
+    asked_vectors = vectors
     if targets is not None:
-        asked = index.join(targets.select("user_id").distinct(), "user_id", "left_semi")
+        asked_vectors = _of(vectors, asked.select(F.col("alike").alias("uid")).distinct())
     sizes = vectors.groupBy("product_id").agg(F.count("*").alias("users"))
     if sizes.where(F.col("users") > depth).isEmpty():
-        dots = _mirrored_dots(vectors) if targets is None else _dots(_of(vectors, asked), vectors)
+        dots = _mirrored_dots(vectors) if targets is None else _dots(asked_vectors, vectors)
         found = _best(dots, k)
     else:
+        wanted = asked.select(F.col("alike").alias("uid")).distinct()
+        # How far the length of a vector can exceed its norm; 1 for a true cosine.
+        longest = members.agg(F.sqrt(F.max(F.col("own") / F.col("norm")))).first()[0]
         everybody = targets is None
-        found = _search(vectors, materialize(sizes), asked.select("uid"), everybody, k, depth)
-    return _complete_lists(found, asked, index, k)
+        found = _search(vectors, materialize(sizes), wanted, everybody, longest, k, depth)
+    return _lists(found, asked, members, k)
 
 
 _PAIR = ["uid", "other"]
 
 
-def _user_index(norms: DataFrame) -> DataFrame:
-    """Users with a number that follows the order of their ids.
+def _members(raw: DataFrame, mode: str) -> DataFrame:
+    """Every user with a number, the squared norm and the first user with the same vector.
+
+    Numbers follow the order of the ids. Pairs are then pairs of numbers, which hash and sort
+    faster than text; they live in this written table and never leave the plan.
 
-    Pairs are then pairs of numbers, which hash and sort faster than text. The numbers only live
-    in this written table and never leave the plan.
+    Vectors count as the same when norm, size and two independent 64-bit hashes agree.
     """
-    ordered = norms.orderBy("user_id")
-    return materialize(ordered.withColumn("uid", F.monotonically_increasing_id()))
+    entry = [F.col("product_id"), F.col("weight")]
+    vector = ["norm", "size", "hash_1", "hash_2"]
+    users = raw.groupBy("user_id").agg(
+        F.sum(_square(mode)).alias("norm"),
+        F.sum(F.col("weight") * F.col("weight")).alias("own"),
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64(*entry)).alias("hash_1"),
+        F.bit_xor(F.xxhash64(F.lit("second"), *entry)).alias("hash_2"),
+    )
+    numbered = materialize(
+        users.orderBy("user_id").withColumn("uid", F.monotonically_increasing_id())
+    )
+    copies = (
+        numbered.groupBy(*vector)
+        .agg(F.min("uid").alias("first"), F.count("*").alias("copies"))
+        .where(F.col("copies") > 1)
+    )
+    return materialize(
+        numbered.join(copies, vector, "left").select(
+            "uid", "user_id", "norm", "own", F.coalesce("first", "uid").alias("alike")
+        )
+    )
 
 
 def _tasks(spark: SparkSession) -> int:
@@ -222,6 +255,7 @@ def _search(
     sizes: DataFrame,
     open_users: DataFrame,
     everybody: bool,
+    longest: float,
     k: int,
     depth: int,
 ) -> DataFrame:
@@ -246,7 +280,7 @@ def _search(
             settled.append(_best(dots, k))
             return reduce(DataFrame.unionByName, settled)
 
-        found, bounds = _probe(vectors, crowded, dots, open_users, k, depth)
+        found, bounds = _probe(vectors, crowded, dots, open_users, longest, k, depth)
         last = found.groupBy("uid").agg(
             F.count("*").alias("listed"), F.min("strength").alias("weakest")
         )
@@ -254,7 +288,7 @@ def _search(
         # weakest listed user beats whatever the unseen can reach. Users without a crowded product
         # have no bound and are certain anyway.
         certain = (F.col("listed") == k) & (
-            (F.col("cut") == 1) | (F.sqrt("weakest") > F.col("bound") * MARGIN)
+            (F.col("cut") == 1) | (F.sqrt("weakest") > F.col("reach") * MARGIN)
         )
         open_users = materialize(
             bounds.join(last, "uid", "left")
@@ -280,6 +314,7 @@ def _probe(
     crowded: DataFrame,
     dots: DataFrame,
     open_users: DataFrame,
+    longest: float,
     k: int,
     depth: int,
 ) -> tuple[DataFrame, DataFrame]:
@@ -303,10 +338,14 @@ def _probe(
     tails = strongest.where(F.col("place") == depth).select(
         "product_id", F.sqrt("share").alias("tail")
     )
+    # What an unseen user can add through the cut lists: no more than the tails allow, and no more
+    # than somebody with exactly this user's taste for those products.
+    weight = F.col("weight").cast("double")
+    reach = F.least(F.sum(weight * F.col("tail")), F.sqrt(F.sum(weight * weight)) * longest)
     bounds = (
         mine.join(tails, "product_id")
         .groupBy("uid")
-        .agg(F.sum(F.col("weight") * F.col("tail")).alias("bound"), F.count("*").alias("cut"))
+        .agg(reach.alias("reach"), F.count("*").alias("cut"))
     )
     # Every part of a product meets its own copy of the product's list.
     copies = strongest.select(
@@ -341,43 +380,65 @@ def _probe(
     return materialize(_best(_merge_dots(candidates.unionByName(extra)), k)), bounds
 
 
-def _complete_lists(
-    found: DataFrame, asked: DataFrame, index: DataFrame, k: int
-) -> DataFrame:
-    """Put the ids back and complete short lists with the lowest user ids, at similarity 0.
+def _lists(found: DataFrame, asked: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """From the best vectors per vector to the best users per user.
 
-    At most ``k`` ids are taken already, the user's own included, so ``k + 1`` of them suffice.
+    ``k`` vectors with their first ``k + 1`` users each are enough to choose from, also when a
+    user's own copies are among them. A list that stays short is completed with the lowest user ids
+    at similarity 0: at most ``k`` are taken already, the user's own included, so ``k + 1`` suffice.
     """
-    lowest = index.orderBy("user_id").limit(k + 1)
-    spare = lowest.agg(F.array_sort(F.collect_list("user_id"))).scalar()
-    names = index.select(F.col("uid").alias("other"), F.col("user_id").alias("other_id"))
+    copies = top_n(
+        members.select(F.col("alike").alias("other"), "user_id"),
+        ["other"],
+        [F.asc("user_id")],
+        k + 1,
+        "place",
+    ).select("other", F.col("user_id").alias("other_id"))
+    own = (
+        members.groupBy("alike")
+        .agg(F.count("*").alias("users"), F.first("own").alias("own"), F.first("norm").alias("norm"))
+        .where(F.col("users") > 1)
+        .select(
+            F.col("alike").alias("uid"),
+            F.col("alike").alias("other"),
+            (F.col("own").cast("double") * F.col("own") / F.col("norm")).alias("strength"),
+            _cosine(F.col("own"), F.col("norm"), F.col("norm")).alias("similarity_score"),
+        )
+    )
+    candidates = (
+        found.select("uid", "other", "strength", "similarity_score")
+        .unionByName(own)
+        .join(copies, "other")
+    )
+    order = [F.desc("strength"), F.asc("other_id")]
     entry = F.struct("rank", "other_id", "similarity_score")
     lists = (
-        found.join(names, "other")
-        .groupBy("uid")
-        .agg(F.array_sort(F.collect_list(entry)).alias("found"))
+        top_n(candidates, ["uid"], order, k + 1, "rank")
+        .groupBy(F.col("uid").alias("alike"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("best"))
     )
+    lowest = members.orderBy("user_id").limit(k + 1)
+    spare = lowest.agg(F.array_sort(F.collect_list("user_id"))).scalar()
+    empty = F.array().cast("array<struct<rank:int,other_id:string,similarity_score:double>>")
+    best = F.coalesce("best", empty)
+    others = F.filter(best, lambda item: item["other_id"] != F.col("user_id"))
     taken = F.transform("found", lambda item: item["other_id"])
     unused = F.array_except("spare", F.concat(taken, F.array("user_id")))
     filler = F.transform(
         F.slice(unused, F.lit(1), F.lit(k) - F.size("found")),
-        lambda other, i: F.struct(
-            (F.size("found") + i + 1).cast("int").alias("rank"),
-            other.alias("other_id"),
-            F.lit(0.0).alias("similarity_score"),
+        lambda other: F.struct(
+            F.lit(0).alias("rank"), other.alias("other_id"), F.lit(0.0).alias("similarity_score")
         ),
     )
-    empty = F.array().cast("array<struct<rank:int,other_id:string,similarity_score:double>>")
     return (
-        asked.select("uid", "user_id")
-        .join(lists, "uid", "left")
-        .withColumn("found", F.coalesce("found", empty))
-        .withColumn("spare", spare)
-        .select("user_id", F.inline(F.concat("found", filler)))
+        asked.select("user_id", "alike")
+        .join(lists, "alike", "left")
+        .select("user_id", F.slice(others, 1, k).alias("found"), spare.alias("spare"))
+        .select("user_id", F.posexplode(F.concat("found", filler)).alias("i", "item"))
         .select(
             "user_id",
-            F.col("other_id").alias("similar_user_id"),
-            "similarity_score",
-            F.col("rank").cast("long").alias("rank"),
+            F.col("item.other_id").alias("similar_user_id"),
+            F.col("item.similarity_score").alias("similarity_score"),
+            (F.col("i") + 1).cast("long").alias("rank"),
         )
     )

@@ -69,6 +69,26 @@ def test_similar_users_equal_brute_force(spark, depth, mode):
     compare(found, brute_similar(data, 5, mode))
 
 
+@pytest.mark.parametrize("depth", [1000, 4])
+@pytest.mark.parametrize("mode", ["vector", "rows"])
+def test_copies_count_as_one(spark, depth, mode, monkeypatch):
+    draw = random.Random(11)
+    data = [(f"u{draw.randrange(25):02d}", f"p{draw.randrange(9)}", "view", 1) for _ in range(120)]
+    # A third of all users with the same two products, some of them twice as keen.
+    for i in range(14):
+        data += [(f"copy{i:02d}", "p1", "cart", 2), (f"copy{i:02d}", "p2", "purchase", 3)] * (
+            1 + (i % 5 == 0)
+        )
+    rounds = []
+    probe = similarity._probe
+    monkeypatch.setattr(
+        similarity, "_probe", lambda *args: rounds.append(args[-1]) or probe(*args)
+    )
+    found = similarity.similar_users(visits(spark, *data), 6, mode, depth=depth)
+    compare(found, brute_similar(data, 6, mode))
+    assert (len(rounds) > 0) == (depth == 4)
+
+
 @pytest.mark.parametrize("depth", [1000, 4])
 def test_similar_users_of_targets(spark, depth):
     data = skewed(5, users=30, n=200)

@@ -16,6 +16,7 @@ from clickmart.schema import (
     lower_columns,
     upper_columns,
 )
+from clickmart.sources import star_schema
 from clickmart.sources.tables import jdbc_read_options
 
 HEADER = ",".join(WIRE_FIELDS)
@@ -152,6 +153,6 @@ def test_conform_fills_and_orders(spark):
 
 @pytest.mark.parametrize("event_type", EVENT_TYPES)
 def test_roundtrip_keeps_types(spark, data, event_type):
-    events = sources.star_schema.clickstream(spark, data).where(F.col("event_type") == event_type)
+    events = star_schema.clickstream(spark, data).where(F.col("event_type") == event_type)
     wanted = conform(events, LAKE_SCHEMA)
     assert rows(sources.decode_events(sources.encode_events(events))) == rows(wanted)
