@@ -512,7 +512,8 @@ def oracle() -> dict[str, str]:
         "flat_recommendations": sql(f"{RECS} flat", "SELECT * FROM flat"),
         "interactions": sql(
             "ev inter",
-            "SELECT user_id, product_id, interaction_type, strength AS interaction_strength, "
+            "SELECT user_id, product_id, interaction_type, CAST(strength AS BIGINT) AS "
+            "interaction_strength, "
             "interaction_time FROM inter",
         ),
         "user_similarity_rows": similarity("sq"),
@@ -548,7 +549,7 @@ def oracle() -> dict[str, str]:
         ),
         "popularity_recs": sql(
             "ev prof inter features part_features pop",
-            """SELECT user_id, product_id, 1 AS model_id, score AS recommendation_score,
+            """SELECT user_id, product_id, CAST(1 AS BIGINT) AS model_id, score AS recommendation_score,
                    CAST(round(CAST(score AS DECIMAL(12,4)) * 0.9, 4) AS DOUBLE)
                        AS confidence_score,
                    'Popularity-based recommendation' AS recommendation_reason,
@@ -650,7 +651,7 @@ def oracle() -> dict[str, str]:
         ),
         "strongest_recommendations": sql(
             "ev prof inter features part_features pop",
-            """SELECT user_id, product_id, 1 AS model_id, score AS recommendation_score,
+            """SELECT user_id, product_id, CAST(1 AS BIGINT) AS model_id, score AS recommendation_score,
                    CAST(round(CAST(score AS DECIMAL(12,4)) * 0.9, 4) AS DOUBLE)
                        AS confidence_score,
                    'Popularity-based recommendation' AS recommendation_reason,
