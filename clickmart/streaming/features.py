@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +49,13 @@ def start_feature_refresh(
 
 
 def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """Current features: the newest row per user."""
-    rows = spark.read.schema(FEATURE_SCHEMA).parquet(root)
+    """Current features: the newest row per user. Empty before the first batch."""
+    try:
+        rows = spark.read.schema(FEATURE_SCHEMA).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], FEATURE_SCHEMA)
     values = [c for c in FEATURE_SCHEMA.names if c not in ("user_id", "batch_id")]
     newest = F.max(F.struct("batch_id", *values)).alias("newest")
     return rows.groupBy("user_id").agg(newest).select("user_id", *[f"newest.{c}" for c in values])

@@ -65,6 +65,7 @@ def test_features_follow_the_interactions(spark, data, tmp_path):
         stream = spark.readStream.schema(interactions.schema).parquet(source)
         start_feature_refresh(stream, root, checkpoint, None).awaitTermination()
 
+    assert read_features(spark, root).isEmpty()
     interactions.where(early).write.parquet(source)
     run()
     wanted = profiles.user_behavior_features(interactions.where(early))
