@@ -3,7 +3,8 @@
 Two sets with Jaccard similarity t or more share at least L of the first n - ceil(t * n) + L elements of
 either, in any order of elements common to all. The order is by estimated document frequency, rare first, so a passage that
 many documents share enters a prefix last. Each document picks its own L: the estimated cost of its candidates
-decides how much the prefix is lengthened, and a pair has to share the smaller L of its two documents.
+decides how much the prefix is lengthened. A pair has to share as many prefix elements as its sizes leave no way around:
+what is not shared there has to be among the elements behind one of the two prefixes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.arrays import mix, pieces, shingles, words
@@ -24,7 +25,8 @@ SKETCH_BITS = 21
 SLICES = 32
 MOST_MATCHES = 4
 VERIFY_COST = 0.05  # of one shingle of a candidate, against one row of the candidate search
-CELL_SHINGLES = 1_500_000  # of the documents that are compared in one block
+CELL_WEIGHT = 8 << 20  # tokens, or bytes of text, in a block of classes that are compared with one another
+CELL_CLASSES = 1000
 
 
 def distinct_shingles(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -147,14 +149,11 @@ def prefix_texts(k: int, percent: int, sketch):
     return run
 
 
-def linked_blocks(own: list[np.ndarray], percent: int) -> np.ndarray:
-    """Labels of sets that are linked, straight or through others: the place of the first one of each group."""
+def overlaps(own: list[np.ndarray]) -> np.ndarray:
+    """Number of elements that any two of the sets share."""
     g = len(own)
-    labels = np.arange(g)
-    sizes = np.array([len(x) for x in own])
-    flat = np.concatenate(own)
-    _, ids, repeats = np.unique(flat, return_inverse=True, return_counts=True)
-    row = np.repeat(labels, sizes)
+    row = np.repeat(np.arange(g), [len(x) for x in own])
+    _, ids, repeats = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
     shared = repeats[ids] > 1
     row, ids = row[shared], ids[shared]
     _, ids = np.unique(ids, return_inverse=True)
@@ -167,7 +166,14 @@ def linked_blocks(own: list[np.ndarray], percent: int) -> np.ndarray:
         block = np.zeros((g, width), np.float32)
         block[row[a:b], ids[a:b] - low] = 1
         both += block @ block.T
-    both = np.rint(both).astype(np.int64)
+    return np.rint(both).astype(np.int64)
+
+
+def linked_blocks(own: list[np.ndarray], percent: int) -> np.ndarray:
+    """Labels of sets that are linked, straight or through others: the place of the first one of each group."""
+    labels = np.arange(len(own))
+    sizes = np.array([len(x) for x in own])
+    both = overlaps(own)
     linked = (100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)) & (sizes[:, None] > 0)
     while True:
         near = np.where(linked, labels[None, :], labels[:, None]).min(axis=1)
@@ -177,36 +183,65 @@ def linked_blocks(own: list[np.ndarray], percent: int) -> np.ndarray:
         labels = near
 
 
+def grouped(batches, columns: list[str]) -> Iterator[tuple]:
+    """(cell, one list for each column) for every run of rows with the same cell."""
+    cell, kept = None, [[] for _ in columns]
+    for batch in batches:
+        for key, *values in zip(batch.column("cell").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
+            if key != cell:
+                if kept[0]:
+                    yield cell, *kept
+                cell, kept = key, [[] for _ in columns]
+            for column, value in zip(kept, values, strict=True):
+                column.append(value)
+    if kept[0]:
+        yield cell, *kept
+
+
+def in_batches(rows: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of long values, some thousand at a time."""
+    held: list[tuple] = []
+    for row in rows:
+        held.append(row)
+        if len(held) == 10_000:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*held, strict=True)], names=names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*held, strict=True)], names=names)
+
+
+def promising(percent: int):
+    """(home, node) of the classes that share enough prefix elements with another one of their cell."""
+
+    def rows(batches):
+        for cell, nodes, sizes, asked, tokens in grouped(batches, ["node", "n", "asked", "tokens"]):
+            if len(nodes) < 2:
+                continue
+            n, most = np.array(sizes), np.array(asked)
+            behind = least_shared(n, percent) - most
+            needed = -(-percent * (n[:, None] + n[None, :]) // (100 + percent)) - np.maximum(behind[:, None], behind[None, :])
+            alike = 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+            enough = alike & (overlaps([np.array(t, np.int64) for t in tokens]) >= needed)
+            np.fill_diagonal(enough, False)
+            for i in np.flatnonzero(enough.any(axis=1)).tolist():
+                yield cell["home"], nodes[i]
+
+    return lambda batches: in_batches(rows(batches), ["home", "node"])
+
+
 def verify_cells(k: int, percent: int):
     """Edges of the documents in each cell; rows come sorted by cell, and one cell is held at a time."""
 
-    def edges(nodes, texts):
-        own = list(distinct_shingles(pa.array(texts, pa.large_string()), k))
-        labels = linked_blocks(own, percent)
-        return [(nodes[i], nodes[j]) for i, j in enumerate(labels.tolist()) if i != j and nodes[i] != nodes[j]]
-
-    def run(batches):
-        cell, nodes, texts, found = None, [], [], []
-        for batch in batches:
-            for key, node, text in zip(
-                batch.column("cell").to_pylist(),
-                batch.column("node").to_pylist(),
-                batch.column("text").to_pylist(),
-                strict=True,
-            ):
-                if key != cell:
-                    if len(nodes) > 1:
-                        found += edges(nodes, texts)
-                    cell, nodes, texts = key, [], []
-                nodes.append(node)
-                texts.append(text)
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
-                found = []
-        if len(nodes) > 1 and (found := edges(nodes, texts)):
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
+    def rows(batches):
+        for _, nodes, texts in grouped(batches, ["node", "text"]):
+            if len(nodes) < 2:
+                continue
+            own = list(distinct_shingles(pa.array(texts, pa.large_string()), k))
+            for i, j in enumerate(linked_blocks(own, percent).tolist()):
+                if nodes[i] != nodes[j]:
+                    yield nodes[i], nodes[j]
 
-    return run
+    return lambda batches: in_batches(rows(batches), ["a", "b"])
 
 
 def verify_pairs(k: int, percent: int):
@@ -230,9 +265,11 @@ def links(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Class of every document (id, n, node), and edges (a, b) between classes that keep all connections.
 
     Documents with the same set form a class, named by its smallest id. A class that shares a prefix element
-    with others has as its home the smallest class that it shares one with. The classes of one home are compared
-    with one another on their whole sets, in blocks of bounded size, and a block hands on a spanning forest
-    only. Classes of different homes are paired where they share as many prefix elements as they ask for.
+Documents with the same set form a class, named by its smallest id. A class that shares a prefix element
+    with others has as its home the smallest class that it shares one with. Two classes may only be similar if they share
+    as many prefix elements as sets of their sizes have to. Within a home that is counted for all classes in
+    blocks of bounded size, and those with a possible partner are compared on their whole sets in the same way; a block hands on
+    a spanning forest only, never pairs. Classes of different homes that share enough are few and become pairs.
     """
     profile = materialize(
         docs.mapInArrow(profile_texts(k), "id long, n long, first long, second long, part int, counts binary")
@@ -252,64 +289,64 @@ def links(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     shared = postings.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     shared = shared.where("least < most").select("token", "least")
     postings = materialize(postings.join(shared, "token"))
-    homes = materialize(postings.groupBy("node").agg(F.min("least").alias("home")))
-
-    texts = materialize(
-        docs.join(homes, F.col("id") == F.col("node")).select("node", "home", "text")
+    # A class has no more tokens than its prefix.
+    homes = postings.groupBy("node").agg(F.min("least").alias("home"), F.collect_set("token").alias("tokens"))
+    homes = materialize(homes.join(prefixes.select(F.col("id").alias("node"), "n", "asked"), "node"))
+
+    near = materialize(
+        cells(homes.select("home", "node", "n", "asked", "tokens"), F.size("tokens"))
+        .mapInArrow(promising(percent), "home long, node long")
+        .distinct()
     )
-    cells = block_cells(texts, prefixes)
-    found = (
-        cells.repartition("cell")
-        .sortWithinPartitions("cell", "node")
-        .mapInArrow(verify_cells(k, percent), "a long, b long")
+    pairs = materialize(pairs_across(postings, homes, percent))
+    wanted = near.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    texts = materialize(docs.join(wanted, F.col("id") == F.col("node")).select("node", "text"))
+    found = cells(near.join(texts, "node"), F.octet_length("text")).mapInArrow(verify_cells(k, percent), "a long, b long")
+    across = (
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        .mapInArrow(verify_pairs(k, percent), "a long, b long")
     )
+    return members, found.union(across)
+
 
-    placed = postings.join(homes, "node").select("token", "node", "home")
+def pairs_across(postings: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different homes that share as many prefix elements as similar sets of their sizes have to."""
+    placed = postings.select("token", "node").join(homes.select("node", "home", "n", "asked"), "node")
     mixed = placed.groupBy("token").agg(F.min("home").alias("low"), F.max("home").alias("high"))
-    placed = placed.join(mixed.where("low < high").select("token"), "token")
-    placed = materialize(placed.join(prefixes.select(F.col("id").alias("node"), "n", "asked"), "node"))
+    placed = materialize(placed.join(mixed.where("low < high").select("token"), "token"))
+    # Elements that a similar pair shares, and those behind the shortest prefix of a set of n.
+    needed = f"ceil({percent} * (a_n + b_n) / {100 + percent})"
+    behind = f"ceil({percent} * {{}} / 100)".format
     a, b = placed.alias("a"), placed.alias("b")
-    pairs = (
+    return (
         a.join(b, F.expr(
             "a.token = b.token and a.home < b.home and a.node <> b.node"
             f" and 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
         ))
         .groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .agg(F.count("*").alias("both"), F.min(F.least("a.asked", "b.asked")).alias("asked"))
-        .where("both >= asked")
+        .agg(F.count("*").alias("both"), *[F.first(c).alias(c.replace(".", "_")) for c in ("a.n", "a.asked", "b.n", "b.asked")])
+        .where(f"both >= {needed} - greatest({behind('a_n')} - a_asked, {behind('b_n')} - b_asked)")
         .select("a", "b")
     )
-    pairs = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .mapInArrow(verify_pairs(k, percent), "a long, b long")
-    )
-    return members, found.union(pairs)
 
 
-def block_cells(texts: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Every class once for each block pair of its home that it belongs to, so any two classes meet in a cell.
+def cells(rows: DataFrame, weight: Column) -> DataFrame:
+    """``rows`` (home, node, ..) sorted by ``cell``, once for each block pair of the home that a row belongs to.
 
-    A home with more than CELL_SHINGLES shingles is dealt into blocks by a hash of the class.
+    A home whose weight is more than CELL_WEIGHT is dealt into blocks by a hash of the class; any two classes of a
+    home meet in one cell, which holds two blocks at most. Homes of one class have no cell.
     """
-    sizes = prefixes.select(F.col("id").alias("node"), "n")
-    weights = texts.select("node", "home").join(sizes, "node").groupBy("home")
-    weights = weights.agg(F.sum("n").alias("weight"), F.count("*").alias("classes"))
-    weights = weights.where("classes > 1").select(
-        "home", F.ceil(F.col("weight") / F.lit(CELL_SHINGLES)).cast("int").alias("blocks")
+    blocks = rows.groupBy("home").agg(F.sum(weight.cast("long")).alias("weight"), F.count("*").alias("classes"))
+    blocks = blocks.where("classes > 1").select(
+        "home", F.greatest(F.ceil(F.col("weight") / F.lit(CELL_WEIGHT)), F.ceil(F.col("classes") / F.lit(CELL_CLASSES))).cast("int").alias("blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return (
-        texts.join(weights, "home")
-        .select("home", "node", "text", own.alias("own"), other.alias("other"))
-        .select(
-            F.struct("home", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-            .alias("cell"),
-            "node",
-            "text",
-        )
-    )
+    dealt = rows.join(blocks, "home").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.struct("home", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    dealt = dealt.withColumn("cell", cell).drop("home", "own", "other", "blocks")
+    return dealt.repartition("cell").sortWithinPartitions("cell", "node")
 
 
 def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
