@@ -276,7 +276,8 @@ Documents with the same set form a class, named by its smallest id. A class that
     )
     sketch = docs.sparkSession.sparkContext.broadcast(frequency_sketch(profile))
     sized = profile.where("part is null").select("id", "n", "first", "second")
-    groups = sized.where("n > 0").groupBy("first", "second", "n").agg(F.min("id").alias("node"))
+    # Written, so that the join below has a shuffle on either side and a hot class can be split there.
+    groups = materialize(sized.where("n > 0").groupBy("first", "second", "n").agg(F.min("id").alias("node")))
     members = sized.join(groups, ["first", "second", "n"], "left").select("id", "n", "node")
 
     nodes = groups.select(F.col("node").alias("id")).where("id is not null").distinct()

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickmart.operators.materialize import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -130,8 +132,11 @@ def findings_by_path(versions: DataFrame, findings: DataFrame, text_column: str
 
     One row for each row of ``versions``, also where many share a text. A finding that is given twice counts once.
     """
-    per_blob = findings.groupBy("blob").agg(
-        F.sort_array(F.collect_set(F.struct("start", "rule", "version", "end"))).alias("findings")
+    # Written, so that the join has a shuffle on either side and the paths of a hot content can be split.
+    per_blob = materialize(
+        findings.groupBy("blob").agg(
+            F.sort_array(F.collect_set(F.struct("start", "rule", "version", "end"))).alias("findings")
+        )
     )
     none = F.array().cast("array<struct<start:bigint,rule:string,version:int,end:bigint>>")
     addressed = content_address(versions, text_column)
