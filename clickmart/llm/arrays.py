@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 # Bytes that separate words, x20 and x09 to x0D.
 WHITE_SPACE = np.zeros(256, bool)
@@ -88,7 +88,7 @@ def _segment(data: np.ndarray, breaks: np.ndarray, separators: np.ndarray) -> tu
 
 
 def words(
-    column: pa.Array, separators: np.ndarray = WHITE_SPACE, limit: int = 4 * CHUNK_BYTES
+    column: pa.Array, separators: np.ndarray = WHITE_SPACE, limit: int = 2 * CHUNK_BYTES
 ) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words, A-Z lower-cased, and for each text the offsets of its words.
 
