@@ -103,10 +103,10 @@ def mix(
         sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).drop("_source")
     # Words before a document in its source: those of earlier buckets of the order, and of its own bucket.
-    placed = placed.withColumn("bucket", F.substring("order", 1, 4))
+    placed = placed.withColumn("bucket", F.substring("order", 1, 3))
     buckets = placed.groupBy("place", "bucket").agg(F.sum("size").alias("held"))
     ahead = F.sum("held").over(Window.partitionBy("place").orderBy("bucket")) - F.col("held")
-    buckets = buckets.select("place", "bucket", ahead.alias("ahead"))  # at most 65536 rows a source
+    buckets = buckets.select("place", "bucket", ahead.alias("ahead"))  # at most 4096 rows a source
     along = Window.partitionBy("place", "bucket").orderBy("order", "doc_id", "size")
     along = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("ahead") + F.sum("size").over(along) - F.col("size")
