@@ -276,7 +276,9 @@ def read_archives(index: DataFrame, folder: str, payload: bool = True) -> DataFr
         if file is not None:
             file.close()
 
-    located = index.select("run", "start", "size").repartition("run").sortWithinPartitions("run", "start")
+    # Index rows are small and what they stand for is not, so the number of tasks follows the runs.
+    runs = index.select("run").distinct().count()
+    located = index.select("run", "start", "size").repartition(max(1, runs), "run").sortWithinPartitions("run", "start")
     return located.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
 
 
