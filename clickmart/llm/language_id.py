@@ -24,6 +24,7 @@ SIZES = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE_ROWS = 2000  # labelled texts to learn from, in all
 MOST_PER_LABEL = 500
+FREQUENT_LABELS = 10_000
 EPOCHS = 10
 RATE = 0.3
 DECAY = 0.1  # of the embeddings after each epoch
@@ -188,12 +189,19 @@ def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label
     usable = keep & F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
     order = F.xxhash64(F.col(id_column).cast("string"), F.lit("sample"))
     known = docs.where(usable).select(
-        F.col(id_column).alias("_id"), F.col(label_column).cast("string").alias("label"), order.alias("order")
+        F.col(id_column).alias("_id"),
+        F.col(label_column).cast("string").alias("label"),
+        F.shiftrightunsigned(order, 11).alias("order"),
     )
     rank = F.row_number().over(Window.partitionBy("label").orderBy("order", "_id"))
+    # Hashes low enough for about four times what is wanted, so no label brings many rows together.
+    numbers = known.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(FREQUENT_LABELS)
+    low = F.col("order") / F.lit(float(1 << 53)) * F.coalesce("n", F.lit(0)) < F.lit(4.0 * MOST_PER_LABEL)
     picked = (
-        known.withColumn("rank", rank)
-        .where(F.col("rank") <= MOST_PER_LABEL)  # cut in every task, before labels are brought together
+        known.join(F.broadcast(numbers), "label", "left")  # FREQUENT_LABELS rows; rarer labels keep all of theirs
+        .where(low)
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= MOST_PER_LABEL)
         .orderBy("rank", "order", "_id")
         .limit(SAMPLE_ROWS)
         .select("_id", "label", F.when(F.col("rank") % 5 == 0, 1).otherwise(0).alias("role"))
