@@ -3,7 +3,7 @@
 A mask picks some tokens out of a short window and ignores the others, so a changed token on an ignored place
 leaves the hash as it is. Hashes of the benchmark and of the training texts are joined, and around each
 hit the aligned tokens are compared one by one. The masks are chosen so that a window of WINDOW tokens with
-any TOLERANCE of them changed is always hit by at least one.
+any TOLERANCE of them changed is always hit by at least one; so is a shorter text with as many changes as ``spare`` allows.
 """
 
 from __future__ import annotations
@@ -93,6 +93,11 @@ def seeds(outside: int, filter_=None):
 SEED_SCHEMA = "id long, hash long, mask int, place long, text_tokens long, near binary"
 
 
+def spare(tokens):
+    """Changes that a passage of so many tokens may have: 0 from 7 on, 1 from 10 on, TOLERANCE from WINDOW on."""
+    return np.clip((tokens - min(map(len, MASKS))) // 3, 0, TOLERANCE)
+
+
 def agreement(batches):
     """Hits whose best window agrees well enough, with its number of equal tokens."""
     for batch in batches:
@@ -106,11 +111,13 @@ def agreement(batches):
                 np.frombuffer(b"".join(batch.column(c).take(pick).to_pylist()), np.uint32).reshape(len(rows), -1)
                 for c in ("near", "item_near")
             ]
-            equal = np.cumsum(sides[0] == sides[1], axis=1)
-            equal = np.concatenate([np.zeros((len(rows), 1), np.int64), equal], axis=1)
-            best[rows] = (equal[:, WINDOW:] - equal[:, :-WINDOW]).max(axis=1)
-        short = np.where(needed < WINDOW, TOLERANCE * needed // WINDOW, TOLERANCE)
-        kept = pa.array(best >= needed - short)
+            sums = []
+            for what in (sides[0] == sides[1], (sides[0] != 0) & (sides[1] != 1)):
+                total = np.concatenate([np.zeros((len(rows), 1), np.int64), np.cumsum(what, axis=1)], axis=1)
+                sums.append(total[:, WINDOW:] - total[:, :-WINDOW])
+            whole = sums[1] == needed[rows][:, None]  # as many places as needed lie within both texts
+            best[rows] = np.where(whole, sums[0], 0).max(axis=1)
+        kept = pa.array(best >= needed - spare(needed))
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c).filter(kept) for c in ("id", "item_id", "place", "item_place")),
@@ -143,7 +150,7 @@ def leaks(
     """(doc_id, item_id, equal_tokens, hits, first_token, last_token): documents that hold a passage of an item.
 
     Tokens are runs of letters and digits, lower-cased. A document leaks an item where WINDOW successive
-    tokens of both agree in all but TOLERANCE at most; an item of fewer tokens has to be there whole, with that share of changes.
+    tokens of both agree in all but TOLERANCE at most; an item of fewer tokens has to be there whole, with ``spare`` changes at most.
     Items of fewer tokens than the shorter mask cannot be told from chance and leak nowhere. Items with the same tokens and place
     share the smallest id. A null text is empty; a null id leaks under a null id; repeated rows give one result row
     for each document and item. Other columns are not read. Empty tables give an empty result.
@@ -176,4 +183,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     A row with a null id stays, as nothing tells which one leaks.
     """
     found = leaks(docs, benchmark, id_column, text_column).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs[id_column] == F.col("_leak"), "left_anti")
+    return docs.join(found, docs[id_column] == found["_leak"], "left_anti")

@@ -216,8 +216,13 @@ def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label
     return fit(rows)
 
 
-def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and rejected.
+def predict(
+    docs: DataFrame,
+    model: LanguageModel,
+    text_column: str = "text",
+    names: tuple[str, str, str] = ("lang_pred", "score", "rejected"),
+) -> DataFrame:
+    """``docs`` with lang_pred, score (0 to 1) and rejected, or other ``names``; columns so named are replaced.
 
     A text that is null or has no letter is UNKNOWN with score 0 and rejected. Any other text gets a label, and is rejected if its
     calibrated confidence is below the model's limit. Nothing but the text is looked at; rows are independent. Without a
@@ -245,14 +250,13 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
                         pa.array(score),
                         pa.array(~known | (score < model.least)),
                     ],
-                    names=[*piece.schema.names, "lang_pred", "score", "rejected"],
+                    names=[*piece.schema.names, *names],
                 )
 
-    added = T.StructType(
-        [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    )
-    kept = docs.drop("lang_pred", "score", "rejected")
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added.fields]))
+    kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
+    added = [T.StructField(name, kind) for name, kind in zip(names, kinds, strict=True)]
+    kept = docs.drop(*names)
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
 
 
 def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang") -> DataFrame:
@@ -261,5 +265,6 @@ def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     The model learns from the rows of ``docs`` that have a label. All columns stay.
     """
     model = train(docs, F.lit(True), id_column, text_column, label_column)
-    predicted = predict(docs, model, text_column).where("not rejected")
-    return predicted.withColumn(label_column, F.col("lang_pred")).select(docs.columns)
+    names = ("_llm_lang", "_llm_score", "_llm_rejected")
+    predicted = predict(docs, model, text_column, names).where("not _llm_rejected")
+    return predicted.withColumn(label_column, F.col("_llm_lang")).select(docs.columns)

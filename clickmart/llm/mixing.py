@@ -126,14 +126,16 @@ def repeat_texts(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id", te
 
     Ids have to be unique and not null here. Rows that are not taken are left out.
     """
-    plan = plan.where("taken > 0").select(F.col("doc_id").alias("_id"), "size", "taken")
-    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    words = F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size"))
-    joined = docs.join(plan, docs[id_column] == F.col("_id")).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(0), times - 1))
+    size, taken, copy = F.col("_mix_size"), F.col("_mix_taken"), F.col("_mix_copy")
+    plan = plan.where("taken > 0").select(
+        F.col("doc_id").alias("_mix_id"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken")
     )
-    lead = F.regexp_extract(
-        F.col(text_column), F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*" + WORD + r"){"), words.cast("string"), F.lit("}")), 0
+    times = F.ceil(taken / size).cast("int")
+    words = F.least(size, taken - copy * size)
+    joined = docs.join(plan, docs[id_column] == F.col("_mix_id")).withColumn(
+        "_mix_copy", F.explode(F.sequence(F.lit(0), times - 1))
     )
-    cut = F.when(words < F.col("size"), lead).otherwise(F.col(text_column))
-    return joined.withColumn(text_column, cut).drop("_id", "_copy", "size", "taken")
+    parts = F.regexp_extract_all(F.col(text_column), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    lead = F.array_join(F.slice(parts, F.lit(1), words.cast("int")), "")
+    cut = F.when(words < size, lead).otherwise(F.col(text_column))
+    return joined.withColumn(text_column, cut).drop("_mix_id", "_mix_copy", "_mix_size", "_mix_taken")

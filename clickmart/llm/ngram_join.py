@@ -377,4 +377,4 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "d
     """
     groups = ngram_jaccard(docs, k, percent, id_column, text_column)
     gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")

@@ -131,6 +131,7 @@ def findings_by_path(versions: DataFrame, findings: DataFrame, text_column: str
     """``versions`` with ``findings``: an array (start, rule, version, end), sorted; empty where nothing was found.
 
     One row for each row of ``versions``, also where many share a text. A finding that is given twice counts once.
+    Columns that are named ``blob`` or ``findings`` are replaced.
     """
     # Written, so that the join has a shuffle on either side and the paths of a hot content can be split.
     per_blob = materialize(
@@ -139,7 +140,7 @@ def findings_by_path(versions: DataFrame, findings: DataFrame, text_column: str
         )
     )
     none = F.array().cast("array<struct<start:bigint,rule:string,version:int,end:bigint>>")
-    addressed = content_address(versions, text_column)
+    addressed = content_address(versions.drop("findings"), text_column)
     return addressed.join(per_blob, "blob", "left").withColumn("findings", F.coalesce("findings", none))
 
 
