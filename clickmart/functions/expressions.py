@@ -16,7 +16,8 @@ STRENGTHS = {"view": 1, "cart": 2, "purchase": 3, "like": 4}
 MAX_INT_TEXT = 10
 MAX_FLOAT_TEXT = 20
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# Texts that count as a number.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def is_type(event_type: str) -> Column:
@@ -24,8 +25,11 @@ def is_type(event_type: str) -> Column:
 
 
 def cents(price: Column) -> Column:
-    """Price in whole cents. Summing integers is exact, so a total does not depend on row order."""
-    return F.rint(price * 100).try_cast("long")
+    """Price in whole cents, a half cent rounded away from zero as by a column of two decimals.
+
+    Summing integers is exact, so a total does not depend on row order.
+    """
+    return (price.try_cast("decimal(20,2)") * 100).try_cast("long")
 
 
 def money_sum(price: Column) -> Column:
@@ -67,11 +71,25 @@ def strength(interaction_type: Column) -> Column:
     return ladder
 
 
+def _text_length(c: Column) -> Column:
+    """Characters of a value as text; a number with an exponent counts as it is written without one.
+
+    Text itself is taken as it stands, whatever it looks like.
+    """
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), 1).otherwise(0)
+    digits = F.length(F.rtrim(F.regexp_replace(text, r"^-|\.|E.*$", ""), F.lit("0")))
+    exponent = F.regexp_extract(text, r"E([0-9]+)$", 1).try_cast("int")
+    plain = sign + F.when(exponent >= digits - 1, exponent + 3).otherwise(digits + 1)
+    is_number = F.typeof(c).isin("double", "float") & text.rlike(r"^-?[0-9.]+E([0-9]|1[0-5])$")
+    return F.when(is_number, plain).otherwise(F.length(text))
+
+
 def safe_int(c: Column) -> Column:
     """Whole number towards zero; NULL, unreadable or over-long text gives 0."""
     text = c.cast("string")
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double")).try_cast("long")
-    return F.when(F.length(text) > MAX_INT_TEXT, F.lit(0).cast("long")).otherwise(
+    number = F.when(text.rlike(NUMBER), text.try_cast("double")).try_cast("long")
+    return F.when(_text_length(c) > MAX_INT_TEXT, F.lit(0).cast("long")).otherwise(
         F.coalesce(number, F.lit(0).cast("long"))
     )
 
@@ -79,8 +97,8 @@ def safe_int(c: Column) -> Column:
 def safe_float(c: Column) -> Column:
     """Number; NULL, unreadable or over-long text gives 0.0."""
     text = c.cast("string")
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when(F.length(text) > MAX_FLOAT_TEXT, F.lit(0.0)).otherwise(
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(_text_length(c) > MAX_FLOAT_TEXT, F.lit(0.0)).otherwise(
         F.coalesce(number, F.lit(0.0))
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from clickmart.functions.expressions import (
     MAX_INT_TEXT,
+    NUMBER,
     SEGMENT_LADDER,
     SEGMENT_REST,
     STRENGTHS,
@@ -26,7 +27,7 @@ def register_helpers(spark: SparkSession) -> list[str]:
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION whole_number(txt STRING) RETURNS BIGINT "
-        f"RETURN CASE WHEN length(txt) > {MAX_INT_TEXT} THEN 0 "
+        f"RETURN CASE WHEN length(txt) > {MAX_INT_TEXT} OR NOT txt RLIKE r'{NUMBER}' THEN 0 "
         "ELSE coalesce(try_cast(try_cast(txt AS DOUBLE) AS BIGINT), 0) END"
     )
     return ["spend_segment", "interaction_strength", "whole_number"]

@@ -6,38 +6,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.operators.materialize import materialize
-from clickmart.operators.skew import HEAVY_ROWS, HEAVY_SHARE, heavy_keys
 
 
 def lead_by_key(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    value: str,
-    alias: str,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_ROWS,
+    df: DataFrame, key: str, order: list[str], value: str, alias: str, ranges: int | None = None
 ) -> DataFrame:
     """``df`` with the ``value`` of the next row of the same ``key`` along ``order``.
 
-    An ordinary key is one window group. A heavy key is cut into ranges of the order and each range
-    is a group of its own; only the last row of a range then needs the first value of the next one.
+    All rows are sorted by key and order into ranges, as many as there are shuffle partitions unless
+    ``ranges`` says otherwise; a key of any size spreads over as many of them as it needs. Within a
+    range the next row stands beside; the last row of a key in a range takes the first value of the key's next range.
     ``key`` must not be NULL.
     """
-    plain = Window.partitionBy(key).orderBy(*order)
-    heavy = heavy_keys(df, [key], share, min_rows)
-    if heavy.isEmpty():
-        return df.withColumn(alias, F.lead(value).over(plain))
-
-    heavy = F.broadcast(materialize(heavy))
-    rest = df.join(heavy, key, "left_anti").withColumn(alias, F.lead(value).over(plain))
-    return rest.unionByName(_lead_in_ranges(df.join(heavy, key, "left_semi"), key, order, value, alias))
-
-
-def _lead_in_ranges(
-    df: DataFrame, key: str, order: list[str], value: str, alias: str
-) -> DataFrame:
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Written out because the range number is a property of the task that produced the row: two
     # readers must see the same one.
     cut = materialize(
@@ -45,17 +26,18 @@ def _lead_in_ranges(
     )
     inside = Window.partitionBy(key, "_range").orderBy(*order)
     ahead = Window.partitionBy(key).orderBy("_range")
-    # Ranges are contiguous, so there are at most as many rows as heavy keys and ranges together.
-    first = (
-        cut.groupBy(key, "_range")
-        .agg(F.min(F.struct(*order, F.col(value).alias("_value"))).alias("_head"))
-        .select(key, "_range", F.lead("_head._value").over(ahead).alias("_next_head"))
+    heads = cut.groupBy(key, "_range").agg(
+        F.min(F.struct(*order, F.col(value).alias("_value"))).alias("_head")
+    )
+    # Only keys that go on in a further range have something to hand over: fewer rows than ranges.
+    follow = heads.select(key, "_range", F.lead("_head").over(ahead).alias("_next")).where(
+        "_next IS NOT NULL"
     )
+    follow = follow.select(key, "_range", F.col("_next._value").alias("_next_head"))
     return (
         cut.withColumn("_inside", F.lead(value).over(inside))
         .withColumn("_is_last", F.lead(F.lit(True)).over(inside).isNull())
-        .join(F.broadcast(first), [key, "_range"], "left")
+        .join(F.broadcast(follow), [key, "_range"], "left")
         .withColumn(alias, F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_inside")))
         .select(*df.columns, alias)
     )
-

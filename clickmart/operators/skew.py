@@ -5,14 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from one thousandth of all rows on, so there are at most a thousand heavy keys.
-HEAVY_SHARE = 0.001
-# Below this many rows a key is never worth splitting.
-HEAVY_ROWS = 1_000_000
-
 
 def heavy_keys(
-    df: DataFrame, keys: list[str], share: float = HEAVY_SHARE, min_rows: int = HEAVY_ROWS
+    df: DataFrame, keys: list[str], share: float, min_rows: int
 ) -> DataFrame:
     """Keys that hold at least ``share`` of all rows and at least ``min_rows`` rows.
 

@@ -9,26 +9,32 @@ from pyspark.sql import functions as F
 def upsert(
     target: DataFrame, updates: DataFrame, keys: list[str], update_cols: list[str] | None = None
 ) -> DataFrame:
-    """Target with the updates merged in; keys must be unique on either side.
+    """Target with the updates merged in. A key that either side holds twice fails the job.
 
     Without ``update_cols`` a matching row is replaced. With it only those columns take the new
     value, a NULL included, and every other column of a matching row keeps the old one. Keys that
-    are new are inserted either way. On a catalog with MERGE, use ``DataFrame.mergeInto``.
+    are new are inserted either way, and NULL is a key like any other. On a catalog with MERGE, use
+    ``DataFrame.mergeInto``.
     """
     updates = _complete(updates, target)
     if update_cols is None:
-        return target.join(updates, keys, "left_anti").unionByName(updates)
+        update_cols = [c for c in target.columns if c not in keys]
 
-    # One row per key on each side, so putting both under each other and grouping by key pairs them
-    # up like a full outer join would, whatever the keys look like.
+    # Putting both under each other and grouping by key pairs them up like a full outer join would,
+    # whatever the keys look like.
     row = F.struct(*target.columns)
     none = F.lit(None).cast(target.select(row.alias("row")).schema["row"].dataType)
     sides = target.select(*keys, row.alias("_old"), none.alias("_new")).unionByName(
         updates.select(*keys, none.alias("_old"), row.alias("_new"))
     )
-    both = sides.groupBy(*keys).agg(
-        F.first("_old", ignorenulls=True).alias("_old"),
-        F.first("_new", ignorenulls=True).alias("_new"),
+    both = (
+        sides.groupBy(*keys)
+        .agg(
+            F.first("_old", ignorenulls=True).alias("_old"),
+            F.first("_new", ignorenulls=True).alias("_new"),
+            F.greatest(F.count("_old"), F.count("_new")).alias("_times"),
+        )
+        .where(F.assert_true(F.col("_times") < 2, F.lit("a key is held twice")).isNull())
     )
     columns = []
     for name in target.columns:
@@ -44,10 +50,20 @@ def upsert(
     return both.select(*columns)
 
 
-def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Target plus the rows whose key it does not hold yet; one row per key among the new ones."""
-    fresh = _complete(rows, target).dropDuplicates(keys).join(target, keys, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+def insert_ignore(
+    target: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None
+) -> DataFrame:
+    """Target plus the rows whose key it does not hold yet; NULL is a key like any other.
+
+    Of several new rows with one key the first along ``order`` stays, and without it, or on ties, the
+    smallest by all columns.
+    """
+    rows = _complete(rows, target)
+    ranked = F.struct(*(order or []), F.struct(*target.columns).alias("_row"))
+    fresh = rows.groupBy(*keys).agg(F.min(ranked).alias("_first")).select("_first._row.*")
+    known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
+    return target.unionByName(fresh.join(known, same, "left_anti").select(*target.columns))
 
 
 def _complete(rows: DataFrame, target: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ from clickmart.functions import (
     money_sum,
 )
 from clickmart.operators.ordered import lead_by_key
-from clickmart.operators.skew import HEAVY_ROWS
 from clickmart.schema import to_canonical
 
 
@@ -186,7 +185,7 @@ def user_journey(events: DataFrame) -> DataFrame:
     )
 
 
-def product_affinity(events: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame:
+def product_affinity(events: DataFrame, ranges: int | None = None) -> DataFrame:
     """How often a user buys one product right after another, different one.
 
     Equal times are ordered by event id, where there is one, and then by product. Purchases without
@@ -197,7 +196,7 @@ def product_affinity(events: DataFrame, min_rows: int = HEAVY_ROWS) -> DataFrame
     bought = events.where(is_type("purchase") & F.col("product_id").isNotNull()).select(
         buyer.alias("buyer"), *order
     )
-    steps = lead_by_key(bought, "buyer", order, "product_id", "product_2", min_rows=min_rows)
+    steps = lead_by_key(bought, "buyer", order, "product_id", "product_2", ranges)
     return (
         steps.withColumnRenamed("product_id", "product_1")
         .where(F.col("product_2").isNotNull() & (F.col("product_1") != F.col("product_2")))

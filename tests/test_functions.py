@@ -31,6 +31,19 @@ def test_safe_int(spark):
     assert spark.range(1).select(fn.safe_int(null).alias("x")).first().x == 0
 
 
+def test_safe_numbers_of_doubles(spark):
+    cases = {12345678.0: 12345678, 123456789.0: 0, -1234567.0: -1234567, 12345678.5: 12345678, 12345678.25: 0}
+    for value, expected in cases.items():
+        assert one(spark, fn.safe_int(F.col("c")), c=value) == expected, value
+    assert one(spark, fn.safe_int(F.col("c")), c="1.2345678E7") == 0
+    assert one(spark, fn.safe_float(F.col("c")), c=123456789012345.0) == 123456789012345.0
+
+
+def test_half_cents_round_away_from_zero(spark):
+    for price, expected in {0.125: 13, 1.005: 101, -0.125: -13, 2.0: 200}.items():
+        assert one(spark, fn.cents(F.col("c")), c=price) == expected
+
+
 def test_safe_float(spark):
     cases = {"12.5": 12.5, "abc": 0.0, "": 0.0, "1" * 21: 0.0, "-0.5": -0.5, "NaN": 0.0}
     for text, expected in cases.items():
@@ -87,6 +100,6 @@ def test_sql_helpers(spark):
     assert len(fn.register_helpers(spark)) == 3
     row = spark.sql(
         "SELECT spend_segment(700) a, interaction_strength('cart') b, whole_number('4.9') c, "
-        "whole_number('x') d"
+        "whole_number('x') d, whole_number('1d') e"
     ).first()
-    assert tuple(row) == ("Premium", 2, 4, 0)
+    assert tuple(row) == ("Premium", 2, 4, 0, 0)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,23 @@ def test_upsert_of_some_columns_keeps_the_rest(spark):
     assert rows(op.upsert(merged, updates, ["id"], ["a"])) == rows(merged)
 
 
+def test_upsert_pairs_null_keys_and_refuses_duplicates(spark):
+    target = table(spark, (None, "a", "x"), (1, "b", "y"))
+    updates = table(spark, (None, "A", "X"))
+    for columns in (None, ["a", "b"]):
+        assert rows(op.upsert(target, updates, ["id"], columns)) == [(None, "A", "X"), (1, "b", "y")]
+        for twice in (updates.union(updates), table(spark, (1, "p", "q"), (1, "r", "s"))):
+            with pytest.raises(Exception, match="held twice"):
+                op.upsert(target, twice, ["id"], columns).collect()
+
+
+def test_insert_ignore_keeps_the_first_along_an_order(spark):
+    target = table(spark, (None, "a", "x"))
+    new = table(spark, (None, "z", "z"), (2, "b", "2"), (2, "c", "1"))
+    assert rows(op.insert_ignore(target, new, ["id"])) == [(None, "a", "x"), (2, "b", "2")]
+    assert rows(op.insert_ignore(target, new, ["id"], ["b"])) == [(None, "a", "x"), (2, "c", "1")]
+
+
 def test_upsert_with_missing_columns(spark):
     target = table(spark, (1, "a", "x"))
     updates = spark.createDataFrame([(1, "A"), (2, "B")], "id int, a string")
@@ -63,8 +81,8 @@ def test_lead_by_key_equals_brute_force(spark):
         following = [d[3] for d in mine[1:]] + [None]
         expected += [(*d, n) for d, n in zip(mine, following, strict=True)]
     expected = sorted(expected, key=lambda r: r[2])
-    for min_rows, share in ((10**9, 0.001), (500, 0.1), (1, 0.0001)):
-        result = op.lead_by_key(df, "key", ["t", "id"], "p", "n", share, min_rows)
+    for ranges in (None, 1, 7, 200):
+        result = op.lead_by_key(df, "key", ["t", "id"], "p", "n", ranges)
         assert sorted((tuple(r) for r in result.collect()), key=lambda r: r[2]) == expected
 
 
