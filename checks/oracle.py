@@ -39,17 +39,14 @@ def ladder(spend: str) -> str:
 
 
 FRAGMENTS = {
-    "ev": """
+    "lake": """
         SELECT e.event_id, e.ts AS event_time, CAST(e.user_id AS VARCHAR) AS user_id,
                CASE e.event_type WHEN 'click' THEN 'cart' ELSE e.event_type END AS event_type,
-               'prod_' || p.p_partkey AS product_id,
-               CASE WHEN k % 13 = 0 AND e.event_type <> 'purchase' THEN NULL ELSE e.value END
-                   AS price,
-               CASE WHEN k % 7 = 0 THEN NULL ELSE p.p_brand END AS brand,
-               CASE WHEN k % 11 = 0 THEN NULL ELSE p.p_type END AS category_code
+               'prod_' || p.p_partkey AS product_id, e.value AS price,
+               p.p_brand AS brand, p.p_type AS category_code
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) e
-        LEFT JOIN part p ON p.p_partkey = e.k
-        WHERE e.event_type IN ('view', 'click', 'purchase')""",
+        LEFT JOIN part p ON p.p_partkey = e.k""",
+    "ev": "SELECT * FROM lake WHERE event_type IN ('view', 'cart', 'purchase')",
     "hist": """
         SELECT l_orderkey * 100 + l_linenumber AS event_id, o_orderdate AS event_time,
                CAST(o_custkey AS VARCHAR) AS user_id, 'purchase' AS event_type,
@@ -256,7 +253,10 @@ def sql(names: str, select: str, **values: str) -> str:
     parts = []
     for name in names.split():
         if name == "prof":
-            texts = profile(values["events"], values.get("rule", "price IS NOT NULL"))
+            people = "lake" if values["events"] == "ev" else values["events"]
+            texts = profile(values.get("people", people), values.get("rule", "price IS NOT NULL"))
+        elif name == "ev":
+            texts = {"lake": FRAGMENTS["lake"], "ev": FRAGMENTS["ev"]}
         else:
             texts = {name: FRAGMENTS[name]}
         for key, text in texts.items():
@@ -270,6 +270,7 @@ def sql(names: str, select: str, **values: str) -> str:
 
 EVENT_COLUMNS = "event_time, event_type, product_id, price, brand, category_code, user_id"
 SAME_EVENTS = sql("ev", f"SELECT {EVENT_COLUMNS} FROM ev")
+WHOLE_LAKE = sql("ev", f"SELECT {EVENT_COLUMNS} FROM lake")
 PROFILE_COLUMNS = (
     "user_id, favorite_brand, most_viewed_category, total_purchases, total_spend, last_seen_date"
 )
@@ -386,9 +387,10 @@ RECS = "ev prof cat_lists cat_recs"
 
 def oracle() -> dict[str, str]:
     return {
-        "ingest_roundtrip": SAME_EVENTS,
-        "stream_ingest": SAME_EVENTS,
-        "lake_view_partition": SAME_EVENTS + " WHERE event_type = 'view'",
+        "ingest_roundtrip": WHOLE_LAKE,
+        "stream_ingest": WHOLE_LAKE,
+        "csv_dumps": WHOLE_LAKE,
+        "lake_view_partition": WHOLE_LAKE + " WHERE event_type = 'view'",
         "migrated_events": SAME_EVENTS,
         "migrated_profiles": sql(
             "ev prof", f"SELECT {PROFILE_COLUMNS} FROM prof".replace(
@@ -405,7 +407,7 @@ def oracle() -> dict[str, str]:
             "ev",
             f"""SELECT event_id, CAST(coalesce(trunc(price), 0) AS BIGINT) AS whole,
                    coalesce(price, 0.0) AS amount, CAST(0 AS BIGINT) AS product_number,
-                   {ladder("price * 10")} AS price_segment FROM ev""",
+                   {ladder("price * 10")} AS price_segment FROM lake""",
         ),
         "customer_360_rank": sql("ev prof", "SELECT * FROM prof"),
         "customer_360_mode": sql(
@@ -676,7 +678,7 @@ def oracle() -> dict[str, str]:
         "null_counts": sql(
             "ev",
             " UNION ALL ".join(
-                f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM ev"
+                f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM lake"
                 for c in ("user_id", "price", "brand", "category_code")
             ),
         ),

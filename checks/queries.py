@@ -29,7 +29,7 @@ from clickmart.plans import (
     similarity,
     warehouse,
 )
-from clickmart.schema import DAILY_METRICS_SCHEMA, conform
+from clickmart.schema import DAILY_METRICS_SCHEMA, WIRE_SCHEMA, conform
 from clickmart.sinks import (
     flat_items,
     publish_events,
@@ -43,6 +43,7 @@ from clickmart.sources import (
     migrate_events,
     migrate_profiles,
     read_event_stream,
+    read_events_csv,
     read_lake,
     star_schema,
     valid_events,
@@ -80,20 +81,26 @@ class Inputs:
         return f"{checkpoint_root(self.spark)}/{name}-{uuid.uuid4().hex}"
 
     @cached_property
-    def events(self) -> DataFrame:
+    def lake(self) -> DataFrame:
+        """Events of all types."""
         return star_schema.clickstream(self.spark, self.directory)
 
+    @cached_property
+    def events(self) -> DataFrame:
+        """Events of the types that the marts are made of."""
+        return warehouse.staged(self.lake)
+
     @cached_property
     def history(self) -> DataFrame:
         return star_schema.purchase_history(self.spark, self.directory)
 
     @cached_property
     def staging(self) -> dict[str, DataFrame]:
-        return warehouse.staging(self.events)
+        return warehouse.staging(self.lake)
 
     @cached_property
     def profile(self) -> DataFrame:
-        return profiles.customer_360(self.events)
+        return profiles.customer_360(self.lake)
 
     @cached_property
     def behavior(self) -> DataFrame:
@@ -183,21 +190,34 @@ EVENT_COLUMNS = [
 
 @query
 def ingest_roundtrip(i: Inputs) -> DataFrame:
-    return valid_events(decode_events(encode_events(i.events))).select(*EVENT_COLUMNS)
+    return valid_events(decode_events(encode_events(i.lake))).select(*EVENT_COLUMNS)
 
 
 @query
 def stream_ingest(i: Inputs) -> DataFrame:
     wire, lake, checkpoint = (i.scratch(n) for n in ("wire", "lake", "ingest"))
-    publish_events(i.events, path=wire)
+    publish_events(i.lake, path=wire)
     start_ingest(read_event_stream(i.spark, path=wire), lake, checkpoint, None).awaitTermination()
     return read_lake(i.spark, lake).select(*EVENT_COLUMNS)
 
 
+@query
+def csv_dumps(i: Inputs) -> DataFrame:
+    """Events written as dumps whose columns stand in different orders, and read back by header."""
+    wire = encode_events(i.lake).select(F.from_json("value", WIRE_SCHEMA).alias("e")).select("e.*")
+    dumps = i.scratch("dumps")
+    for part, names in enumerate((wire.columns, wire.columns[::-1])):
+        own = wire.where(F.pmod(F.xxhash64("user_id", "event_time"), F.lit(2)) == part)
+        own.select(*names).write.option("header", True).option("escape", '"').csv(f"{dumps}/{part}")
+    read = read_events_csv(i.spark, [f"{dumps}/0", f"{dumps}/1"])
+    events = decode_events(read.select(F.to_json(F.struct("*")).alias("value")))
+    return valid_events(events).select(*EVENT_COLUMNS)
+
+
 @query
 def lake_view_partition(i: Inputs) -> DataFrame:
     lake = i.scratch("lake")
-    i.events.write.partitionBy("event_type").parquet(lake)
+    i.lake.write.partitionBy("event_type").parquet(lake)
     return read_lake(i.spark, lake, ["view"]).select(*EVENT_COLUMNS)
 
 
@@ -224,7 +244,7 @@ def union_distinct_products(i: Inputs) -> DataFrame:
 
 @query
 def safe_numbers(i: Inputs) -> DataFrame:
-    return i.events.select(
+    return i.lake.select(
         "event_id",
         safe_int(F.col("price")).alias("whole"),
         safe_float(F.col("price")).alias("amount"),
@@ -243,7 +263,7 @@ def customer_360_rank(i: Inputs) -> DataFrame:
 
 @query
 def customer_360_mode(i: Inputs) -> DataFrame:
-    return profiles.customer_360(i.events, "mode")
+    return profiles.customer_360(i.lake, "mode")
 
 
 @query
@@ -342,8 +362,8 @@ def product_affinity(i: Inputs) -> DataFrame:
 
 @query
 def product_affinity_split(i: Inputs) -> DataFrame:
-    """The same with every user above a thousandth of the rows cut into ranges."""
-    return marts.product_affinity(i.events, min_rows=1)
+    """The same with more ranges than a task would choose, so that many users reach over several."""
+    return marts.product_affinity(i.events, ranges=97)
 
 
 @query
@@ -591,7 +611,7 @@ def duplicate_keys(i: Inputs) -> DataFrame:
 
 @query
 def null_counts(i: Inputs) -> DataFrame:
-    return check_not_null(i.events, ["user_id", "price", "brand", "category_code"])
+    return check_not_null(i.lake, ["user_id", "price", "brand", "category_code"])
 
 
 # The same marts over the line items, ten times the rows and many more users and products

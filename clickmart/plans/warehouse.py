@@ -41,6 +41,11 @@ def staging(lake: DataFrame) -> dict[str, DataFrame]:
     return {name: lake.where(F.col("event_type") == name) for name in EVENT_TYPES}
 
 
+def staged(lake: DataFrame) -> DataFrame:
+    """The events of all staging tables in one scan: the lake without types that have no such table."""
+    return lake.where(F.col("event_type").isin(EVENT_TYPES))
+
+
 def build_warehouse(
     spark: SparkSession, lake: str, out: str, as_of: str, k: int = 5
 ) -> DataFrame:
@@ -59,11 +64,12 @@ def build_warehouse(
         written[name] = spark.read.schema(df.schema).parquet(f"{out}/{name}")
         return written[name]
 
-    parts = [migrate_events(to_canonical(df)) for df in staging(read_lake(spark, lake)).values()]
+    everything = read_lake(spark, lake)
+    parts = [migrate_events(to_canonical(df)) for df in staging(everything).values()]
     events = save("combined_events", marts.combined_events(*parts), "event_type")
     by_type = staging(events)
 
-    profile = save("customer_360", profiles.customer_360(events))
+    profile = save("customer_360", profiles.customer_360(to_canonical(everything)))
     behavior = save("user_behavior", marts.user_behavior(events))
     save("product_popularity", marts.product_popularity(events))
     save("category_performance", marts.category_performance(events))

@@ -11,20 +11,16 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def clickstream(spark: SparkSession, directory: str) -> DataFrame:
-    """View, cart and purchase events with product attributes.
+    """All events with the attributes of their product, as a lake holds them.
 
-    ``props.k`` names the product. Price, brand and category are blanked by rule, because the
-    given events have no gaps and the marts must cope with them.
+    ``props.k`` names the product; a click puts it into the cart. Other event types pass as they are.
     """
     k = F.get_json_object("props", "$.k").cast("int")
-    events = (
-        table(spark, directory, "events")
-        .where(F.col("event_type").isin("view", "click", "purchase"))
-        .select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+    events = table(spark, directory, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", k.alias("k")
     )
     part = table(spark, directory, "part").select("p_partkey", "p_brand", "p_type")
     joined = events.join(part, F.col("p_partkey") == F.col("k"), "left")
-    no_price = (F.col("k") % 13 == 0) & (F.col("event_type") != "purchase")
     return joined.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("event_time"),
@@ -33,9 +29,9 @@ def clickstream(spark: SparkSession, directory: str) -> DataFrame:
         .otherwise(F.col("event_type"))
         .alias("event_type"),
         F.concat(F.lit("prod_"), F.col("p_partkey").cast("string")).alias("product_id"),
-        F.when(~no_price, F.col("value")).alias("price"),
-        F.when(F.col("k") % 7 != 0, F.col("p_brand")).alias("brand"),
-        F.when(F.col("k") % 11 != 0, F.col("p_type")).alias("category_code"),
+        F.col("value").alias("price"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_type").alias("category_code"),
     )
 
 

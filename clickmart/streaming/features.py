@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,23 +19,53 @@ FEATURE_SCHEMA = T.StructType(
         T.StructField("total_purchases", T.LongType()),
         T.StructField("total_spend", T.DoubleType()),
         T.StructField("last_activity_date", T.TimestampType()),
+        T.StructField("run", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
+def _complete(spark: SparkSession, root: str, kind: str) -> dict[tuple[int, int], str]:
+    """Folders of a kind that are written to the end, by run and batch."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in system.listStatus(path) if system.exists(path) else []:
+        name = re.fullmatch(rf"{kind}-(\d+)-(\d+)", status.getPath().getName())
+        if name and system.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
+            found[int(name[1]), int(name[2])] = status.getPath().toString()
+    return found
+
+
+def _run_number(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The run that a checkpoint stands for: kept beside it, and later than all that have written so far."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(checkpoint, "feature-run")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(folder):
+        return int(system.listStatus(folder)[0].getPath().getName())
+    earlier = [*_complete(spark, root, "batch"), *_complete(spark, root, "compact"), (0, 0)]
+    run = max(earlier)[0] + 1
+    system.mkdirs(hadoop.Path(folder, str(run)))
+    return run
+
+
 def start_feature_refresh(
     interactions: DataFrame, root: str, checkpoint: str, trigger: str | None = "1 minute"
 ) -> StreamingQuery:
     """Refresh the features of the users that each micro-batch touches.
 
     The counts so far live in the query's state, so no batch reads the history again. Each batch
-    writes the rows of its users to a folder of its own; a batch that is run again replaces it.
+    writes the rows of its users to a folder of its own; a batch that is run again replaces it. A new
+    checkpoint begins a new run, whose counts take the place of older ones for the users that it meets.
     """
     features = interactions.groupBy("user_id").agg(*feature_columns())
+    run = _run_number(interactions.sparkSession, root, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        place = [F.lit(run).alias("run"), F.lit(batch_id).alias("batch_id")]
+        batch.select("*", *place).write.mode("overwrite").parquet(f"{root}/batch-{run}-{batch_id}")
 
     writer = (
         features.writeStream.outputMode("update")
@@ -48,19 +79,35 @@ def start_feature_refresh(
     return writer.start()
 
 
+def _newest(spark: SparkSession, root: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The newest row of each user, and the batch up to which it holds."""
+    compacted, batches = _complete(spark, root, "compact"), _complete(spark, root, "batch")
+    base = max(compacted, default=(0, -1))
+    later = {at: path for at, path in batches.items() if at > base}
+    paths = [compacted[base]] if base in compacted else []
+    paths += later.values()
+    rows = spark.createDataFrame([], FEATURE_SCHEMA)
+    if paths:
+        rows = spark.read.schema(FEATURE_SCHEMA).parquet(*paths)
+    values = [c for c in FEATURE_SCHEMA.names if c not in ("user_id", "run", "batch_id")]
+    newest = F.max(F.struct("run", "batch_id", *values)).alias("newest")
+    return rows.groupBy("user_id").agg(newest).select("user_id", "newest.*"), max([base, *later])
+
+
 def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """Current features: the newest row per user. Empty before the first batch."""
-    try:
-        rows = spark.read.schema(FEATURE_SCHEMA).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = spark.createDataFrame([], FEATURE_SCHEMA)
-    values = [c for c in FEATURE_SCHEMA.names if c not in ("user_id", "batch_id")]
-    newest = F.max(F.struct("batch_id", *values)).alias("newest")
-    return rows.groupBy("user_id").agg(newest).select("user_id", *[f"newest.{c}" for c in values])
+    """Current features: the newest row per user. Empty before the first batch.
+
+    Reads what was compacted last and the complete batches after it.
+    """
+    return _newest(spark, root)[0].drop("run", "batch_id")
 
 
 def compact_features(spark: SparkSession, root: str, target: str) -> int:
-    """Write the current features as the next version of a table that the recommenders read."""
+    """Write the current features as the next version of a table that the recommenders read.
+
+    The same rows also become the base of later reads, so these do not grow with the number of batches.
+    """
+    rows, (run, batch) = _newest(spark, root)
+    if batch >= 0 and (run, batch) not in _complete(spark, root, "compact"):
+        rows.select(*FEATURE_SCHEMA.names).write.mode("overwrite").parquet(f"{root}/compact-{run}-{batch}")
     return write_version(read_features(spark, root), target)

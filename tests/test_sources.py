@@ -44,6 +44,17 @@ def test_csv_columns_go_by_name(spark, tmp_path):
     assert (row.user_id, row.event_type, row.price) == ("u1", "view", None)
 
 
+def test_csv_files_with_other_column_orders(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("event_type,user_id,price\nview,u1,1.5\n")
+    (tmp_path / "b.csv").write_text("price,event_time,user_id,event_type\n2.5,2024-01-02 00:00:00,u2,cart\n")
+    (tmp_path / "c.csv").write_text("")
+    found = sources.read_events_csv(spark, str(tmp_path))
+    assert rows(found.select("user_id", "event_type", "price", "event_time")) == [
+        ("u1", "view", "1.5", None),
+        ("u2", "cart", "2.5", "2024-01-02 00:00:00"),
+    ]
+
+
 def test_decode_bad_messages(spark):
     values = [
         '{"event_time":"2019-10-01 00:00:00 UTC","event_type":"view","price":"1.50",'

@@ -77,3 +77,36 @@ def test_features_follow_the_interactions(spark, data, tmp_path):
     assert rows(read_features(spark, root)) == rows(wanted)
     assert compact_features(spark, root, table) == 1
     assert rows(read_version(spark, table)) == rows(wanted)
+    assert rows(read_features(spark, root)) == rows(wanted)
+
+
+def test_features_survive_a_new_checkpoint(spark, tmp_path):
+    source, root, table = (str(tmp_path / n) for n in ("source", "features", "table"))
+    schema = "user_id string, product_id string, interaction_type string, strength int, interaction_time timestamp"
+
+    def views(user, n):
+        one = spark.createDataFrame([(user, "p", "view", 1)], "user_id string, product_id string, interaction_type string, strength int")
+        return one.withColumn("interaction_time", F.lit("2024-01-01").cast("timestamp")).crossJoin(spark.range(n).select()).select(
+            "user_id", "product_id", "interaction_type", "strength", "interaction_time"
+        )
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        start_feature_refresh(stream, root, str(tmp_path / checkpoint), None).awaitTermination()
+
+    def totals():
+        return {r.user_id: r.total_views for r in read_features(spark, root).collect()}
+
+    views("u", 3).coalesce(1).write.parquet(source)
+    run("first")
+    assert totals() == {"u": 3}
+    views("u", 5).coalesce(1).write.mode("append").parquet(source)
+    run("second")
+    assert totals() == {"u": 8}
+    compact_features(spark, root, table)
+    views("v", 2).coalesce(1).write.mode("append").parquet(source)
+    run("second")
+    assert totals() == {"u": 8, "v": 2}
+    spark.createDataFrame([("u", 99)], "user_id string, total_views long").write.parquet(f"{root}/batch-9-9")
+    (tmp_path / "features" / "batch-9-9" / "_SUCCESS").unlink()
+    assert totals() == {"u": 8, "v": 2}
