@@ -534,6 +534,23 @@ def oracle() -> dict[str, str]:
         "collaborative_unseen": sql(
             "ev inter vec norm dots near collab", COLLAB, neighbors="20"
         ),
+        "collaborative_for_best_customers": sql(
+            "ev prof inter vec norm dots near collab",
+            COLLAB + " WHERE user_id IN (SELECT user_id FROM prof "
+            "ORDER BY total_spend DESC NULLS LAST, user_id LIMIT 10)",
+            neighbors="10",
+        ),
+        "warehouse_build": sql(
+            "ev prof",
+            f"""SELECT 'combined_events' AS table_name, count(*) AS row_count FROM ev
+               UNION ALL SELECT 'customer_360', count(*) FROM prof
+               UNION ALL SELECT 'user_segments', count(*) FROM prof
+               UNION ALL SELECT 'user_behavior', count(DISTINCT user_id) FROM ev
+               UNION ALL SELECT 'daily_metrics', count(DISTINCT CAST(event_time AS DATE)) FROM ev
+               UNION ALL SELECT 'product_popularity', count(*) FROM (
+                   SELECT DISTINCT product_id, category_code FROM ev WHERE {PURCHASE}
+                   AND category_code IS NOT NULL AND product_id IS NOT NULL)""",
+        ),
         "hybrid": sql(
             "ev prof inter features part_features content vec norm dots near collab",
             """SELECT user_id, product_id, score AS recommendation_score,

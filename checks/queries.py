@@ -466,6 +466,23 @@ def collaborative_all(i: Inputs) -> DataFrame:
     return recommend.collaborative(i.interactions, exclude_seen=False)
 
 
+@query
+def collaborative_for_best_customers(i: Inputs) -> DataFrame:
+    """The same for the ten users who spent most."""
+    best = i.profile.orderBy(F.desc_nulls_last("total_spend"), "user_id").limit(10)
+    return recommend.collaborative(i.interactions, neighbors=10, targets=best)
+
+
+@query
+def warehouse_build(i: Inputs) -> DataFrame:
+    """Row counts of all tables, built from a lake of all given events."""
+    lake, out = i.scratch("lake"), i.scratch("warehouse")
+    i.lake.drop("event_id").write.partitionBy("event_type").parquet(lake)
+    return warehouse.build_warehouse(i.spark, lake, out, AS_OF).where(
+        F.col("table_name").isin("combined_events", "customer_360", "user_behavior", "user_segments", "product_popularity", "daily_metrics")
+    )
+
+
 @query
 def collaborative_unseen(i: Inputs) -> DataFrame:
     return recommend.collaborative(i.interactions)

@@ -1,5 +1,5 @@
 from clickmart.operators.materialize import materialize
-from clickmart.operators.ordered import lead_by_key
+from clickmart.operators.ordered import lead_by_key, number_rows
 from clickmart.operators.quality import (
     check_allowed,
     check_non_empty,
@@ -28,6 +28,7 @@ __all__ = [
     "insert_ignore",
     "lead_by_key",
     "materialize",
+    "number_rows",
     "partition_files",
     "row_counts",
     "sample_rows",

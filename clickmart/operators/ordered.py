@@ -1,8 +1,8 @@
-"""The next value along an order within a key, without putting a heavy key into one task."""
+"""Places and next values along an order, without putting all rows or a heavy key into one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.operators.materialize import materialize
@@ -41,3 +41,24 @@ def lead_by_key(
         .withColumn(alias, F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_inside")))
         .select(*df.columns, alias)
     )
+
+
+def number_rows(df: DataFrame, order: list[Column], alias: str) -> DataFrame:
+    """``df`` with the place of each row along ``order``: 1, 2, 3, and so on over all rows.
+
+    Rows are sorted into ranges and numbered there; what lies before a range is added. Written out, so
+    that every reader sees the same places.
+    """
+    spread = F.monotonically_increasing_id()  # the task in the upper bits, the row within it in the lower
+    cut = materialize(
+        df.orderBy(*order).select(
+            "*",
+            F.shiftright(spread, 33).alias("_part"),
+            spread.bitwiseAND(F.lit((1 << 33) - 1)).alias("_within"),
+        )
+    )
+    sizes = cut.groupBy("_part").count()  # one row for each partition
+    before = F.sum("count").over(Window.orderBy("_part")) - F.col("count")
+    sizes = F.broadcast(sizes.select("_part", before.alias("_before")))
+    place = F.col("_before") + F.col("_within") + 1
+    return cut.join(sizes, "_part").select(*df.columns, place.alias(alias))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart.functions import guarded_ratio
 from clickmart.operators.materialize import materialize
+from clickmart.operators.ordered import number_rows
 from clickmart.operators.ranking import top_n
 from clickmart.plans.similarity import similar_users
 
@@ -24,9 +24,6 @@ COLLABORATIVE_REASON = "Collaborative: Similar users liked this"
 HYBRID_REASON = "Hybrid: Combined content and collaborative filtering"
 POPULARITY_REASON = "Popularity-based recommendation"
 
-# Products compared with what users touched at a time, most popular first.
-POPULAR_PAGE = 10_000
-
 
 def _exact(score: Column) -> Column:
     """Scores have four decimals; as decimals their weighted sums round the same way everywhere."""
@@ -94,14 +91,24 @@ def collaborative(
     exclude_seen: bool = True,
     mode: str = "vector",
     neighborhood: DataFrame | None = None,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
     """Products that similar users interacted with, by average similarity times strength.
 
     ``exclude_seen`` leaves out what the user knows already. Pass ``neighborhood`` (the result of
-    ``similar_users``) to use it for several calls.
+    ``similar_users``) to use it for several calls. ``targets`` (a frame with ``user_id``) asks for these
+    users only: then only what they and their neighbours did is read after the neighbours are known.
     """
+    if targets is not None:
+        targets = targets.select("user_id").distinct()
     if neighborhood is None:
-        neighborhood = similar_users(interactions, neighbors, mode)
+        neighborhood = similar_users(interactions, neighbors, mode, targets)
+    elif targets is not None:
+        neighborhood = neighborhood.join(targets, "user_id", "left_semi")
+    if targets is not None:
+        neighborhood = materialize(neighborhood)
+        involved = targets.union(neighborhood.select("similar_user_id")).distinct()
+        interactions = interactions.join(involved, "user_id", "left_semi")
     liked = interactions.groupBy("user_id", "product_id").agg(
         F.sum(F.col("interaction_strength").cast("long")).alias("strength"),
         F.count("*").alias("interactions"),
@@ -143,8 +150,14 @@ def hybrid(
     k: int = 10,
     w_content: Decimal = CONTENT_WEIGHT,
     w_collab: Decimal = COLLABORATIVE_WEIGHT,
+    targets: DataFrame | None = None,
 ) -> DataFrame:
-    """Content recommendations, weighted with their collaborative score (0 if they have none)."""
+    """Content recommendations, weighted with their collaborative score (0 if they have none).
+
+    ``targets`` (a frame with ``user_id``) asks for these users only.
+    """
+    if targets is not None:
+        content = content.join(targets.select("user_id").distinct(), "user_id", "left_semi")
     content = content.select(
         "user_id", "product_id", F.col("recommendation_score").alias("content_score")
     )
@@ -175,45 +188,46 @@ def popularity_recs(
     jitter: float | None = None,
     seed: int = 0,
     model_id: int = 1,
-    page: int = POPULAR_PAGE,
 ) -> DataFrame:
     """The most popular products a user has not touched yet.
 
-    The catalogue is gone through in pages of ``page`` products. The first page serves everybody
-    who has not touched nearly all of it; the next pages are only for the users still short of
-    ``k``. So every step handles a bounded page and nobody's list is cut.
+    The catalogue is numbered by popularity once. The places that a user has touched, in order, leave
+    gaps between them; the first ``k`` places in the gaps are the answer, however much of the
+    catalogue the user knows.
 
     ``jitter=0.2`` spreads the score by up to a fifth either way, by seed and not by run.
     """
-    catalogue = products.select("product_id", "popularity_score")
     by_popularity = [F.desc_nulls_last("popularity_score"), F.asc("product_id")]
-    waiting = users.select("user_id").distinct().withColumn("have", F.lit(0))
-    picked: list[DataFrame] = []
-    rest = catalogue
-    while True:
-        # At most ``page`` rows, as the limit says: one task numbers them, every task gets them.
-        place = F.row_number().over(Window.orderBy(*by_popularity))
-        best = materialize(rest.orderBy(*by_popularity).limit(page).withColumn("place", place))
-        last = best.where(F.col("place") == page).first()
-        listed = page if last is not None else best.count()
-        choice = _first_untouched(waiting, F.broadcast(best), interactions, listed, k)
-        if last is None:
-            picked.append(_place_products(choice, best))
-            break
-        choice = materialize(choice)
-        picked.append(_place_products(choice, best))
-        waiting = choice.select("user_id", (F.col("have") + F.size("free")).alias("have")).where(
-            F.col("have") < k
-        )
-        if waiting.isEmpty():
-            break
-        rest = catalogue.where(_after(last.popularity_score, last.product_id))
-
+    ranked = number_rows(products.select("product_id", "popularity_score"), by_popularity, "place")
+    users = users.select("user_id").distinct()
+    touched = (
+        interactions.select("user_id", "product_id")
+        .join(ranked.select("product_id", "place"), "product_id")
+        .select("user_id", "place")
+        .distinct()
+        .join(users, "user_id", "left_semi")
+    )
+    end = ranked.agg(F.coalesce(F.max("place"), F.lit(0)) + 1).scalar()
+    along = Window.partitionBy("user_id").orderBy("place")
+    number = F.row_number().over(along)
+    low = F.coalesce(F.lag("place").over(along), F.lit(0).cast("long"))
+    # Up to the number-th touched place there are place - number others, and low + 1 - number before the gap.
+    gaps = touched.union(users.withColumn("place", end)).select(
+        "user_id", "place", low.alias("low"), (low + 1 - number).alias("have")
+    )
+    taken = F.least(F.col("place") - F.col("low") - 1, F.lit(k) - F.col("have"))
+    free = F.sequence(F.lit(1).cast("long"), taken)
+    picked = (
+        gaps.where(taken > 0)
+        .select("user_id", "low", "have", F.explode(free).alias("i"))
+        .select("user_id", (F.col("low") + F.col("i")).alias("place"), (F.col("have") + F.col("i")).alias("rank"))
+        .join(ranked, "place")
+    )
     score = _exact(F.coalesce(F.round("popularity_score", 4), F.lit(0.0)))
     if jitter is not None:
         noise = F.pmod(F.xxhash64("user_id", "product_id", F.lit(seed)), F.lit(1_000_000)) / 1e6
         score = _exact(F.round(score.cast("double") * (1 - jitter + 2 * jitter * noise), 4))
-    return reduce(DataFrame.unionByName, picked).select(
+    return picked.select(
         "user_id",
         "product_id",
         F.lit(model_id).alias("model_id"),
@@ -224,47 +238,6 @@ def popularity_recs(
     )
 
 
-def _after(score: float | None, product_id: str) -> Column:
-    """Products that follow the given one in the order of popularity."""
-    later_id = F.col("product_id") > product_id
-    if score is None:
-        return F.col("popularity_score").isNull() & later_id
-    same = (F.col("popularity_score") == score) & later_id
-    return F.col("popularity_score").isNull() | (F.col("popularity_score") < score) | same
-
-
-def _first_untouched(
-    waiting: DataFrame, best: DataFrame, interactions: DataFrame, listed: int, k: int
-) -> DataFrame:
-    """Places of the first listed products per user that the user has not touched, up to ``k``.
-
-    With ``t`` of them touched, the first ``k`` untouched ones are within the first ``t + k``.
-    """
-    touched = (
-        interactions.join(waiting, "user_id", "left_semi")
-        .join(best.select("product_id", "place"), "product_id")
-        .groupBy("user_id")
-        .agg(F.collect_set("place").alias("touched"))
-    )
-    none = F.array().cast("array<int>")
-    known = F.coalesce("touched", none)
-    missing = F.lit(k) - F.col("have")
-    reach = F.least(F.lit(listed), F.size(known) + missing)
-    places = F.when(reach > 0, F.sequence(F.lit(1), F.greatest(reach, F.lit(1)))).otherwise(none)
-    free = F.slice(F.array_except(places, known), F.lit(1), missing)
-    return waiting.join(touched, "user_id", "left").select("user_id", "have", free.alias("free"))
-
-
-def _place_products(choice: DataFrame, best: DataFrame) -> DataFrame:
-    spread = choice.select("user_id", "have", F.posexplode("free").alias("i", "place"))
-    return spread.join(F.broadcast(best), "place").select(
-        "user_id",
-        "product_id",
-        "popularity_score",
-        (F.col("have") + F.col("i") + 1).alias("rank"),
-    )
-
-
 def recommendation_summary(features: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Recommendations, clicks and purchases per user, users without any included."""
     counts = recommendations.groupBy("user_id").agg(

@@ -14,6 +14,7 @@ from clickmart.plans.category_recs import (
     recommend_by_category,
 )
 from clickmart.schema import EVENT_TYPES, to_canonical
+from clickmart.sinks.tables import write_version
 from clickmart.sources.files import read_lake
 from clickmart.sources.tables import migrate_events
 
@@ -51,17 +52,14 @@ def build_warehouse(
 ) -> DataFrame:
     """Build every table from the lake in dependency order and return their row counts.
 
-    Each table is written once and its dependants read the written files, so a step that has to
-    run again starts from those and not from the lake.
+    Each table is written once, as a new version beside the old ones, and its dependants read the
+    written files. Readers keep the version that they have; ``read_version`` finds the newest.
     """
     written: dict[str, DataFrame] = {}
 
     def save(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite")
-        if partition is not None:
-            writer = writer.partitionBy(partition)
-        writer.parquet(f"{out}/{name}")
-        written[name] = spark.read.schema(df.schema).parquet(f"{out}/{name}")
+        version = write_version(df, f"{out}/{name}", partition)
+        written[name] = spark.read.schema(df.schema).parquet(f"{out}/{name}/version={version}")
         return written[name]
 
     everything = read_lake(spark, lake)

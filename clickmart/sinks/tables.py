@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,15 +57,31 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return newest
 
 
-def write_version(df: DataFrame, root: str) -> int:
+def write_version(df: DataFrame, root: str, partition: str | None = None) -> int:
     """Write ``df`` as the next version.
 
-    ``df`` may read the current one: readers keep it until the new version is complete, and a job
-    that dies half-way leaves a folder without the success marker, which nobody reads.
+    ``df`` may read the current one: readers keep it until the new version is complete. It is written to a
+    folder of its own and gets its number when it is done, by a rename that fails where that number is
+    taken. So two writers never write into one folder, and a job that dies half-way leaves nothing that is read.
     """
-    version = latest_version(df.sparkSession, root) + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    return version
+    spark = df.sparkSession
+    path, fs = _file_system(spark, root)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    written = hadoop.Path(path, f"_writing-{uuid.uuid4().hex}")
+    writer = df.write if partition is None else df.write.partitionBy(partition)
+    writer.parquet(written.toString())
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    never = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    version = latest_version(spark, root) + 1
+    while True:
+        target = hadoop.Path(path, f"version={version}")
+        try:
+            context.rename(fs.makeQualified(written), fs.makeQualified(target), never)
+            return version
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            version += 1
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:

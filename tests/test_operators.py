@@ -130,3 +130,13 @@ def test_partition_files(spark, tmp_path):
     events = spark.range(6).withColumn("event_type", F.when(F.col("id") < 2, "a").otherwise("b"))
     events.coalesce(1).write.partitionBy("event_type").parquet(path)
     assert rows(op.partition_files(spark.read.parquet(path))) == [("a", 1, 2), ("b", 1, 4)]
+
+
+def test_number_rows_equals_brute_force(spark):
+    draw = random.Random(4)
+    data = [(i, draw.choice([0.5, 0.1, None])) for i in range(500)]
+    df = spark.createDataFrame(data, "id long, score double").repartition(7)
+    found = op.number_rows(df, [F.desc_nulls_last("score"), F.asc("id")], "place").collect()
+    ordered = sorted(data, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    assert {r.id: r.place for r in found} == {r[0]: i for i, r in enumerate(ordered, start=1)}
+    assert op.number_rows(df.limit(0), [F.asc("id")], "place").isEmpty()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import json
 import uuid
 from pathlib import Path
@@ -119,3 +121,11 @@ def test_items_json(spark, tmp_path):
     path = str(tmp_path / "items")
     sinks.write_items_json(frame(spark, 1, 2), path)
     assert spark.read.json(path).count() == 2
+
+
+def test_concurrent_writers_get_versions_of_their_own(spark, tmp_path):
+    root = str(tmp_path / "table")
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda n: sinks.write_version(spark.range(n), root), range(1, 7)))
+    assert sorted(made) == [1, 2, 3, 4, 5, 6]
+    assert sorted(sinks.read_version(spark, root, v).count() for v in made) == [1, 2, 3, 4, 5, 6]
