@@ -29,7 +29,7 @@ from clickmart.plans import (
     similarity,
     warehouse,
 )
-from clickmart.schema import DAILY_METRICS_SCHEMA, WIRE_SCHEMA, conform
+from clickmart.schema import DAILY_METRICS_SCHEMA, EVENT_TYPES, WIRE_SCHEMA, conform
 from clickmart.sinks import (
     flat_items,
     publish_events,
@@ -88,7 +88,7 @@ class Inputs:
     @cached_property
     def events(self) -> DataFrame:
         """Events of the types that the marts are made of."""
-        return warehouse.staged(self.lake)
+        return star_schema.clickstream(self.spark, self.directory, EVENT_TYPES)
 
     @cached_property
     def history(self) -> DataFrame:

@@ -76,22 +76,51 @@ def user_behavior(events: DataFrame) -> DataFrame:
     )
 
 
+def _funnel(events: DataFrame, key: str, users: str, products: str) -> DataFrame:
+    """Counts and purchase money per key, and how many users and products it has.
+
+    Rows are added up per user and product first. Both distinct counts then work on what is left, each
+    with a grouping of its own, instead of copying every row for the second one.
+    """
+    bought = F.when(is_type("purchase"), cents(F.col("price")))
+    sums = {
+        "total_events": F.count("*"),
+        "purchase_count": _count("purchase"),
+        "view_count": _count("view"),
+        "cart_count": _count("cart"),
+        "_revenue": F.sum(F.when(is_type("purchase"), bought).otherwise(F.lit(0))),
+        "_paid": F.sum(bought),
+        "_priced": F.count(bought),
+    }
+    again = [F.sum(name).alias(name) for name in sums]
+    pairs = (
+        events.where(F.col(key).isNotNull())
+        .groupBy(key, "user_id", "product_id")
+        .agg(*[c.alias(name) for name, c in sums.items()])
+    )
+    total = pairs.groupBy(key, "user_id").agg(*again).groupBy(key)
+    items = pairs.select(key, "product_id").distinct().groupBy(key)
+    return (
+        total.agg(*again, F.count("user_id").alias(users))
+        .join(items.agg(F.count("product_id").alias(products)), key)
+        .withColumn("total_revenue", F.col("_revenue") / F.lit(100.0))
+        .withColumn("avg_purchase_value", F.try_divide(F.col("_paid") / F.lit(100.0), "_priced"))
+    )
+
+
 def category_performance(events: DataFrame) -> DataFrame:
     """Funnel and revenue per category."""
-    return (
-        events.where(F.col("category_code").isNotNull())
-        .groupBy("category_code")
-        .agg(
-            F.count("*").alias("total_events"),
-            _count("purchase").alias("purchase_count"),
-            _count("view").alias("view_count"),
-            _count("cart").alias("cart_count"),
-            _revenue().alias("total_revenue"),
-            _purchase_avg().alias("avg_purchase_value"),
-            F.count_distinct("user_id").alias("unique_users"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
-        .withColumn("conversion_rate", guarded_ratio(F.col("purchase_count"), F.col("view_count")))
+    return _funnel(events, "category_code", "unique_users", "unique_products").select(
+        "category_code",
+        "total_events",
+        "purchase_count",
+        "view_count",
+        "cart_count",
+        "total_revenue",
+        "avg_purchase_value",
+        "unique_users",
+        "unique_products",
+        guarded_ratio(F.col("purchase_count"), F.col("view_count")).alias("conversion_rate"),
     )
 
 
@@ -156,17 +185,14 @@ def metrics_for_day(events: DataFrame, day: str) -> DataFrame:
 
 def brand_performance(events: DataFrame) -> DataFrame:
     """Revenue and reach per brand."""
-    return (
-        events.where(F.col("brand").isNotNull())
-        .groupBy("brand")
-        .agg(
-            F.count("*").alias("total_events"),
-            _count("purchase").alias("purchase_count"),
-            _revenue().alias("total_revenue"),
-            _purchase_avg().alias("avg_purchase_value"),
-            F.count_distinct("user_id").alias("unique_customers"),
-            F.count_distinct("product_id").alias("unique_products"),
-        )
+    return _funnel(events, "brand", "unique_customers", "unique_products").select(
+        "brand",
+        "total_events",
+        "purchase_count",
+        "total_revenue",
+        "avg_purchase_value",
+        "unique_customers",
+        "unique_products",
     )
 
 

@@ -10,15 +10,21 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def clickstream(spark: SparkSession, directory: str) -> DataFrame:
+def clickstream(
+    spark: SparkSession, directory: str, event_types: list[str] | None = None
+) -> DataFrame:
     """All events with the attributes of their product, as a lake holds them.
 
     ``props.k`` names the product; a click puts it into the cart. Other event types pass as they are.
+    ``event_types`` reads some types only, as ``read_lake`` does.
     """
     k = F.get_json_object("props", "$.k").cast("int")
     events = table(spark, directory, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", k.alias("k")
     )
+    if event_types is not None:
+        given = ["click" if name == "cart" else name for name in event_types]
+        events = events.where(F.col("event_type").isin(sorted(given)))
     part = table(spark, directory, "part").select("p_partkey", "p_brand", "p_type")
     joined = events.join(part, F.col("p_partkey") == F.col("k"), "left")
     return joined.select(

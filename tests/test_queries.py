@@ -46,3 +46,8 @@ def test_profile_scans_once_without_joining_aggregates(spark, data):
     plan = plan_of(spark, data, "customer_360_rank")
     assert plan.count("FileScan parquet") == 2
     assert plan.count("Join") == 1
+
+
+@pytest.mark.parametrize("name", ["category_performance", "brand_performance"])
+def test_distinct_counts_copy_no_rows(spark, data, name):
+    assert "Expand" not in plan_of(spark, data, name)
