@@ -13,8 +13,8 @@ from clickmart.operators.ranking import top_n, top_n_tree
 
 # Products with more users than this are searched through their strongest users first.
 PROBE_DEPTH = 1000
-# Most parts that the users of one product are split into while they are searched.
-MAX_PARTS = 4096
+# Users of one product that a task compares with the others.
+BLOCK_USERS = 1000
 # How much deeper the search goes for users whose result is not certain yet.
 DEEPER = 8
 # Bounds are floating-point sums; a score has to beat its bound by more than their error.
@@ -198,11 +198,19 @@ def _others(vectors: DataFrame) -> DataFrame:
 def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
     """Users on the left with those on the right who share a product.
 
-    The number of tasks is given: the join multiplies its input, so partitions merged by input
-    size would be far too few.
+    The users on the left of a product are dealt into blocks, and each block meets all users on the
+    right, so no task has a popular product to itself. The number of tasks is given: the join
+    multiplies its input, so partitions merged by input size would be far too few.
     """
-    spread = left.repartition(_tasks(left.sparkSession), "product_id")
-    return spread.join(_others(right), "product_id")
+    blocks = left.groupBy("product_id").agg(
+        F.ceil(F.count("*") / F.lit(BLOCK_USERS)).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
+    spread = left.join(blocks, "product_id").withColumn("block", block).drop("blocks")
+    spread = spread.repartition(_tasks(left.sparkSession), "product_id", "block")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    copies = _others(right).join(blocks, "product_id").withColumn("block", every).drop("blocks")
+    return spread.join(copies, ["product_id", "block"]).drop("block")
 
 
 def _sum_dots(met: DataFrame) -> DataFrame:
@@ -328,7 +336,7 @@ def _probe(
     mine = _of(crowd, open_users)
     # The users of a product are handled in parts, so that however many users share it, a task
     # sees about ``depth`` of them.
-    parts = F.least(F.ceil(F.col("users") / depth), F.lit(MAX_PARTS)).cast("int")
+    parts = F.ceil(F.col("users") / depth).cast("int")
     # At most ``depth`` users per product, strongest first.
     order = [F.desc("share"), F.asc("uid")]
     strongest = materialize(
