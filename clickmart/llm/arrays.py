@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,10 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in slices whose texts have about ``limit`` bytes; a longer text is a slice of its own."""
+    """The batch in slices whose texts have about ``limit`` bytes; a longer text is a slice of its own.
+
+    After the last one memory that is free goes back to the system, as workers live on for other tasks.
+    """
     if not batch.num_rows:
         return
     _, offsets = utf8(batch.column(column))
@@ -36,6 +41,13 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         end = max(end, at + 1)
         yield batch.slice(at, end - at)
         at = end
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.arrays import mix, pieces, words
+from clickmart.operators.materialize import materialize
 
 WINDOW = 13
 TOLERANCE = 2
@@ -164,7 +165,9 @@ def leaks(
     ).withColumnRenamed("near", "item_near")
     filter_ = docs.sparkSession.sparkContext.broadcast(may_be_seeds(items.select("hash")))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.lower(F.col(text_column).cast("string")).alias("text"))
-    hits = texts.mapInArrow(seeds(0, filter_), SEED_SCHEMA).drop("text_tokens").join(items, ["hash", "mask"])
+    # Written, so that finding and comparing do not need two workers for each task at the same time.
+    found = materialize(texts.mapInArrow(seeds(0, filter_), SEED_SCHEMA).drop("text_tokens"))
+    hits = found.join(items, ["hash", "mask"])
     agreed = hits.mapInArrow(agreement, "id long, item_id long, place long, item_place long, equal long")
     return (
         agreed.groupBy(F.col("id").alias("doc_id"), "item_id")
