@@ -265,7 +265,6 @@ def links(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Class of every document (id, n, node), and edges (a, b) between classes that keep all connections.
 
     Documents with the same set form a class, named by its smallest id. A class that shares a prefix element
-Documents with the same set form a class, named by its smallest id. A class that shares a prefix element
     with others has as its home the smallest class that it shares one with. Two classes may only be similar if they share
     as many prefix elements as sets of their sizes have to. Within a home that is counted for all classes in
     blocks of bounded size, and those with a possible partner are compared on their whole sets in the same way; a block hands on
