@@ -192,7 +192,10 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ur
         url_key(F.col(url_column).cast("string")).alias("urlkey"),
     )
     payload = [F.sha1("html").alias("digest"), F.octet_length("html").alias("length")]
-    holders = rows.select("page_id", *payload).groupBy("digest", "length").agg(F.max("page_id").alias("holder"))
+    # Written, so that the join has a shuffle on either side and the pages of a hot payload can be split.
+    holders = materialize(
+        rows.select("page_id", *payload).groupBy("digest", "length").agg(F.max("page_id").alias("holder"))
+    )
     marked = rows.select("*", *payload).join(holders, ["digest", "length"])
     revisit = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
     written = (
