@@ -80,10 +80,11 @@ def mix(
     Sizes are words. ``taken`` is the number of words, repeats counted: every document of a source as many whole
     times as its target allows, and once more along the order of md5(seed, id) until the target is reached;
     the document at which that happens gives its leading words only. So a source takes its target to the word.
-    A null source is a source of its own, placed last; null texts have size 0 and are taken 0 times; null ids share one place in
-    the order. Repeated rows are documents of their own. Other columns are not read. An empty table gives an empty result.
+    A null source is a source of its own, placed last; null texts have size 0 and are taken 0 times; a document with a null
+    id is placed in the order by its text, so many of them spread over the buckets. Repeated rows are documents of their own. Other columns are not read. An empty table gives an empty result.
     """
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
+    key = F.coalesce(F.col(id_column).cast("string"), F.md5(F.col(text_column).cast("string")), F.lit(""))
+    order = F.md5(F.concat_ws(":", F.lit(seed), key))
     sized = materialize(
         docs.select(
             F.col(id_column).alias("doc_id"),

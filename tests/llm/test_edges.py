@@ -182,3 +182,14 @@ def test_archives(spark, tmp_path):
     assert {r["html"] for r in found} == {"<p>é\r\n\r\nx</p>", "", "alone", "z" * 400_000, None}
     nothing = warc.write_archives(pages.where("false"), folder)
     assert warc.read_archives(nothing, folder).collect() == []
+
+
+def test_mix_spreads_documents_without_id(spark):
+    rows = [(None, "s", f"some words of text {i}") for i in range(200)]
+    rows += [(None, "t", None), (None, "s", None), (1, "s", "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    first = mixing.mix(docs, share=0.5)
+    again = mixing.mix(docs.repartition(7), share=0.5)
+    assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
+    taken = first.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 1 for r in taken)
