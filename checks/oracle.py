@@ -61,6 +61,9 @@ FRAGMENTS = {
         FROM part LEFT JOIN (SELECT product_id, {number_of("purchase")} AS bought
                              FROM ev GROUP BY product_id) c
              ON c.product_id = 'prod_' || p_partkey""",
+    "sold": """
+        SELECT * FROM part_features
+        WHERE product_id IN (SELECT product_id FROM ev WHERE product_id IS NOT NULL)""",
     "seg": f"""
         SELECT user_id, total_spend, total_purchases, favorite_brand, most_viewed_category,
                last_seen_date, {ladder("total_spend")} AS segment FROM prof""",
@@ -181,7 +184,7 @@ FRAGMENTS = {
             JOIN (SELECT *, CAST(round(CAST(avg_rating AS DECIMAL(12,4)) * 0.4
                                  + CAST(popularity_score AS DECIMAL(12,4)) * 0.6, 4) AS DOUBLE)
                              AS score
-                  FROM part_features) p
+                  FROM {products}) p
               ON p.category_code = f.favorite_category OR p.brand = f.favorite_brand)
         WHERE rn <= 10""",
     "pop": """
@@ -242,6 +245,7 @@ PLAIN = {
     "tie": "",
     "square": "w * w",
     "neighbors": "10",
+    "products": "part_features",
     "seen": "NOT EXISTS (SELECT 1 FROM vec x WHERE x.user_id = s.user_id "
     "AND x.product_id = s.product_id)",
 }
@@ -541,7 +545,7 @@ def oracle() -> dict[str, str]:
             neighbors="10",
         ),
         "warehouse_build": sql(
-            "ev prof",
+            "ev prof inter features part_features sold content vec norm dots near collab",
             f"""SELECT 'combined_events' AS table_name, count(*) AS row_count FROM ev
                UNION ALL SELECT 'customer_360', count(*) FROM prof
                UNION ALL SELECT 'user_segments', count(*) FROM prof
@@ -549,7 +553,21 @@ def oracle() -> dict[str, str]:
                UNION ALL SELECT 'daily_metrics', count(DISTINCT CAST(event_time AS DATE)) FROM ev
                UNION ALL SELECT 'product_popularity', count(*) FROM (
                    SELECT DISTINCT product_id, category_code FROM ev WHERE {PURCHASE}
-                   AND category_code IS NOT NULL AND product_id IS NOT NULL)""",
+                   AND category_code IS NOT NULL AND product_id IS NOT NULL)
+               UNION ALL SELECT 'user_product_interactions', count(*) FROM inter
+               UNION ALL SELECT 'user_behavior_features', count(*) FROM features
+               UNION ALL SELECT 'product_features', count(*) FROM sold
+               UNION ALL SELECT 'similar_users', count(*) FROM near
+               UNION ALL SELECT 'content_recommendations', count(*) FROM content
+               UNION ALL SELECT 'collaborative_recommendations', count(*) FROM collab
+               UNION ALL SELECT 'hybrid_recommendations', count(*) FROM content
+               UNION ALL SELECT 'popularity_recommendations', CAST(sum(least(5,
+                   (SELECT count(*) FROM sold) - known)) AS BIGINT) FROM (
+                   SELECT user_id, count(DISTINCT product_id) AS known FROM inter GROUP BY user_id)
+               UNION ALL SELECT 'recommendation_summary', count(*) FROM features
+               UNION ALL SELECT 'recommendation_performance', count(*) FROM sold""",
+            neighbors="20",
+            products="sold",
         ),
         "hybrid": sql(
             "ev prof inter features part_features content vec norm dots near collab",

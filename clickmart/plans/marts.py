@@ -76,11 +76,14 @@ def user_behavior(events: DataFrame) -> DataFrame:
     )
 
 
-def _funnel(events: DataFrame, key: str, users: str, products: str) -> DataFrame:
+def _funnel(
+    events: DataFrame, key: str, users: str, products: str, approx: bool = False
+) -> DataFrame:
     """Counts and purchase money per key, and how many users and products it has.
 
     Rows are added up per user and product first. Both distinct counts then work on what is left, each
-    with a grouping of its own, instead of copying every row for the second one.
+    with a grouping of its own, instead of copying every row for the second one. ``approx`` estimates them in
+    one grouping.
     """
     bought = F.when(is_type("purchase"), cents(F.col("price")))
     sums = {
@@ -92,25 +95,32 @@ def _funnel(events: DataFrame, key: str, users: str, products: str) -> DataFrame
         "_paid": F.sum(bought),
         "_priced": F.count(bought),
     }
-    again = [F.sum(name).alias(name) for name in sums]
-    pairs = (
-        events.where(F.col(key).isNotNull())
-        .groupBy(key, "user_id", "product_id")
-        .agg(*[c.alias(name) for name, c in sums.items()])
-    )
-    total = pairs.groupBy(key, "user_id").agg(*again).groupBy(key)
-    items = pairs.select(key, "product_id").distinct().groupBy(key)
+    known = events.where(F.col(key).isNotNull())
+    made = [c.alias(name) for name, c in sums.items()]
+    if approx:
+        counted = known.groupBy(key).agg(
+            *made,
+            F.approx_count_distinct("user_id").alias(users),
+            F.approx_count_distinct("product_id").alias(products),
+        )
+    else:
+        again = [F.sum(name).alias(name) for name in sums]
+        pairs = known.groupBy(key, "user_id", "product_id").agg(*made)
+        total = pairs.groupBy(key, "user_id").agg(*again).groupBy(key)
+        items = pairs.select(key, "product_id").distinct().groupBy(key)
+        counted = total.agg(*again, F.count("user_id").alias(users)).join(
+            items.agg(F.count("product_id").alias(products)), key
+        )
     return (
-        total.agg(*again, F.count("user_id").alias(users))
-        .join(items.agg(F.count("product_id").alias(products)), key)
+        counted
         .withColumn("total_revenue", F.col("_revenue") / F.lit(100.0))
         .withColumn("avg_purchase_value", F.try_divide(F.col("_paid") / F.lit(100.0), "_priced"))
     )
 
 
-def category_performance(events: DataFrame) -> DataFrame:
-    """Funnel and revenue per category."""
-    return _funnel(events, "category_code", "unique_users", "unique_products").select(
+def category_performance(events: DataFrame, approx: bool = False) -> DataFrame:
+    """Funnel and revenue per category; ``approx`` estimates the distinct counts."""
+    return _funnel(events, "category_code", "unique_users", "unique_products", approx).select(
         "category_code",
         "total_events",
         "purchase_count",
@@ -183,9 +193,9 @@ def metrics_for_day(events: DataFrame, day: str) -> DataFrame:
     )
 
 
-def brand_performance(events: DataFrame) -> DataFrame:
-    """Revenue and reach per brand."""
-    return _funnel(events, "brand", "unique_customers", "unique_products").select(
+def brand_performance(events: DataFrame, approx: bool = False) -> DataFrame:
+    """Revenue and reach per brand; ``approx`` estimates the distinct counts."""
+    return _funnel(events, "brand", "unique_customers", "unique_products", approx).select(
         "brand",
         "total_events",
         "purchase_count",

@@ -35,6 +35,37 @@ def _weighted(first: Column, weight_1: Decimal, second: Column, weight_2: Decima
     return F.round(total, 4).cast("double")
 
 
+def product_features(catalogue: DataFrame, events: DataFrame) -> DataFrame:
+    """Features of every product of the catalogue, which brings their ratings (``avg_rating``) along.
+
+    Popularity is the share of the best seller's purchases, and views stand for reviews. Products
+    that no event names have neither.
+    """
+    counts = (
+        events.where(F.col("product_id").isNotNull())
+        .groupBy("product_id")
+        .agg(
+            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
+            F.count_if(F.col("event_type") == "view").alias("views"),
+        )
+    )
+    top = counts.agg(F.max("purchases").alias("top_purchases"))
+    share = F.round(F.try_divide("purchases", F.col("top_purchases")), 4)
+    return (
+        catalogue.join(counts, "product_id", "left")
+        .withColumn("top_purchases", top.scalar())
+        .select(
+            "product_id",
+            "brand",
+            "category_code",
+            "price",
+            "avg_rating",
+            F.coalesce("views", F.lit(0)).cast("long").alias("total_reviews"),
+            F.coalesce(share, F.lit(0.0)).alias("popularity_score"),
+        )
+    )
+
+
 def content_based(features: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Best rated and most popular products of a user's favourite category or brand.
 

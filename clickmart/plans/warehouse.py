@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickmart.operators.quality import row_counts
 from clickmart.operators.upsert import upsert
-from clickmart.plans import marts, profiles
+from clickmart.plans import marts, profiles, recommend, similarity
 from clickmart.plans.category_recs import (
     category_top_products,
     flat_recommendations,
@@ -48,10 +48,18 @@ def staged(lake: DataFrame) -> DataFrame:
 
 
 def build_warehouse(
-    spark: SparkSession, lake: str, out: str, as_of: str, k: int = 5
+    spark: SparkSession,
+    lake: str,
+    out: str,
+    as_of: str,
+    k: int = 5,
+    neighbors: int = 20,
+    ratings: DataFrame | None = None,
 ) -> DataFrame:
     """Build every table from the lake in dependency order and return their row counts.
 
+    Events hold no ratings: give ``ratings`` (``product_id``, ``avg_rating``), or the ratings and the content
+    scores made of them stay NULL.
     Each table is written once, as a new version beside the old ones, and its dependants read the
     written files. Readers keep the version that they have; ``read_version`` finds the newest.
     """
@@ -85,7 +93,7 @@ def build_warehouse(
     recommendations = save(
         "category_recommendations", recommend_by_category(profile, top, as_of)
     )
-    save("flat_recommendations", flat_recommendations(recommendations))
+    flat = save("flat_recommendations", flat_recommendations(recommendations))
 
     products = save(
         "product_analytics",
@@ -93,4 +101,34 @@ def build_warehouse(
     )
     save("brand_analytics", marts.brand_analytics(products, by_type["purchase"]))
     save("category_analytics", marts.category_analytics(products, by_type["purchase"]))
+
+    interactions = save(
+        "user_product_interactions", similarity.interactions_from_events(events)
+    )
+    features = save(
+        "user_behavior_features",
+        profiles.with_favorites(profiles.user_behavior_features(interactions), profile),
+    )
+    catalogue = products.select(
+        "product_id", "brand", "category_code", F.col("avg_price").alias("price")
+    )
+    if ratings is None:
+        catalogue = catalogue.withColumn("avg_rating", F.lit(None).cast("double"))
+    else:
+        catalogue = catalogue.join(ratings.select("product_id", "avg_rating"), "product_id", "left")
+    rated = save("product_features", recommend.product_features(catalogue, events))
+    near = save("similar_users", similarity.similar_users(interactions, neighbors))
+    content = save("content_recommendations", recommend.content_based(features, rated))
+    save(
+        "collaborative_recommendations",
+        recommend.collaborative(interactions, neighborhood=near),
+    )
+    known_too = recommend.collaborative(interactions, exclude_seen=False, neighborhood=near)
+    save("hybrid_recommendations", recommend.hybrid(content, known_too))
+    save(
+        "popularity_recommendations", recommend.popularity_recs(features, rated, interactions)
+    )
+    outcomes = recommend.mark_outcomes(flat, events)
+    save("recommendation_summary", recommend.recommendation_summary(features, outcomes))
+    save("recommendation_performance", recommend.recommendation_performance(rated, outcomes))
     return row_counts(written)

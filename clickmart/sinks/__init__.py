@@ -13,6 +13,7 @@ from clickmart.sinks.tables import (
     latest_version,
     overwrite_table,
     read_version,
+    replace_stored_view,
     replace_view,
     serving_options,
     write_bucketed,
@@ -33,6 +34,7 @@ __all__ = [
     "read_version",
     "recency_items",
     "recommendation_items",
+    "replace_stored_view",
     "replace_view",
     "segment_items",
     "serving_options",

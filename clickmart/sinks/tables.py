@@ -24,9 +24,15 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 
 
 def replace_view(df: DataFrame, name: str) -> None:
+    """View that lives as long as the session."""
     df.createOrReplaceTempView(name)
 
 
+def replace_stored_view(spark: SparkSession, name: str, select: str) -> None:
+    """View in the catalog, which outlives the session; ``select`` may read tables and stored views."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+
+
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> None:
     """Table pre-hashed on ``key``, so that later joins and groupings on it need no exchange."""
     (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,23 +71,31 @@ def migrate_events(events: DataFrame) -> DataFrame:
     ).where(F.col("user_id").isNotNull())
 
 
-def migrate_profiles(profiles: DataFrame) -> DataFrame:
-    """Profiles with a numeric user id. An id that is not a number becomes NULL."""
-    rest = [name for name in PROFILE_SCHEMA.names if name != "user_id"]
+def migrate_profiles(profiles: DataFrame, text_id: str | None = None) -> DataFrame:
+    """Profiles with a numeric user id. An id that is not a number becomes NULL.
+
+    ``text_id`` names a further column for the id as it was, so that no profile loses its key.
+    """
+    rest = [F.col(name) for name in PROFILE_SCHEMA.names if name != "user_id"]
+    if text_id is not None:
+        rest.append(F.col("user_id").alias(text_id))
     return profiles.where(F.col("user_id").isNotNull()).select(
         F.col("user_id").try_cast(T.DecimalType(38, 0)).alias("user_id"), *rest
     )
 
 
-def migrate_if_any(spark: SparkSession, moves: dict[str, str]) -> bool:
-    """Append the sources to their targets, unless every source is empty.
+def migrate_if_any(spark: SparkSession, moves: dict[str, str], append: bool = False) -> bool:
+    """Move the sources to their targets, unless every source is empty.
 
-    ``moves`` maps source to target table. Looking for one row is enough to decide.
+    ``moves`` maps source to target table; a target may have several sources. Afterwards it holds their rows
+    and no others, so a repeated run changes nothing. ``append`` keeps what a target holds and adds to it. Looking for
+    one row is enough to decide.
     """
     if all(spark.table(source).isEmpty() for source in moves):
         return False
-    for source, target in moves.items():
-        migrate_events(spark.table(source)).write.mode("append").insertInto(target)
+    for target in dict.fromkeys(moves.values()):
+        parts = [migrate_events(spark.table(s)) for s, t in moves.items() if t == target]
+        reduce(DataFrame.unionByName, parts).write.insertInto(target, overwrite=not append)
     return True
 
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from clickmart.plans import category_recs, marts, profiles, warehouse
+from clickmart.plans import category_recs, marts, profiles, recommend, warehouse
 from clickmart.schema import CANONICAL_SCHEMA, DAILY_METRICS_SCHEMA, conform
 from clickmart.sources import star_schema
 
@@ -180,8 +180,42 @@ def test_build_warehouse(spark, clicks, tmp_path):
     assert counts["combined_events"] == warehouse.staged(clicks).count() < clicks.count()
     assert counts["customer_360"] == clicks.select("user_id").distinct().count()
     assert counts["customer_360"] == counts["user_segments"]
+    assert counts["product_features"] == counts["product_analytics"]
+    assert counts["recommendation_performance"] == counts["product_features"]
+    users = clicks.where("product_id IS NOT NULL").select("user_id").distinct().count()
+    assert 0 < counts["user_behavior_features"] == counts["recommendation_summary"] <= users
     assert counts["flat_recommendations"] <= 5 * counts["category_recommendations"]
     again = {r.table_name: r.row_count for r in warehouse.build_warehouse(
         spark, lake, out, "2024-02-01"
     ).collect()}
     assert counts == again
+
+
+def test_approximate_counts_come_close(clicks):
+    combined = warehouse.staged(clicks)
+    for mart, key, users in (
+        (marts.category_performance, "category_code", "unique_users"),
+        (marts.brand_performance, "brand", "unique_customers"),
+    ):
+        exact = {r[key]: r for r in mart(combined).collect()}
+        near = {r[key]: r for r in mart(combined, approx=True).collect()}
+        assert exact.keys() == near.keys()
+        for name, row in exact.items():
+            assert abs(row[users] - near[name][users]) <= 0.15 * row[users] + 1
+            assert row["total_revenue"] == near[name]["total_revenue"]
+
+
+def test_product_features_take_the_rating_as_given(spark):
+    catalogue = spark.createDataFrame(
+        [("p1", "b", "c", 1.0, 4.5), ("p2", "b", "c", 2.0, None)],
+        "product_id string, brand string, category_code string, price double, avg_rating double",
+    )
+    events = spark.createDataFrame(
+        [("p1", "purchase"), ("p1", "view"), (None, "purchase"), (None, "purchase")],
+        "product_id string, event_type string",
+    )
+    found = {r.product_id: r for r in recommend.product_features(catalogue, events).collect()}
+    assert (found["p1"].avg_rating, found["p1"].popularity_score, found["p1"].total_reviews) == (4.5, 1.0, 1)
+    assert (found["p2"].avg_rating, found["p2"].popularity_score) == (None, 0.0)
+    unsold = recommend.product_features(catalogue, events.where("event_type = 'view'")).collect()
+    assert {r.popularity_score for r in unsold} == {0.0}

@@ -129,3 +129,11 @@ def test_concurrent_writers_get_versions_of_their_own(spark, tmp_path):
         made = list(pool.map(lambda n: sinks.write_version(spark.range(n), root), range(1, 7)))
     assert sorted(made) == [1, 2, 3, 4, 5, 6]
     assert sorted(sinks.read_version(spark, root, v).count() for v in made) == [1, 2, 3, 4, 5, 6]
+
+
+def test_stored_view_follows_its_table(spark):
+    frame(spark, 1).write.mode("overwrite").saveAsTable("stored_view_base")
+    sinks.replace_stored_view(spark, "stored_view", "SELECT id FROM stored_view_base")
+    sinks.replace_stored_view(spark, "stored_view", "SELECT amount FROM stored_view_base")
+    assert rows(spark.table("stored_view")) == [(10,)]
+    assert [t.isTemporary for t in spark.catalog.listTables() if t.name == "stored_view"] == [False]

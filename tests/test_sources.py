@@ -133,6 +133,10 @@ def test_tables(spark):
     event.write.insertInto("staging.src_cart")
     assert sources.migrate_if_any(spark, moves) is True
     assert spark.table("staging.dst_cart").count() == 1
+    sources.migrate_if_any(spark, moves)
+    assert spark.table("staging.dst_cart").count() == 1
+    sources.migrate_if_any(spark, moves, append=True)
+    assert spark.table("staging.dst_cart").count() == 2
     assert sources.copy_table(spark, "staging.src_cart", "staging.copied").count() == 2
     names = sources.describe_tables(spark, "staging")
     assert names.where("table_name = 'copied'").count() == len(CANONICAL_SCHEMA)
@@ -148,6 +152,8 @@ def test_profile_ids(spark):
         full = full.withColumn(name, F.lit(None).cast("string"))
     moved = sources.migrate_profiles(full).collect()
     assert sorted(str(r.user_id) for r in moved) == ["12", "None"]
+    kept = sources.migrate_profiles(full, text_id="source_id").collect()
+    assert sorted(r.source_id for r in kept) == ["12", "user_1"]
 
 
 def test_column_case(spark):
