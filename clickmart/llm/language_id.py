@@ -3,7 +3,9 @@
 A text is its letters, lower-cased, in words; its subwords are the runs of two to four bytes with the marks of
 word ends. Each subword has a row in an embedding table by hash; the mean of the rows goes through a linear
 layer into a softmax. Both are trained together by stochastic gradient descent in numpy on a bounded sample,
-whose features the cluster computes. Another part of the sample calibrates the confidence and the rejection.
+whose features the cluster computes. Another part of the sample calibrates the confidence and the rejection. The
+least confidence goes by the length of a text: runs of many lengths of the calibrating texts are held against the
+same runs with their letters shuffled, and against texts of a label that a model did not learn.
 """
 
 from __future__ import annotations
@@ -29,6 +31,14 @@ EPOCHS = 10
 RATE = 0.3
 DECAY = 0.1  # of the embeddings after each epoch
 WRONGLY_REJECTED = 0.001  # of the calibration texts that are predicted right
+MOST_WRONGLY_REJECTED = 0.01  # of them, where a higher limit keeps enough foreign texts out
+KEEP_WEIGHT = 10  # foreign texts that may stay for a right one that goes
+LENGTHS = (16, 64, 256)  # subwords of a text from which the next limit holds
+LEAST_ROWS = 100  # right and foreign rows of a length that a limit of its own needs
+LEFT_OUT_PARTS = 4  # parts of the labels that are left out in turn
+LEFT_OUT_EVERY = 3  # a model without a part learns from each third text
+LONGEST_RUN = 512  # words of the calibrating runs
+ROLES = TRAIN, CALIBRATE, NOISE = 0, 1, 2
 UNKNOWN = "und"
 
 # Letters stay, also those beyond ASCII by their bytes; everything else counts as a space.
@@ -73,13 +83,41 @@ def short_run(text: str) -> str:
     return " ".join(words[at : at + n])
 
 
+def runs_of_all_lengths(text: str) -> list[str]:
+    """A run of 1, 2, 4 and so on words, up to LONGEST_RUN and the words of the text."""
+    words = text.split()
+    rng = np.random.default_rng(zlib.crc32(text.encode()) + 1)
+    sizes = [1 << i for i in range(LONGEST_RUN.bit_length()) if 1 << i < len(words)]
+    return [" ".join(words[at : at + n]) for n in sizes for at in [int(rng.integers(0, len(words) - n + 1))]]
+
+
+def shuffled(text: str) -> str:
+    """The text with its letters in another order; all else stays in its place."""
+    letters = np.array(list(text), "U1")
+    places = np.flatnonzero([c.isalpha() for c in text])
+    rng = np.random.default_rng(zlib.crc32(text.encode()) + 2)
+    letters[places] = letters[rng.permutation(places)]
+    return "".join(letters.tolist())
+
+
+def variants(batch: pa.RecordBatch):
+    """Batches of the text and a short run of it; of a calibrating text also longer runs, and all of that as NOISE."""
+    index, role_index = batch.schema.get_field_index("text"), batch.schema.get_field_index("role")
+    texts, roles = batch.column("text").to_pylist(), batch.column("role").to_pylist()
+    yield batch.set_column(index, "text", batch.column("text").cast(pa.string()))
+    yield batch.set_column(index, "text", pa.array([short_run(t) for t in texts], pa.string()))
+    for row in (i for i, role in enumerate(roles) if role == CALIBRATE):
+        runs = runs_of_all_lengths(texts[row])
+        given = [(t, CALIBRATE) for t in runs] + [(shuffled(t), NOISE) for t in (texts[row], short_run(texts[row]), *runs)]
+        own = batch.take(pa.array([row] * len(given)))
+        own = own.set_column(index, "text", pa.array([t for t, _ in given], pa.string()))
+        yield own.set_column(role_index, "role", pa.array([r for _, r in given], batch.column("role").type))
+
+
 def sample_features(batches):
-    """Label, role and subword counts of each sampled text, and of a short run of its words: short texts are to be known too."""
+    """Label, role and subword counts of each sampled text and of its variants: short texts are to be known too."""
     for batch in batches:
-        runs = pa.array([short_run(t) for t in batch.column("text").to_pylist()], pa.string())
-        whole = batch.set_column(batch.schema.get_field_index("text"), "text", batch.column("text").cast(pa.string()))
-        short = whole.set_column(whole.schema.get_field_index("text"), "text", runs)
-        for piece in (p for part in (whole, short) for p in pieces(part, "text")):
+        for piece in (p for part in variants(batch) for p in pieces(part, "text")):
             counts = [dict() for _ in range(piece.num_rows)]
             for text, bucket in text_buckets(piece.column("text")):
                 pair, n = np.unique(text << BUCKET_BITS | bucket, return_counts=True)
@@ -98,15 +136,19 @@ def sample_features(batches):
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Labels, the product of embeddings and linear layer, its bias, the temperature and the least confidence."""
+    """Labels, the product of embeddings and linear layer, its bias, the temperature and the least confidence by length."""
 
     labels: tuple[str, ...]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
-    least: float
+    least: tuple[float, ...]
 
     def logits(self, column: pa.Array) -> np.ndarray:
+        return self.measured(column)[0]
+
+    def measured(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Logits and number of subwords of each text."""
         total = np.zeros((len(column), len(self.labels)))
         seen = np.zeros(len(column))
         for text, bucket in text_buckets(column):
@@ -116,7 +158,10 @@ class LanguageModel:
                 starts = np.flatnonzero(np.diff(own, prepend=-1))
                 total[own[starts]] += np.add.reduceat(rows, starts, axis=0, dtype=np.float64)
             seen += np.bincount(text, minlength=len(column))
-        return total / np.maximum(seen, 1)[:, None] + self.bias
+        return total / np.maximum(seen, 1)[:, None] + self.bias, seen
+
+    def limits(self, subwords_: np.ndarray) -> np.ndarray:
+        return np.array(self.least)[np.searchsorted(LENGTHS, subwords_, "right")]
 
 
 def has_letter(column: pa.Array) -> np.ndarray:
@@ -135,27 +180,17 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(sample: list, seed: int = 7) -> LanguageModel:
-    """A model from sampled rows (label, role, buckets, counts); role 1 calibrates, role 0 trains."""
-    sample = sorted(sample, key=lambda r: (r["label"], r["role"], r["buckets"], r["counts"]))
-    labels = tuple(sorted({r["label"] for r in sample}))
-    texts = []
-    for row in sample:
-        counts = np.frombuffer(row["counts"], np.int32).astype(np.float64)
-        buckets = np.frombuffer(row["buckets"], np.int32).astype(np.int64)
-        texts.append((labels.index(row["label"]), buckets, counts / max(1, counts.sum()), row["role"]))
-    if not labels:
-        return LanguageModel((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+def learn(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Table, bias and temperature from (label, buckets, shares, role, subwords) of texts."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (1 << BUCKET_BITS, DIMENSIONS))
-    linear = rng.normal(0, 0.3, (DIMENSIONS, len(labels)))
-    bias = np.zeros(len(labels))
-    texts = [t for t in texts if len(t[1])]
-    train = [t for t in texts if t[3] == 0] or texts
+    linear = rng.normal(0, 0.3, (DIMENSIONS, labels))
+    bias = np.zeros(labels)
+    train = [t for t in texts if t[3] == TRAIN] or [t for t in texts if t[3] != NOISE]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for i in rng.permutation(len(train)):
-            label, buckets, share, _ = train[i]
+            label, buckets, share, *_ = train[i]
             mean = share @ embed[buckets]
             error = softmax(mean @ linear + bias)
             error[label] -= 1
@@ -165,19 +200,92 @@ def fit(sample: list, seed: int = 7) -> LanguageModel:
             bias -= 0.01 * rate * error
         embed *= 1 - DECAY
     table = embed @ linear
-    held = [t for t in texts if t[3] == 1] or texts
+    held = held_rows(texts)
     if not held:
-        return LanguageModel(labels, table.astype(np.float32), bias, 1.0, 0.0)
-    raw = np.array([share @ table[buckets] + bias for _, buckets, share, _ in held])
+        return table, bias, 1.0
+    raw = logits_of(held, table, bias)
     truth = np.array([t[0] for t in held])
     loss = {
         float(t): -np.log(softmax(raw / t)[np.arange(len(held)), truth] + 1e-12).mean() for t in np.geomspace(0.1, 10, 41)
     }
-    temperature = min(loss, key=loss.get)
-    sure = softmax(raw / temperature)
-    right = sure.max(axis=1)[sure.argmax(axis=1) == truth]
-    least = float(np.quantile(right, WRONGLY_REJECTED, method="lower")) if len(right) else 0.0
-    return LanguageModel(labels, table.astype(np.float32), bias, temperature, min(least, 0.5))
+    return table, bias, min(loss, key=loss.get)
+
+
+def held_rows(texts: list) -> list:
+    return [t for t in texts if t[3] == CALIBRATE] or [t for t in texts if t[3] != NOISE]
+
+
+def logits_of(texts: list, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return np.array([share @ table[buckets] + bias for _, buckets, share, *_ in texts]).reshape(len(texts), len(bias))
+
+
+def unlearned(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Confidence and subwords of calibrating texts under a model that did not learn their label.
+
+    The labels are dealt into LEFT_OUT_PARTS parts, so the models to learn are as many, whatever the labels. None where
+    less than two labels would be left.
+    """
+    found = [(np.zeros(0), np.zeros(0))]
+    parts = min(labels, LEFT_OUT_PARTS)
+    for part in range(parts):
+        rest = [label for label in range(labels) if label % parts != part]
+        away = [t for t in texts if t[0] % parts == part and t[3] == CALIBRATE]
+        if len(rest) < 2 or not away:
+            continue
+        place = {label: i for i, label in enumerate(rest)}
+        own = [(place[t[0]], *t[1:]) for t in texts if t[0] in place and t[3] != NOISE]
+        own = [t for i, t in enumerate(own) if t[3] == CALIBRATE or i % LEFT_OUT_EVERY == 0]
+        table, bias, temperature = learn(own, len(rest), seed)
+        found.append((softmax(logits_of(away, table, bias) / temperature).max(axis=1), np.array([t[4] for t in away])))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def least_confidence(right, right_subwords, foreign, foreign_subwords) -> tuple[float, ...]:
+    """For each length the limit between WRONGLY_REJECTED and MOST_WRONGLY_REJECTED of the right rows that costs least.
+
+    A length with too few rows of either kind has the limit that all right rows give, 0.5 at most.
+    """
+    if not len(right):
+        return (0.0,) * (len(LENGTHS) + 1)
+    rest = min(float(np.quantile(right, WRONGLY_REJECTED)), 0.5)
+    limits = []
+    for length in range(len(LENGTHS) + 1):
+        own = right[np.searchsorted(LENGTHS, right_subwords, "right") == length]
+        other = foreign[np.searchsorted(LENGTHS, foreign_subwords, "right") == length]
+        if min(len(own), len(other)) < LEAST_ROWS:
+            limits.append(rest)
+            continue
+        shares = np.geomspace(WRONGLY_REJECTED, MOST_WRONGLY_REJECTED, 21)
+        cost = {float(at): KEEP_WEIGHT * share + (other >= at).mean() for share, at in zip(shares, np.quantile(own, shares), strict=True)}
+        limits.append(min(cost, key=cost.get))
+    return tuple(limits)
+
+
+def fit(sample: list, seed: int = 7) -> LanguageModel:
+    """A model from sampled rows (label, role, buckets, counts); their roles are ROLES."""
+    sample = sorted(sample, key=lambda r: (r["label"], r["role"], r["buckets"], r["counts"]))
+    labels = tuple(sorted({r["label"] for r in sample}))
+    place = {label: i for i, label in enumerate(labels)}
+    texts = []
+    for row in sample:
+        counts = np.frombuffer(row["counts"], np.int32).astype(np.float64)
+        buckets = np.frombuffer(row["buckets"], np.int32).astype(np.int64)
+        texts.append((place[row["label"]], buckets, counts / max(1, counts.sum()), row["role"], counts.sum()))
+    none = (0.0,) * (len(LENGTHS) + 1)
+    if not labels:
+        return LanguageModel((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, none)
+    texts = [t for t in texts if len(t[1])]
+    table, bias, temperature = learn(texts, len(labels), seed)
+    held = held_rows(texts)
+    if not held:
+        return LanguageModel(labels, table.astype(np.float32), bias, 1.0, none)
+    sure = softmax(logits_of(held, table, bias) / temperature)
+    hit = sure.argmax(axis=1) == np.array([t[0] for t in held])
+    noise = [t for t in texts if t[3] == NOISE]
+    foreign = [(softmax(logits_of(noise, table, bias) / temperature).max(axis=1), np.array([t[4] for t in noise]))]
+    foreign, foreign_subwords = map(np.concatenate, zip(*foreign, unlearned(texts, len(labels), seed), strict=True))
+    least = least_confidence(sure.max(axis=1)[hit], np.array([t[4] for t in held])[hit], foreign, foreign_subwords)
+    return LanguageModel(labels, table.astype(np.float32), bias, temperature, least)
 
 
 def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label_column: str) -> LanguageModel:
@@ -204,7 +312,7 @@ def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label
         .where(F.col("rank") <= MOST_PER_LABEL)
         .orderBy("rank", "order", "_id")
         .limit(SAMPLE_ROWS)
-        .select("_id", "label", F.when(F.col("rank") % 5 == 0, 1).otherwise(0).alias("role"))
+        .select("_id", "label", F.when(F.col("rank") % 5 == 0, CALIBRATE).otherwise(TRAIN).alias("role"))
     )
     texts = docs.where(usable).select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text"))
     rows = (
@@ -225,7 +333,7 @@ def predict(
     """``docs`` with lang_pred, score (0 to 1) and rejected, or other ``names``; columns so named are replaced.
 
     A text that is null or has no letter is UNKNOWN with score 0 and rejected. Any other text gets a label, and is rejected if its
-    calibrated confidence is below the model's limit. Nothing but the text is looked at; rows are independent. Without a
+    calibrated confidence is below the model's limit for texts of its length. Nothing but the text is looked at; rows are independent. Without a
     learned label every text is UNKNOWN.
     """
     parts = (model.labels, model.table, model.bias, model.temperature, model.least)
@@ -239,8 +347,10 @@ def predict(
                 column = piece.column(piece.schema.get_field_index(text_column))
                 known = has_letter(column) if model.labels else np.zeros(len(column), bool)
                 best, score = np.full(len(column), len(model.labels)), np.zeros(len(column))
+                least = np.zeros(len(column))
                 if known.any():
-                    sure = softmax(model.logits(column) / model.temperature)
+                    raw, subwords_ = model.measured(column)
+                    sure, least = softmax(raw / model.temperature), model.limits(subwords_)
                     best[known] = sure.argmax(axis=1)[known]
                     score[known] = np.clip(sure.max(axis=1)[known], 0, 1)
                 yield pa.RecordBatch.from_arrays(
@@ -248,7 +358,7 @@ def predict(
                         *piece.columns,
                         pa.array(labels[best], pa.string()),
                         pa.array(score),
-                        pa.array(~known | (score < model.least)),
+                        pa.array(~known | (score < least)),
                     ],
                     names=[*piece.schema.names, *names],
                 )
