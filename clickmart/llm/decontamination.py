@@ -121,10 +121,10 @@ def agreement(batches):
         kept = pa.array(best >= needed - spare(needed))
         yield pa.RecordBatch.from_arrays(
             [
-                *(batch.column(c).filter(kept) for c in ("id", "item_id", "place", "item_place")),
+                *(batch.column(c).filter(kept) for c in ("id", "class", "place")),
                 pa.array(best).filter(kept),
             ],
-            names=["id", "item_id", "place", "item_place", "equal"],
+            names=["id", "class", "place", "equal"],
         )
 
 
@@ -140,6 +140,35 @@ def may_be_seeds(hashes: DataFrame) -> np.ndarray:
     return table.view(np.uint8)
 
 
+def class_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_column: str, text_column: str, item_column: str, item_text_column: str
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, class, equal, hits, first, last) and (class, item_id).
+
+    A class is what seeds of items look like: hash, mask, tokens around and tokens of the item. Each is searched once, however
+    many items have it.
+    """
+    items = benchmark.select(
+        F.col(item_column).cast("long").alias("id"), F.lower(F.col(item_text_column).cast("string")).alias("text")
+    )
+    alike = ["hash", "mask", "item_near", "item_tokens"]
+    items = items.mapInArrow(seeds(outside=1), SEED_SCHEMA).withColumnsRenamed({"near": "item_near", "text_tokens": "item_tokens"})
+    items = materialize(items.select("id", *alike).distinct())
+    # Written, so that a class has the same number for all readers.
+    classes = materialize(items.select(*alike).distinct().withColumn("class", F.monotonically_increasing_id()))
+    members = items.join(classes, alike).select("class", F.col("id").alias("item_id"))
+    filter_ = docs.sparkSession.sparkContext.broadcast(may_be_seeds(classes.select("hash")))
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.lower(F.col(text_column).cast("string")).alias("text"))
+    # Written, so that finding and comparing do not need two workers for each task at the same time.
+    found = materialize(texts.mapInArrow(seeds(0, filter_), SEED_SCHEMA).drop("text_tokens"))
+    hits = found.join(classes, ["hash", "mask"])
+    agreed = hits.mapInArrow(agreement, "id long, class long, place long, equal long")
+    agreed = agreed.groupBy(F.col("id").alias("doc_id"), "class").agg(
+        F.max("equal").alias("equal"), F.count("*").alias("hits"), F.min("place").alias("first"), F.max("place").alias("last")
+    )
+    return agreed, members
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -152,30 +181,20 @@ def leaks(
 
     Tokens are runs of letters and digits, lower-cased. A document leaks an item where WINDOW successive
     tokens of both agree in all but TOLERANCE at most; an item of fewer tokens has to be there whole, with ``spare`` changes at most.
-    Items of fewer tokens than the shorter mask cannot be told from chance and leak nowhere. Items with the same tokens and place
-    share the smallest id. A null text is empty; a null id leaks under a null id; repeated rows give one result row
+    Items of fewer tokens than the shorter mask cannot be told from chance and leak nowhere. Items that
+    share passages are each reported. A null text is empty; a null id leaks under a null id; repeated rows give one result row
     for each document and item. Other columns are not read. Empty tables give an empty result.
     """
-    items = benchmark.select(
-        F.col(item_column).cast("long").alias("id"), F.lower(F.col(item_text_column).cast("string")).alias("text")
-    )
-    items = items.mapInArrow(seeds(outside=1), SEED_SCHEMA)
-    items = items.groupBy("hash", "mask", "near", F.col("text_tokens").alias("item_tokens")).agg(
-        F.min("id").alias("item_id"), F.min("place").alias("item_place")
-    ).withColumnRenamed("near", "item_near")
-    filter_ = docs.sparkSession.sparkContext.broadcast(may_be_seeds(items.select("hash")))
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.lower(F.col(text_column).cast("string")).alias("text"))
-    # Written, so that finding and comparing do not need two workers for each task at the same time.
-    found = materialize(texts.mapInArrow(seeds(0, filter_), SEED_SCHEMA).drop("text_tokens"))
-    hits = found.join(items, ["hash", "mask"])
-    agreed = hits.mapInArrow(agreement, "id long, item_id long, place long, item_place long, equal long")
+    agreed, members = class_leaks(docs, benchmark, id_column, text_column, item_column, item_text_column)
+    # A class that many documents and items share has many rows; Spark splits them, as the next grouping deals them anew.
     return (
-        agreed.groupBy(F.col("id").alias("doc_id"), "item_id")
+        agreed.join(members, "class")
+        .groupBy("doc_id", "item_id")
         .agg(
             F.max("equal").alias("equal_tokens"),
-            F.count("*").alias("hits"),
-            F.min("place").alias("first_token"),
-            F.max("place").alias("last_token"),
+            F.sum("hits").alias("hits"),
+            F.min("first").alias("first_token"),
+            F.max("last").alias("last_token"),
         )
     )
 
@@ -185,5 +204,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 
     A row with a null id stays, as nothing tells which one leaks.
     """
-    found = leaks(docs, benchmark, id_column, text_column).select(F.col("doc_id").alias("_leak")).distinct()
+    agreed, _ = class_leaks(docs, benchmark, id_column, text_column, "item_id", "text")
+    found = agreed.select(F.col("doc_id").alias("_leak")).distinct()
     return docs.join(found, docs[id_column] == found["_leak"], "left_anti")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickmart.llm import language_id, queries
+from clickmart.llm import decontamination, language_id, queries
 
 
 @pytest.mark.parametrize("away", ["de", "en"])
@@ -29,3 +29,17 @@ def test_limits_weigh_right_against_foreign_texts():
     right[0] = 0.31  # one weak row does not set the limit
     limits = language_id.least_confidence(right, np.full(2000, 900), foreign, np.full(2000, 900))
     assert 0.75 < limits[-1] < 0.81 and limits[0] <= 0.5
+
+
+def test_items_that_share_a_passage_are_all_reported(spark):
+    words = [f"w{i}" for i in range(200)]
+    rng = random.Random(9)
+    shared = [rng.choice(words) for _ in range(40)]
+    own = [[rng.choice(words) for _ in range(8)] for _ in range(12)]
+    items = [(100 - i, " ".join(w + shared)) for i, w in enumerate(own)] + [(1, " ".join(shared)), (2, " ".join(shared))]
+    texts = [(7, " ".join(["x"] * 5 + shared + ["y"] * 5)), (8, " ".join(own[0] + shared)), (9, "nothing of it " * 5)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, benchmark).collect()}
+    assert found == {(d, i) for d in (7, 8) for i, _ in items}
+    assert [r["doc_id"] for r in decontamination.decontaminate(docs, benchmark).collect()] == [9]
