@@ -4,13 +4,14 @@ A mask picks some tokens out of a short window and ignores the others, so a chan
 leaves the hash as it is. Hashes of the benchmark and of the training texts are joined, and around each
 hit the aligned tokens are compared one by one. The masks are chosen so that a window of WINDOW tokens with
 any TOLERANCE of them changed is always hit by at least one; so is a shorter text with as many changes as ``spare`` allows.
+Items too short for a mask are found where all their tokens stand in a row: a seed of an own kind for each length.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.arrays import mix, pieces, words
@@ -22,7 +23,10 @@ TOLERANCE = 2
 MASKS = ("1101111", "110100111")
 FILTER_BITS = 23  # 1 MB: tells which hashes of training texts may be benchmark hashes
 
-# Tokens are runs of letters and digits; bytes of characters beyond ASCII count as letters.
+# Tokens are runs of letters and digits. Of characters beyond ASCII those that are neither letter, mark nor number part
+# tokens (``parted`` makes them spaces); in scripts without spaces every character is a token.
+NO_LETTER = r"[\P{ASCII}&&\P{L}&&\P{M}&&\P{N}]+"
+WITHOUT_SPACES = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}\p{IsYi}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}ー]"
 PUNCTUATION = np.ones(256, bool)
 PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -42,6 +46,34 @@ def seed_hashes(tokens: np.ndarray, offsets: np.ndarray, mask: int) -> tuple[np.
     return places, mix(total[places])
 
 
+def parted(text: Column) -> Column:
+    """The text in lower case, with ASCII separators wherever tokens end; a text without characters beyond ASCII as it is."""
+    low = F.lower(text.cast("string"))
+    spaced = F.regexp_replace(F.regexp_replace(low, NO_LETTER, " "), WITHOUT_SPACES, " $0 ")
+    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(spaced)
+
+
+def short_hashes(tokens: np.ndarray, offsets: np.ndarray, length: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of ``length`` tokens, or only of texts that are no longer than that."""
+    n = len(tokens) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    total = np.full(n, short_kind(length) + 1, np.uint64)
+    for j in range(length):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + tokens[j : j + n]
+    if whole:
+        places = offsets[:-1][np.diff(offsets) == length]
+    else:
+        ends = np.repeat(offsets[1:], np.diff(offsets))[:n]
+        places = np.flatnonzero(np.arange(n) + length <= ends)
+    return places, mix(total[places])
+
+
+def short_kind(length: int) -> int:
+    """What stands in the column mask for items of fewer tokens than any mask."""
+    return len(MASKS) + length - 1
+
+
 def around(tokens: np.ndarray, offsets: np.ndarray, places: np.ndarray, mask: int, outside: int) -> np.ndarray:
     """32-bit tokens that a window holding the mask may cover; ``outside`` stands where the text has none."""
     span = len(MASKS[mask])
@@ -52,16 +84,22 @@ def around(tokens: np.ndarray, offsets: np.ndarray, places: np.ndarray, mask: in
     return np.where(inside, near, np.uint32(outside))
 
 
-def seeds(outside: int, filter_=None):
-    """(id, hash, mask, place, text_tokens, near) of every seed of every text, or of those that pass the filter."""
+def seeds(outside: int, filter_=None, lengths=()):
+    """(id, hash, mask, place, text_tokens, near) of every seed of every text, or of those that pass the filter.
+
+    ``lengths`` are those of short items to look for. Without a filter the texts are items, and only whole ones count as short.
+    """
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, "text"):
                 tokens, offsets = words(piece.column("text"), PUNCTUATION)
                 ids = piece.column("id")
-                for mask in range(len(MASKS)):
-                    places, hashes = seed_hashes(tokens, offsets, mask)
+                for mask, length in [*((m, 0) for m in range(len(MASKS))), *((short_kind(n), n) for n in lengths)]:
+                    if length:
+                        places, hashes = short_hashes(tokens, offsets, length, filter_ is None)
+                    else:
+                        places, hashes = seed_hashes(tokens, offsets, mask)
                     if filter_ is not None:
                         bits = filter_.value
                         at = hashes >> np.uint64(64 - FILTER_BITS)
@@ -70,7 +108,10 @@ def seeds(outside: int, filter_=None):
                     if not len(places):
                         continue
                     text = np.searchsorted(offsets, places, "right") - 1
-                    near = around(tokens, offsets, places, mask, outside)
+                    if length:
+                        near = (tokens[places[:, None] + np.arange(length)] >> np.uint64(32)).astype(np.uint32)
+                    else:
+                        near = around(tokens, offsets, places, mask, outside)
                     width = near.shape[1] * 4
                     flat = pa.py_buffer(np.ascontiguousarray(near).tobytes())
                     binary = pa.Array.from_buffers(
@@ -112,13 +153,16 @@ def agreement(batches):
                 np.frombuffer(b"".join(batch.column(c).take(pick).to_pylist()), np.uint32).reshape(len(rows), -1)
                 for c in ("near", "item_near")
             ]
+            if mask >= len(MASKS):
+                best[rows] = np.where((sides[0] == sides[1]).all(axis=1), needed[rows], 0)
+                continue
             sums = []
             for what in (sides[0] == sides[1], (sides[0] != 0) & (sides[1] != 1)):
                 total = np.concatenate([np.zeros((len(rows), 1), np.int64), np.cumsum(what, axis=1)], axis=1)
                 sums.append(total[:, WINDOW:] - total[:, :-WINDOW])
             whole = sums[1] == needed[rows][:, None]  # as many places as needed lie within both texts
             best[rows] = np.where(whole, sums[0], 0).max(axis=1)
-        kept = pa.array(best >= needed - spare(needed))
+        kept = pa.array((best > 0) & (best >= needed - spare(needed)))
         yield pa.RecordBatch.from_arrays(
             [
                 *(batch.column(c).filter(kept) for c in ("id", "class", "place")),
@@ -141,26 +185,34 @@ def may_be_seeds(hashes: DataFrame) -> np.ndarray:
 
 
 def class_leaks(
-    docs: DataFrame, benchmark: DataFrame, id_column: str, text_column: str, item_column: str, item_text_column: str
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str,
+    text_column: str,
+    item_column: str,
+    item_text_column: str,
+    short_items: bool,
 ) -> tuple[DataFrame, DataFrame]:
     """(doc_id, class, equal, hits, first, last) and (class, item_id).
 
     A class is what seeds of items look like: hash, mask, tokens around and tokens of the item. Each is searched once, however
     many items have it.
     """
-    items = benchmark.select(
-        F.col(item_column).cast("long").alias("id"), F.lower(F.col(item_text_column).cast("string")).alias("text")
-    )
+    items = benchmark.select(F.col(item_column).cast("long").alias("id"), parted(F.col(item_text_column)).alias("text"))
+    short = range(1, min(map(len, MASKS))) if short_items else ()
     alike = ["hash", "mask", "item_near", "item_tokens"]
-    items = items.mapInArrow(seeds(outside=1), SEED_SCHEMA).withColumnsRenamed({"near": "item_near", "text_tokens": "item_tokens"})
+    items = items.mapInArrow(seeds(outside=1, lengths=short), SEED_SCHEMA).withColumnsRenamed({"near": "item_near", "text_tokens": "item_tokens"})
     items = materialize(items.select("id", *alike).distinct())
     # Written, so that a class has the same number for all readers.
     classes = materialize(items.select(*alike).distinct().withColumn("class", F.monotonically_increasing_id()))
     members = items.join(classes, alike).select("class", F.col("id").alias("item_id"))
     filter_ = docs.sparkSession.sparkContext.broadcast(may_be_seeds(classes.select("hash")))
-    texts = docs.select(F.col(id_column).cast("long").alias("id"), F.lower(F.col(text_column).cast("string")).alias("text"))
+    # A row for each length that short items have, six at most.
+    there = classes.where(F.col("mask") >= len(MASKS)).select("item_tokens").distinct().collect()
+    lengths = sorted(r["item_tokens"] for r in there)
+    texts = docs.select(F.col(id_column).cast("long").alias("id"), parted(F.col(text_column)).alias("text"))
     # Written, so that finding and comparing do not need two workers for each task at the same time.
-    found = materialize(texts.mapInArrow(seeds(0, filter_), SEED_SCHEMA).drop("text_tokens"))
+    found = materialize(texts.mapInArrow(seeds(0, filter_, lengths), SEED_SCHEMA).drop("text_tokens"))
     hits = found.join(classes, ["hash", "mask"])
     agreed = hits.mapInArrow(agreement, "id long, class long, place long, equal long")
     agreed = agreed.groupBy(F.col("id").alias("doc_id"), "class").agg(
@@ -176,16 +228,18 @@ def leaks(
     text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
+    short_items: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, equal_tokens, hits, first_token, last_token): documents that hold a passage of an item.
 
-    Tokens are runs of letters and digits, lower-cased. A document leaks an item where WINDOW successive
+    Tokens are runs of letters and digits, lower-cased; in scripts without spaces each character is one. A document leaks an item where WINDOW successive
     tokens of both agree in all but TOLERANCE at most; an item of fewer tokens has to be there whole, with ``spare`` changes at most.
-    Items of fewer tokens than the shorter mask cannot be told from chance and leak nowhere. Items that
+    Items of fewer tokens than the shorter mask leak where a document holds all their tokens in a row if ``short_items``,
+    else nowhere, as they cannot be told from chance. Items that
     share passages are each reported. A null text is empty; a null id leaks under a null id; repeated rows give one result row
     for each document and item. Other columns are not read. Empty tables give an empty result.
     """
-    agreed, members = class_leaks(docs, benchmark, id_column, text_column, item_column, item_text_column)
+    agreed, members = class_leaks(docs, benchmark, id_column, text_column, item_column, item_text_column, short_items)
     # A class that many documents and items share has many rows; Spark splits them, as the next grouping deals them anew.
     return (
         agreed.join(members, "class")
@@ -200,10 +254,10 @@ def leaks(
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the documents that leak an item; all columns stay. Rows that share an id go together.
+    """``docs`` without the documents that leak an item, short ones too; all columns stay. Rows that share an id go together.
 
     A row with a null id stays, as nothing tells which one leaks.
     """
-    agreed, _ = class_leaks(docs, benchmark, id_column, text_column, "item_id", "text")
+    agreed, _ = class_leaks(docs, benchmark, id_column, text_column, "item_id", "text", True)
     found = agreed.select(F.col("doc_id").alias("_leak")).distinct()
     return docs.join(found, docs[id_column] == found["_leak"], "left_anti")

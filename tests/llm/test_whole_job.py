@@ -43,3 +43,21 @@ def test_items_that_share_a_passage_are_all_reported(spark):
     found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, benchmark).collect()}
     assert found == {(d, i) for d in (7, 8) for i, _ in items}
     assert [r["doc_id"] for r in decontamination.decontaminate(docs, benchmark).collect()] == [9]
+
+
+def test_short_items_and_scripts_without_spaces(spark, tmp_path):
+    items = [
+        (1, "Paris"), (2, "who wrote it then"), (3, "中国的首都是哪里？"), (4, "ประเทศไทยอยู่ที่ไหน"), (5, "北京"), (6, ""), (7, None),
+        (8, "“Don’t stop”\u00a0said—the old man at the gate of our town"), (9, "not there"),
+    ]
+    texts = [
+        (1, "We saw PARIS, in May"), (2, "Who wrote it, then? Nobody"), (3, "问：中国的首都是哪里？答：北京。"), (4, "xxประเทศไทยอยู่ที่ไหนyy"),
+        (5, "\"Don't stop\" said - the old man at the gate of our town"), (6, "who wrote it now; parisian there not"), (7, None), (8, ""),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {(r["doc_id"], r["item_id"]) for r in queries.op2_decontamination(spark, str(tmp_path)).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (3, 5), (4, 4), (5, 8)}
+    kept = decontamination.decontaminate(docs, queries.table(spark, str(tmp_path), "benchmark")).collect()
+    assert {r["doc_id"] for r in kept} == {6, 7, 8}
