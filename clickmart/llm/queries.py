@@ -13,8 +13,10 @@ from clickmart.llm import (
     language_id,
     mixing,
     ngram_join,
+    periodic_runs,
     pii,
     secret_scan,
+    sharding,
     token_counts,
     url_filter,
     warc,
@@ -30,6 +32,8 @@ URL_RULES = [
 ]
 JUNK_HOSTS = r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
 TOKEN_LIMIT = 512
+SHARDS = 40
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,6 +135,68 @@ def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where each document whose h = crc32(doc_id) ends in 0 repeats a stretch of its words to its end.
+
+    With g = h / 10, n words: from word a = g % n on, the p = 1 + (n - a) / (3 + g % 8) words there are repeated. A null
+    doc_id changes nothing.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("words")
+    )
+    n = F.size("words")
+    start = (F.col("g") % n).cast("int")
+    chosen = chosen.withColumn("a", F.when(n > 0, start))
+    period = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    chosen = chosen.withColumn("p", period)
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times))
+    changed = F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), repeated), F.lit(1), n), " ")
+    return chosen.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    # A quotient of doubles tells any two fractions of such sizes apart, below 100 million words a text.
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                (r["length"] / r["period"]).alias("exponent"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"), r["length"].alias("length")
+            ),
+        )
+    )
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.shorter")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.before")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        ((1000 * length - (1000 * length) % period) / period).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    narrow = docs.select(
+        "doc_id",
+        (F.octet_length("text") + 16).cast("long").alias("size"),
+        F.crc32("text").alias("text_crc32"),
+        F.md5("text").alias("text_md5"),  # equal texts are a group
+    )
+    placed = sharding.shard(narrow, SHARDS, F.col("text_md5"), F.col("size"), F.md5(F.col("doc_id").cast("string")))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op1_secret_scan,
@@ -143,5 +209,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_ngram_jaccard,
         op9_language_id,
         op10_edit_fingerprint,
+        op11_periodic_runs,
+        op13_sharding,
     )
     return {query.__name__: query for query in queries}

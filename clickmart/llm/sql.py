@@ -191,6 +191,41 @@ OP8 = rf"""
     LEFT JOIN (SELECT doc_id, min(seen) AS least FROM reach GROUP BY doc_id) c USING (doc_id)"""
 
 
+# CRC-32 of hexadecimal bytes: its table of 256 remainders, one step for each bit, and one step a byte through it.
+CRC_TABLE = """list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i::BIGINT, range(0, 8)),
+        lambda c, bit: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))"""
+
+
+def crc32(text: str, table: str = "remainders") -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of ``text``, given the column with the table."""
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, {codes}),
+        lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)])))"""
+
+
+OP13 = f"""
+    WITH crc AS (SELECT {CRC_TABLE} AS remainders),
+    texts AS (
+        SELECT coalesce(text, '') AS t, count(*) AS copies FROM documents GROUP BY ALL),
+    sums AS (SELECT t, {crc32("t")} AS text_crc32 FROM texts, crc),
+    sized AS (
+        SELECT doc_id, text_crc32, strlen(t)::BIGINT + 16 AS size, md5(t) AS k, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS w
+        FROM documents JOIN sums ON t = coalesce(text, '')),
+    placed AS (
+        SELECT *, row_number() OVER o AS place,
+               coalesce(sum(size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+               sum(size) OVER (PARTITION BY k)::BIGINT AS held, sum(size) OVER ()::BIGINT AS total
+        FROM sized WINDOW o AS (ORDER BY k, w)),
+    units AS (SELECT *, min(before) OVER (PARTITION BY k) AS start FROM placed),
+    numbered AS (
+        SELECT *, least(39, floor(
+            (CASE WHEN held <= 0.05::DOUBLE * total / 40 THEN start + held / 2 ELSE before + size / 2 END) * 40 / total))::INT AS shard
+        FROM units)
+    SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+           place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard
+    FROM numbered"""
+
+
 def oracle() -> dict[str, str]:
     return {
         "op1_secret_scan": OP1,
@@ -199,4 +234,5 @@ def oracle() -> dict[str, str]:
         "op6_warc": OP6,
         "op7_pii": OP7,
         "op8_ngram_jaccard": OP8,
+        "op13_sharding": OP13,
     }
