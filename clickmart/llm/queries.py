@@ -15,12 +15,14 @@ from clickmart.llm import (
     ngram_join,
     periodic_runs,
     pii,
+    prefix_trie,
     secret_scan,
     sharding,
     token_counts,
     url_filter,
     warc,
 )
+from clickmart.operators.materialize import materialize
 
 # Production parameters.
 URL_RULES = [
@@ -183,6 +185,23 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Conversations c (conv_id, turns) whose first h = crc32(c) % 4 turns are replaced by those of conversation c - c % 20."""
+    c = F.col("conv_id")
+    heads = conversations.where(c % 20 == 0).select(c.alias("base"), F.slice("turns", 1, 3).alias("head"))
+    h = (F.crc32(c.cast("string")) % 4).cast("int")
+    own = conversations.select("conv_id", "turns", h.alias("h"), (c - c % 20).alias("base")).join(heads, "base", "left")
+    none = F.array().cast("array<struct<key:string,words:int>>")
+    head = F.slice(F.coalesce("head", none), F.lit(1), F.col("h"))
+    rest = F.when(F.size("turns") > F.col("h"), F.slice("turns", F.col("h") + 1, F.size("turns"))).otherwise(none)
+    return own.select("conv_id", F.concat(head, rest).alias("turns"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = prefix_trie.conversation_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(rebuilt(materialize(conversations)))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     narrow = docs.select(
@@ -210,6 +229,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_language_id,
         op10_edit_fingerprint,
         op11_periodic_runs,
+        op12_prefix_trie,
         op13_sharding,
     )
     return {query.__name__: query for query in queries}

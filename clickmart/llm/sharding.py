@@ -30,19 +30,23 @@ def fixed(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
 
 
-def range_of(splitters: list[dict]) -> Column:
-    """How many of the sorted splitters are not above a record's (key, within, tie): a binary search."""
-    if not splitters:
+def rank_among(bounds: list, kind: str, me: Column) -> Column:
+    """How many of the sorted bounds are not above ``me``: a binary search in a constant."""
+    if not bounds:
         return F.lit(0)
-    bounds, me = fixed(splitters, PLACE), F.struct("key", "within", "tie")
-    steps = [1 << i for i in reversed(range(len(splitters).bit_length()))]
+    values = fixed(bounds, kind)
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
         fixed(steps, "int"),
         F.lit(0),
-        lambda at, step: F.when((at + step <= len(splitters)) & (F.get(bounds, at + step - 1) <= me), at + step).otherwise(at),
+        lambda at, step: F.when((at + step <= len(bounds)) & (F.get(values, at + step - 1) <= me), at + step).otherwise(at),
     )
 
 
+def range_of(splitters: list[dict]) -> Column:
+    return rank_among(splitters, PLACE, F.struct("key", "within", "tie"))
+
+
 def drawn(records: DataFrame, rate: Column | float) -> DataFrame:
     """Records drawn with a chance of size x rate, at most 1."""
     chance = F.pmod(F.xxhash64("tie", F.lit(SEED)), F.lit(1 << 40)) / (1 << 40)

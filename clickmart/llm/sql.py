@@ -203,6 +203,41 @@ def crc32(text: str, table: str = "remainders") -> str:
         lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)])))"""
 
 
+OP12 = rf"""
+    WITH crc AS (SELECT {CRC_TABLE} AS remainders),
+    numbered AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS p, k, w FROM (
+            SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+                   len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS w
+            FROM conversations WHERE conv_id IS NOT NULL)),
+    ids AS (
+        SELECT conv_id, {crc32("conv_id::VARCHAR")} % 4 AS h, conv_id - conv_id % 20 AS base
+        FROM (SELECT DISTINCT conv_id FROM numbered), crc),
+    turns AS (
+        SELECT i.conv_id, p AS place, k, w FROM ids i JOIN numbered n ON n.conv_id = i.base AND p <= h
+        UNION ALL SELECT i.conv_id, p + 10, k, w FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND p > h),
+    members AS (
+        SELECT conv_id, row_number() OVER o AS depth, w, string_agg(k, '') OVER o AS prefix
+        FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY place)
+        UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+    nodes AS (SELECT prefix, depth, min(conv_id) AS least, count(*) AS n, max(w) AS w FROM members GROUP BY ALL),
+    children AS (
+        SELECT left(prefix, 32 * (depth - 1)) AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (prefix)),
+    owned AS (
+        SELECT conv_id, prefix, depth,
+               sum(CASE WHEN conv_id = least AND n_children = 0 THEN 1 ELSE 0 END) OVER o AS leaves,
+               sum(CASE WHEN conv_id = least THEN (n - 1) * f.w ELSE 0 END) OVER o AS saved,
+               depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+        FROM members JOIN full_nodes f USING (prefix, depth) WINDOW o AS (PARTITION BY conv_id ORDER BY depth DESC)),
+    sums AS (
+        SELECT prefix, sum(leaves)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+        FROM owned GROUP BY prefix)
+    SELECT f.least AS conv_id, f.depth::BIGINT AS depth, above.least AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves, saved_tokens, ends_sha256
+    FROM full_nodes f JOIN sums USING (prefix)
+    LEFT JOIN full_nodes above ON f.depth > 0 AND above.depth = f.depth - 1 AND above.prefix = left(f.prefix, 32 * (f.depth - 1))"""
+
 OP13 = f"""
     WITH crc AS (SELECT {CRC_TABLE} AS remainders),
     texts AS (
@@ -234,5 +269,6 @@ def oracle() -> dict[str, str]:
         "op6_warc": OP6,
         "op7_pii": OP7,
         "op8_ngram_jaccard": OP8,
+        "op12_prefix_trie": OP12,
         "op13_sharding": OP13,
     }
