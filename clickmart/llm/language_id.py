@@ -11,7 +11,9 @@ same runs with their letters shuffled, and against texts of a label that a model
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,8 @@ WRONGLY_REJECTED = 0.001  # of the calibration texts that are predicted right
 MOST_WRONGLY_REJECTED = 0.01  # of them, where a higher limit keeps enough foreign texts out
 KEEP_WEIGHT = 10  # foreign texts that may stay for a right one that goes
 LENGTHS = (16, 64, 256)  # subwords of a text from which the next limit holds
-LEAST_ROWS = 100  # right and foreign rows of a length that a limit of its own needs
+OTHER_LENGTH = 0.001  # what a row counts for the limit of the next length
+FEW_ROWS = 10  # a limit that rests on so many rows is half of what they say
 LEFT_OUT_PARTS = 4  # parts of the labels that are left out in turn
 LEFT_OUT_EVERY = 3  # a model without a part learns from each third text
 LONGEST_RUN = 512  # words of the calibrating runs
@@ -127,7 +130,7 @@ def sample_features(batches):
                 [
                     piece.column("label"),
                     piece.column("role"),
-                    pa.array([np.array(list(c), np.int32).tobytes() for c in counts], pa.binary()),
+                    pa.array([np.array(list(c), np.int16).tobytes() for c in counts], pa.binary()),
                     pa.array([np.array(list(c.values()), np.int32).tobytes() for c in counts], pa.binary()),
                 ],
                 names=["label", "role", "buckets", "counts"],
@@ -136,29 +139,39 @@ def sample_features(batches):
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Labels, the product of embeddings and linear layer, its bias, the temperature and the least confidence by length."""
+    """Labels, embeddings, linear layer, its bias, the temperature and the least confidence by length."""
 
     labels: tuple[str, ...]
-    table: np.ndarray
+    embed: np.ndarray
+    linear: np.ndarray
     bias: np.ndarray
     temperature: float
     least: tuple[float, ...]
 
+    @cached_property
+    def layers(self) -> tuple[np.ndarray, np.ndarray | None]:
+        """What is summed for each subword, and what the sum is multiplied by: the order that takes less memory."""
+        if len(self.labels) > DIMENSIONS:
+            return self.embed, self.linear
+        return (self.embed @ self.linear).astype(np.float32), None
+
     def logits(self, column: pa.Array) -> np.ndarray:
         return self.measured(column)[0]
 
     def measured(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Logits and number of subwords of each text."""
-        total = np.zeros((len(column), len(self.labels)))
+        table, then = self.layers
+        total = np.zeros((len(column), table.shape[1]))
         seen = np.zeros(len(column))
         for text, bucket in text_buckets(column):
-            step = max(1, (1 << 22) // len(self.labels))
-            for at in range(0, len(text), step):  # a long text in steps, whatever the number of labels
-                own, rows = text[at : at + step], self.table[bucket[at : at + step]]
+            step = (1 << 22) // DIMENSIONS
+            for at in range(0, len(text), step):  # a long text in steps
+                own, rows = text[at : at + step], table[bucket[at : at + step]]
                 starts = np.flatnonzero(np.diff(own, prepend=-1))
                 total[own[starts]] += np.add.reduceat(rows, starts, axis=0, dtype=np.float64)
             seen += np.bincount(text, minlength=len(column))
-        return total / np.maximum(seen, 1)[:, None] + self.bias, seen
+        mean = total / np.maximum(seen, 1)[:, None]
+        return (mean if then is None else mean @ then) + self.bias, seen
 
     def limits(self, subwords_: np.ndarray) -> np.ndarray:
         return np.array(self.least)[np.searchsorted(LENGTHS, subwords_, "right")]
@@ -180,17 +193,16 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def learn(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
-    """Table, bias and temperature from (label, buckets, shares, role, subwords) of texts."""
+def learn(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embeddings, linear layer and bias from (label, buckets, shares) of texts."""
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 0.1, (1 << BUCKET_BITS, DIMENSIONS))
     linear = rng.normal(0, 0.3, (DIMENSIONS, labels))
     bias = np.zeros(labels)
-    train = [t for t in texts if t[3] == TRAIN] or [t for t in texts if t[3] != NOISE]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
-        for i in rng.permutation(len(train)):
-            label, buckets, share, *_ = train[i]
+        for i in rng.permutation(len(texts)):
+            label, buckets, share = texts[i]
             mean = share @ embed[buckets]
             error = softmax(mean @ linear + bias)
             error[label] -= 1
@@ -199,100 +211,143 @@ def learn(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray,
             linear -= 0.1 * rate * np.outer(mean, error)
             bias -= 0.01 * rate * error
         embed *= 1 - DECAY
-    table = embed @ linear
-    held = held_rows(texts)
-    if not held:
-        return table, bias, 1.0
-    raw = logits_of(held, table, bias)
-    truth = np.array([t[0] for t in held])
-    loss = {
-        float(t): -np.log(softmax(raw / t)[np.arange(len(held)), truth] + 1e-12).mean() for t in np.geomspace(0.1, 10, 41)
-    }
-    return table, bias, min(loss, key=loss.get)
-
+    return embed.astype(np.float32), linear, bias
 
-def held_rows(texts: list) -> list:
-    return [t for t in texts if t[3] == CALIBRATE] or [t for t in texts if t[3] != NOISE]
 
+def best_temperature(raw: np.ndarray, truth: np.ndarray) -> float:
+    rows = np.arange(len(truth))
+    loss = {float(t): -np.log(softmax(raw / t)[rows, truth] + 1e-12).mean() for t in np.geomspace(0.1, 10, 41)}
+    return min(loss, key=loss.get)
 
-def logits_of(texts: list, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    return np.array([share @ table[buckets] + bias for _, buckets, share, *_ in texts]).reshape(len(texts), len(bias))
 
-
-def unlearned(texts: list, labels: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Confidence and subwords of calibrating texts under a model that did not learn their label.
-
-    The labels are dealt into LEFT_OUT_PARTS parts, so the models to learn are as many, whatever the labels. None where
-    less than two labels would be left.
-    """
-    found = [(np.zeros(0), np.zeros(0))]
-    parts = min(labels, LEFT_OUT_PARTS)
-    for part in range(parts):
-        rest = [label for label in range(labels) if label % parts != part]
-        away = [t for t in texts if t[0] % parts == part and t[3] == CALIBRATE]
-        if len(rest) < 2 or not away:
-            continue
-        place = {label: i for i, label in enumerate(rest)}
-        own = [(place[t[0]], *t[1:]) for t in texts if t[0] in place and t[3] != NOISE]
-        own = [t for i, t in enumerate(own) if t[3] == CALIBRATE or i % LEFT_OUT_EVERY == 0]
-        table, bias, temperature = learn(own, len(rest), seed)
-        found.append((softmax(logits_of(away, table, bias) / temperature).max(axis=1), np.array([t[4] for t in away])))
-    return tuple(map(np.concatenate, zip(*found, strict=True)))
+def weighed_quantile(values: np.ndarray, weights: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    order = np.argsort(values, kind="stable")
+    reached = np.cumsum(weights[order])
+    return values[order][np.minimum(np.searchsorted(reached, shares * reached[-1]), len(values) - 1)]
 
 
 def least_confidence(right, right_subwords, foreign, foreign_subwords) -> tuple[float, ...]:
     """For each length the limit between WRONGLY_REJECTED and MOST_WRONGLY_REJECTED of the right rows that costs least.
 
-    A length with too few rows of either kind has the limit that all right rows give, 0.5 at most.
+    Rows of other lengths count a thousandth, or a millionth two steps away, and the fewer rows a limit rests on, the lower it is set.
     """
     if not len(right):
         return (0.0,) * (len(LENGTHS) + 1)
-    rest = min(float(np.quantile(right, WRONGLY_REJECTED)), 0.5)
+    shares = np.geomspace(WRONGLY_REJECTED, MOST_WRONGLY_REJECTED, 21)
     limits = []
     for length in range(len(LENGTHS) + 1):
-        own = right[np.searchsorted(LENGTHS, right_subwords, "right") == length]
-        other = foreign[np.searchsorted(LENGTHS, foreign_subwords, "right") == length]
-        if min(len(own), len(other)) < LEAST_ROWS:
-            limits.append(rest)
-            continue
-        shares = np.geomspace(WRONGLY_REJECTED, MOST_WRONGLY_REJECTED, 21)
-        cost = {float(at): KEEP_WEIGHT * share + (other >= at).mean() for share, at in zip(shares, np.quantile(own, shares), strict=True)}
-        limits.append(min(cost, key=cost.get))
+        own, other = (
+            OTHER_LENGTH ** np.abs(np.searchsorted(LENGTHS, n, "right") - length) for n in (right_subwords, foreign_subwords)
+        )
+        places = weighed_quantile(right, own, shares)
+        stay = [other[foreign >= at].sum() / max(other.sum(), 1e-300) for at in places]
+        best = places[int(np.argmin(KEEP_WEIGHT * shares + stay))]
+        rows = min(own.sum(), other.sum())
+        limits.append(float(best * rows / (rows + FEW_ROWS)))
     return tuple(limits)
 
 
-def fit(sample: list, seed: int = 7) -> LanguageModel:
-    """A model from sampled rows (label, role, buckets, counts); their roles are ROLES."""
-    sample = sorted(sample, key=lambda r: (r["label"], r["role"], r["buckets"], r["counts"]))
-    labels = tuple(sorted({r["label"] for r in sample}))
-    place = {label: i for i, label in enumerate(labels)}
-    texts = []
-    for row in sample:
-        counts = np.frombuffer(row["counts"], np.int32).astype(np.float64)
-        buckets = np.frombuffer(row["buckets"], np.int32).astype(np.int64)
-        texts.append((place[row["label"]], buckets, counts / max(1, counts.sum()), row["role"], counts.sum()))
+def fit(rows: Iterable[tuple], seed: int = 7) -> LanguageModel:
+    """A model from (label, role, buckets, counts) of sampled texts, those to learn from first and each role sorted.
+
+    The texts to learn from are held; of the others only what the models say of them. The labels are dealt into
+    LEFT_OUT_PARTS parts, and models without a part of them, as many whatever the labels, show how sure a model is of
+    texts of a label that it did not learn.
+    """
+    train, labels, models, measured = [], [], [], []
+
+    def learn_all() -> None:
+        place = {label: i for i, label in enumerate(labels)}
+        known = [(place[label], buckets, share) for label, buckets, share, _ in train]
+        models.append((list(range(len(labels))), learn(known, len(labels), seed)))
+        parts = min(len(labels), LEFT_OUT_PARTS)
+        for part in range(parts):
+            rest = [i for i in range(len(labels)) if i % parts != part]
+            if len(rest) > 1:
+                of_rest = {label: i for i, label in enumerate(rest)}
+                own = [(of_rest[t[0]], *t[1:]) for t in known if t[0] in of_rest][::LEFT_OUT_EVERY]
+                models.append((rest, learn(own, len(rest), seed)))
+
+    def measure(label: str, role: int, buckets: np.ndarray, share: np.ndarray, total: float) -> None:
+        if not models:
+            learn_all()
+        used = models if role != NOISE else models[:1]
+        raw = [(share @ embed[buckets] @ linear + bias).astype(np.float32) for _, (embed, linear, bias) in used]
+        measured.append((labels.index(label) if label in labels else -1, role, total, raw))
+
+    for label, role, buckets, counts in rows:
+        amount = np.frombuffer(counts, np.int32)
+        if not len(amount):
+            if role == TRAIN and label not in labels:
+                labels.append(label)
+            continue
+        total = int(amount.sum())
+        text = np.frombuffer(buckets, np.int16), (amount / total).astype(np.float32)
+        if role == TRAIN:
+            if not labels or labels[-1] != label:
+                labels.append(label)
+            train.append((label, *text, total))
+        else:
+            measure(label, role, *text, total)
     none = (0.0,) * (len(LENGTHS) + 1)
     if not labels:
-        return LanguageModel((), np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros(0), 1.0, none)
-    texts = [t for t in texts if len(t[1])]
-    table, bias, temperature = learn(texts, len(labels), seed)
-    held = held_rows(texts)
+        return LanguageModel((), np.zeros((1 << BUCKET_BITS, DIMENSIONS), np.float32), np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, none)
+    if not any(role == CALIBRATE for _, role, *_ in measured):
+        for label, buckets, share, total in train:  # too few texts to hold any back
+            measure(label, CALIBRATE, buckets, share, total)
+    if not models:
+        learn_all()
+    (_, (embed, linear, bias)), *others = models
+    held = [m for m in measured if m[1] == CALIBRATE]
     if not held:
-        return LanguageModel(labels, table.astype(np.float32), bias, 1.0, none)
-    sure = softmax(logits_of(held, table, bias) / temperature)
-    hit = sure.argmax(axis=1) == np.array([t[0] for t in held])
-    noise = [t for t in texts if t[3] == NOISE]
-    foreign = [(softmax(logits_of(noise, table, bias) / temperature).max(axis=1), np.array([t[4] for t in noise]))]
-    foreign, foreign_subwords = map(np.concatenate, zip(*foreign, unlearned(texts, len(labels), seed), strict=True))
-    least = least_confidence(sure.max(axis=1)[hit], np.array([t[4] for t in held])[hit], foreign, foreign_subwords)
-    return LanguageModel(labels, table.astype(np.float32), bias, temperature, least)
+        return LanguageModel(tuple(labels), embed, linear, bias, 1.0, none)
+    raw, truth = np.array([m[3][0] for m in held], np.float64), np.array([m[0] for m in held])
+    temperature = best_temperature(raw, truth)
+    sure = softmax(raw / temperature)
+    hit = sure.argmax(axis=1) == truth
+    lengths = np.array([m[2] for m in held])
+    noise = np.array([m[3][0] for m in measured if m[1] == NOISE], np.float64).reshape(-1, len(labels))
+    foreign = [softmax(noise / temperature).max(axis=1)]
+    foreign_lengths = [np.array([m[2] for m in measured if m[1] == NOISE])]
+    for i, (rest, _) in enumerate(others):
+        raw = np.array([m[3][1 + i] for m in held], np.float64)
+        known = np.isin(truth, rest)
+        if known.any() and not known.all():
+            own = best_temperature(raw[known], np.searchsorted(rest, truth[known]))
+            foreign.append(softmax(raw[~known] / own).max(axis=1))
+            foreign_lengths.append(lengths[~known])
+    least = least_confidence(sure.max(axis=1)[hit], lengths[hit], np.concatenate(foreign), np.concatenate(foreign_lengths))
+    return LanguageModel(tuple(labels), embed, linear, bias, temperature, least)
+
+
+def fit_in_task(batches):
+    """One row with the model of all rows."""
+    columns = ("label", "role", "buckets", "counts")
+    rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
+    model = fit(rows)
+    yield pa.RecordBatch.from_pylist(
+        [
+            {
+                "labels": list(model.labels),
+                "embed": model.embed.astype(np.float32).tobytes(),
+                "linear": model.linear.astype(np.float64).tobytes(),
+                "bias": model.bias.astype(np.float64).tobytes(),
+                "temperature": model.temperature,
+                "least": list(model.least),
+            }
+        ]
+    )
+
+
+MODEL_ROW = "labels array<string>, embed binary, linear binary, bias binary, temperature double, least array<double>"
 
 
 def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label_column: str) -> LanguageModel:
     """Model from the rows where ``keep`` holds, the text is not null and there is a label.
 
-    The sample: of each label the rows with the smallest hash of their id, SAMPLE_ROWS over all labels and evenly so
-    far as there are rows; a fifth of them calibrates. Only their ids and subword counts reach the driver.
+    The sample: of each label the ids with the smallest hash, SAMPLE_ROWS over all labels and evenly so far as there are ids; a
+    fifth of them calibrates. Of an id with several rows, however many, the least label counts and the least text that has it. Features are
+    made in tasks, one task learns from those of the sample, and only the model, 1 MB and some bytes a label, reaches the driver.
     """
     usable = keep & F.col(label_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull()
     order = F.xxhash64(F.col(id_column).cast("string"), F.lit("sample"))
@@ -308,20 +363,40 @@ def train(docs: DataFrame, keep: Column, id_column: str, text_column: str, label
     picked = (
         known.join(F.broadcast(numbers), "label", "left")  # FREQUENT_LABELS rows; rarer labels keep all of theirs
         .where(low)
+        .groupBy("_id")
+        .agg(F.min("label").alias("label"), F.min("order").alias("order"))
         .withColumn("rank", rank)
         .where(F.col("rank") <= MOST_PER_LABEL)
         .orderBy("rank", "order", "_id")
         .limit(SAMPLE_ROWS)
         .select("_id", "label", F.when(F.col("rank") % 5 == 0, CALIBRATE).otherwise(TRAIN).alias("role"))
     )
-    texts = docs.where(usable).select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("text"))
-    rows = (
-        texts.join(F.broadcast(picked), "_id")  # SAMPLE_ROWS ids
+    texts = docs.where(usable).select(
+        F.col(id_column).alias("_id"), F.col(label_column).cast("string").alias("label"), F.col(text_column).cast("string").alias("text")
+    )
+    sampled = texts.join(F.broadcast(picked), ["_id", "label"])  # SAMPLE_ROWS ids
+    features = (
+        sampled.groupBy("_id", "label", "role")
+        .agg(F.min("text").alias("text"))
         .select("label", "role", "text")
         .mapInArrow(sample_features, "label string, role int, buckets binary, counts binary")
-        .collect()
     )
-    return fit(rows)
+    row = (
+        features.repartition(1)
+        .sortWithinPartitions("role", "label", "buckets", "counts")
+        .mapInArrow(fit_in_task, MODEL_ROW)
+        .first()
+    )
+    if row is None:
+        return fit([])
+    return LanguageModel(
+        tuple(row["labels"]),
+        np.frombuffer(row["embed"], np.float32).reshape(-1, DIMENSIONS),
+        np.frombuffer(row["linear"]).reshape(DIMENSIONS, -1),
+        np.frombuffer(row["bias"]),
+        row["temperature"],
+        tuple(row["least"]),
+    )
 
 
 def predict(
@@ -336,7 +411,7 @@ def predict(
     calibrated confidence is below the model's limit for texts of its length. Nothing but the text is looked at; rows are independent. Without a
     learned label every text is UNKNOWN.
     """
-    parts = (model.labels, model.table, model.bias, model.temperature, model.least)
+    parts = (model.labels, model.embed, model.linear, model.bias, model.temperature, model.least)
     shared = docs.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches):
@@ -370,11 +445,15 @@ def predict(
 
 
 def keep_known(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "lang") -> DataFrame:
-    """``docs`` without the texts that the model rejects; the label of the others becomes the predicted one.
+    """``docs`` without the texts that the model rejects; where the label is null it becomes the predicted one.
 
-    The model learns from the rows of ``docs`` that have a label. All columns stay.
+    The model learns from the rows of ``docs`` that have a label. Without any there is nothing to judge by, and all rows
+    stay as they are. All columns stay.
     """
     model = train(docs, F.lit(True), id_column, text_column, label_column)
+    if not model.labels:
+        return docs
     names = ("_llm_lang", "_llm_score", "_llm_rejected")
     predicted = predict(docs, model, text_column, names).where("not _llm_rejected")
-    return predicted.withColumn(label_column, F.col("_llm_lang")).select(docs.columns)
+    label = F.coalesce(F.col(label_column), F.col("_llm_lang").cast(docs.schema[label_column].dataType))
+    return predicted.withColumn(label_column, label).select(docs.columns)

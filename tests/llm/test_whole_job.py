@@ -61,3 +61,25 @@ def test_short_items_and_scripts_without_spaces(spark, tmp_path):
     assert found == {(1, 1), (2, 2), (3, 3), (3, 5), (4, 4), (5, 8)}
     kept = decontamination.decontaminate(docs, queries.table(spark, str(tmp_path), "benchmark")).collect()
     assert {r["doc_id"] for r in kept} == {6, 7, 8}
+
+
+def test_repeated_ids_bring_one_text_each(spark, data):
+    docs = queries.table(spark, data, "documents").select("doc_id", "text", "lang")
+    again = docs.where("doc_id = 3").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(1000)))).drop("i")
+    once = language_id.train(docs, F.lit(True), "doc_id", "text", "lang")
+    often = language_id.train(docs.union(again), F.lit(True), "doc_id", "text", "lang")
+    assert once.labels == often.labels and np.array_equal(once.embed, often.embed) and once.least == often.least
+
+
+def test_without_labels_nothing_is_judged(spark):
+    rows = [(1, "some words of a text", None), (2, None, None), (3, "...", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(map(tuple, language_id.keep_known(docs).collect())) == rows
+
+
+def test_given_labels_stay_and_nulls_are_filled(spark, data):
+    docs = queries.table(spark, data, "documents").where(F.size(F.split("text", " ")) >= 60)
+    changed = docs.withColumn("lang", F.when(F.col("doc_id") % 4 != 0, F.col("lang")))
+    kept = language_id.keep_known(changed).join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id").collect()
+    assert kept and all(r["lang"] is not None for r in kept)
+    assert sum(r["lang"] == r["truth"] for r in kept) >= 0.97 * len(kept)
