@@ -17,7 +17,7 @@ MOST_EPOCHS = 2.0
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language, with the language that was found; texts that the model rejects go."""
+    """Documents in a known language, with the language found where none is given; texts that the model rejects go."""
     return language_id.keep_known(docs)
 
 
