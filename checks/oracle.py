@@ -445,6 +445,11 @@ def oracle() -> dict[str, str]:
             "SELECT user_id, total_views, total_purchases, total_spend, last_activity_date "
             "FROM features",
         ),
+        "features_over_checkpoints": sql(
+            "ev prof inter features",
+            "SELECT user_id, total_views, total_purchases, total_spend, last_activity_date "
+            "FROM features",
+        ),
         "product_popularity": sql("ev popular", "SELECT * FROM popular"),
         "user_behavior": sql("ev behavior", "SELECT * FROM behavior"),
         "category_performance": sql("ev", category_mart("ev")),

@@ -48,7 +48,7 @@ from clickmart.sources import (
     star_schema,
     valid_events,
 )
-from clickmart.streaming import read_features, start_feature_refresh, start_ingest
+from clickmart.streaming import compact_features, read_features, start_feature_refresh, start_ingest
 
 AS_OF = "2024-02-01"
 REFRESH_DAY = "2024-01-15"
@@ -306,6 +306,20 @@ def streamed_features(i: Inputs) -> DataFrame:
     return read_features(i.spark, root)
 
 
+@query
+def features_over_checkpoints(i: Inputs) -> DataFrame:
+    """Features of two streams, the second with a new checkpoint and only messages that the first has not seen."""
+    root, table = i.scratch("features"), i.scratch("compacted")
+    early = F.col("interaction_time") < REFRESH_DAY
+    for part in (i.interactions.where(early), i.interactions.where(~early | F.col("interaction_time").isNull())):
+        source = i.scratch("interactions")
+        part.write.parquet(source)
+        stream = i.spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 4).parquet(source)
+        start_feature_refresh(stream, root, i.scratch("refresh"), None).awaitTermination()
+        compact_features(i.spark, root, table)
+    return read_features(i.spark, root)
+
+
 # Marts
 
 

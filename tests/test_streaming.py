@@ -110,3 +110,71 @@ def test_features_survive_a_new_checkpoint(spark, tmp_path):
     spark.createDataFrame([("u", 99)], "user_id string, total_views long").write.parquet(f"{root}/batch-9-9")
     (tmp_path / "features" / "batch-9-9" / "_SUCCESS").unlink()
     assert totals() == {"u": 8, "v": 2}
+
+
+SCHEMA = "user_id string, product_id string, interaction_type string, interaction_time timestamp, price double"
+
+
+def bought(spark, path, *rows):
+    one = spark.createDataFrame([(u, "p", kind, price) for u, kind, price in rows], "user_id string, product_id string, interaction_type string, price double")
+    one = one.withColumn("interaction_time", F.lit("2024-01-01").cast("timestamp"))
+    one.select("user_id", "product_id", "interaction_type", "interaction_time", "price").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_a_new_checkpoint_goes_on_counting(spark, tmp_path):
+    root, table = str(tmp_path / "features"), str(tmp_path / "table")
+
+    def run(source, checkpoint):
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+        start_feature_refresh(stream, root, str(tmp_path / checkpoint), None).awaitTermination()
+
+    def totals():
+        return {r.user_id: (r.total_views, r.total_purchases, r.total_spend) for r in read_features(spark, root).collect()}
+
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    bought(spark, first, *[("u", "view", 1.0)] * 8, ("w", "purchase", 0.1))
+    run(first, "one")
+    bought(spark, second, *[("u", "view", 1.0)] * 2, ("w", "purchase", 0.2), (None, "view", 1.0))
+    run(second, "two")
+    wanted = {"u": (10, 0, 0.0), "w": (0, 2, 0.3), None: (1, 0, 0.0)}
+    assert totals() == wanted
+    compact_features(spark, root, table)
+    assert totals() == wanted
+    # A batch that is run again, because its end was not recorded, changes nothing.
+    for checkpoint in ("one", "two"):
+        for name in (tmp_path / checkpoint / "commits").glob("*0*"):
+            name.unlink()
+        for name in (tmp_path / checkpoint / "commits").glob(".0*"):
+            name.unlink()
+    run(first, "one")
+    run(second, "two")
+    assert totals() == wanted
+    # Both runs go on, and a third one that reads everything again counts only what is new.
+    bought(spark, first, ("u", "purchase", 5.0))
+    bought(spark, second, ("u", "view", 1.0))
+    run(first, "one")
+    run(second, "two")
+    wanted["u"] = (11, 1, 5.0)
+    assert totals() == wanted
+    bought(spark, first, ("v", "view", 1.0))
+    run(first, "three")
+    run(second, "four")
+    assert totals() == wanted | {"v": (1, 0, 0.0)}
+    assert compact_features(spark, root, table) == 2
+    assert totals() == wanted | {"v": (1, 0, 0.0)}
+
+
+def test_features_from_a_source_without_files(spark, tmp_path):
+    stream = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 5).option("numPartitions", 1).load()
+    views = stream.select(
+        F.lit("u").alias("user_id"), F.lit("view").alias("interaction_type"), F.col("timestamp").alias("interaction_time")
+    )
+    root = str(tmp_path / "features")
+    query = start_feature_refresh(views, root, str(tmp_path / "checkpoint"), "1 second")
+    try:
+        while query.lastProgress is None:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    seen = read_features(spark, root).collect()
+    assert len(seen) == 1 and seen[0].total_views % 5 == 0 and seen[0].total_views > 0
