@@ -81,9 +81,9 @@ def _funnel(
 ) -> DataFrame:
     """Counts and purchase money per key, and how many users and products it has.
 
-    Rows are added up per user and product first. Both distinct counts then work on what is left, each
-    with a grouping of its own, instead of copying every row for the second one. ``approx`` estimates them in
-    one grouping.
+    Rows are added up per user and product first. What is left stands once for its user and once for its product, is
+    reduced again, and both distinct counts and all sums come out of one grouping: events are read once. ``approx``
+    estimates the counts instead.
     """
     bought = F.when(is_type("purchase"), cents(F.col("price")))
     sums = {
@@ -106,10 +106,14 @@ def _funnel(
     else:
         again = [F.sum(name).alias(name) for name in sums]
         pairs = known.groupBy(key, "user_id", "product_id").agg(*made)
-        total = pairs.groupBy(key, "user_id").agg(*again).groupBy(key)
-        items = pairs.select(key, "product_id").distinct().groupBy(key)
-        counted = total.agg(*again, F.count("user_id").alias(users)).join(
-            items.agg(F.count("product_id").alias(products)), key
+        nothing = [F.lit(None).cast("long").alias(name) for name in sums]
+        one_user = F.struct(F.lit(True).alias("_user"), F.col("user_id").alias("_id"), *sums)
+        one_product = F.struct(F.lit(False).alias("_user"), F.col("product_id").alias("_id"), *nothing)
+        reduced = pairs.select(key, F.inline(F.array(one_user, one_product))).groupBy(key, "_user", "_id").agg(*again)
+        counted = reduced.groupBy(key).agg(
+            *again,
+            F.count_if(F.col("_user") & F.col("_id").isNotNull()).alias(users),
+            F.count_if(~F.col("_user") & F.col("_id").isNotNull()).alias(products),
         )
     return (
         counted

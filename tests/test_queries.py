@@ -49,5 +49,7 @@ def test_profile_scans_once_without_joining_aggregates(spark, data):
 
 
 @pytest.mark.parametrize("name", ["category_performance", "brand_performance"])
-def test_distinct_counts_copy_no_rows(spark, data, name):
-    assert "Expand" not in plan_of(spark, data, name)
+def test_distinct_counts_read_events_once_and_copy_no_rows(spark, data, name):
+    plan = plan_of(spark, data, name)
+    assert "Expand" not in plan
+    assert sum("events.parquet" in line for line in plan.splitlines() if "FileScan" in line) == 1
