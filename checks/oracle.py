@@ -508,6 +508,30 @@ def oracle() -> dict[str, str]:
         "product_analytics": sql("ev analytics", "SELECT * FROM analytics"),
         "brand_analytics": sql("ev analytics", rollup("brand")),
         "category_analytics": sql("ev analytics", rollup("category_code")),
+        "stored_category_performance": sql(
+            "ev",
+            f"""SELECT * EXCLUDE (unique_users, unique_products), TRUE AS users_close, TRUE AS products_close
+                FROM ({category_mart("ev")})""",
+        ),
+        "stored_brand_span": sql(
+            "ev",
+            f"""SELECT brand, count(*) AS total_events, {number_of("purchase")} AS purchase_count,
+                   {REVENUE} AS total_revenue, {PURCHASE_AVG} AS avg_purchase_value
+                FROM ev WHERE brand IS NOT NULL AND event_time >= TIMESTAMP '2024-01-10'
+                    AND event_time < TIMESTAMP '2024-01-20' GROUP BY brand""",
+        ),
+        "stored_daily_metrics": sql(
+            "ev daily",
+            """SELECT event_date AS metric_date, TRUE AS users_close, daily_purchases AS total_purchases,
+                   daily_revenue AS total_revenue, avg_order_value, daily_conversion_rate AS conversion_rate,
+                   daily_views AS total_views, daily_cart_additions AS total_cart_additions
+               FROM daily""",
+        ),
+        "stored_category_recs": sql(
+            "ev cat_lists",
+            "SELECT category_code, recommended_products, recommendation_score FROM cat_lists",
+            tie="avg_price DESC,",
+        ),
         "category_recs_list": sql(
             RECS,
             "SELECT user_id, recommended_products, recommendation_reason, recommendation_date "

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from clickmart.operators import (
 from clickmart.operators.materialize import checkpoint_root
 from clickmart.plans import (
     category_recs,
+    daily_store,
     marts,
     profiles,
     recommend,
@@ -545,6 +546,62 @@ def recommendation_performance(i: Inputs) -> DataFrame:
     return six_decimals(mart, "avg_recommendation_score")
 
 
+# Marts from parts that are stored by day
+
+
+def stored_by_day(i: Inputs, parts: Callable[[DataFrame], DataFrame]) -> str:
+    """Parts of all events, stored in three steps; the second day of the refresh is stored twice, first without its purchases."""
+    root = i.scratch("parts")
+    day = F.coalesce(F.to_date("event_time"), F.lit("1970-01-01").cast("date"))
+    cut, then = (F.lit(d).cast("date") for d in (REFRESH_DAY, "2024-01-16"))
+    late = (day >= cut) & (day <= then)
+    for step in (day < cut, late & (F.col("event_type") != "purchase"), day > then, late):
+        daily_store.replace_days(parts(i.events.where(step)), root)
+    return root
+
+
+def close(estimate: str, exact: str) -> Column:
+    """Whether an estimate is within three percent, four standard errors."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= 0.03 * F.col(exact)
+
+
+@query
+def stored_category_performance(i: Inputs) -> DataFrame:
+    root = stored_by_day(i, lambda events: daily_store.funnel_parts(events, "category_code"))
+    exact = marts.category_performance(i.events).select(
+        "category_code", F.col("unique_users").alias("users"), F.col("unique_products").alias("products")
+    )
+    found = daily_store.category_performance(i.spark, root).join(exact, "category_code", "left")
+    return found.select(
+        *[c for c in found.columns if c not in ("unique_users", "unique_products", "users", "products")],
+        close("unique_users", "users").alias("users_close"),
+        close("unique_products", "products").alias("products_close"),
+    )
+
+
+@query
+def stored_brand_span(i: Inputs) -> DataFrame:
+    """Brands from the tenth to the nineteenth of the month."""
+    root = stored_by_day(i, lambda events: daily_store.funnel_parts(events, "brand"))
+    found = daily_store.brand_performance(i.spark, root, "2024-01-10", "2024-01-20")
+    return found.drop("unique_customers", "unique_products")
+
+
+@query
+def stored_daily_metrics(i: Inputs) -> DataFrame:
+    root = stored_by_day(i, daily_store.funnel_parts)
+    exact = marts.daily_metrics(i.events).select("metric_date", F.col("total_users").alias("users"))
+    found = daily_store.daily_metrics(i.spark, root).join(exact, "metric_date", "left")
+    return found.withColumn("users_close", close("total_users", "users")).drop("total_users", "users")
+
+
+@query
+def stored_category_recs(i: Inputs) -> DataFrame:
+    root = stored_by_day(i, daily_store.sales_parts)
+    top = daily_store.category_top_products(i.spark, root, tie_break="avg_price")
+    return top.withColumn("recommended_products", F.array_join("recommended_products", ","))
+
+
 # Serving shapes, upserts and checks
 
 

@@ -20,18 +20,21 @@ def category_top_products(
     Equal counts go by product id, or first by higher average price with ``tie_break="avg_price"``.
     ``recommendation_score`` is the average purchase count of the listed products.
     """
-    counts = (
-        events.where(
-            is_type("purchase")
-            & F.col("category_code").isNotNull()
-            & F.col("product_id").isNotNull()
-        )
-        .groupBy("category_code", "product_id")
-        .agg(
-            F.count("*").alias("purchase_count"),
-            money_avg(F.col("price")).alias("avg_price"),
-        )
+    counts = sales(events).groupBy("category_code", "product_id").agg(
+        F.count("*").alias("purchase_count"), money_avg(F.col("price")).alias("avg_price")
+    )
+    return ranked_products(counts, k, tie_break)
+
+
+def sales(events: DataFrame) -> DataFrame:
+    """Purchases of a known product in a known category."""
+    return events.where(
+        is_type("purchase") & F.col("category_code").isNotNull() & F.col("product_id").isNotNull()
     )
+
+
+def ranked_products(counts: DataFrame, k: int = 5, tie_break: str | None = None) -> DataFrame:
+    """``category_top_products`` from purchase count and average price per category and product."""
     order = [F.desc("purchase_count"), F.asc("product_id")]
     if tie_break is not None:
         order.insert(1, F.desc_nulls_last(tie_break))

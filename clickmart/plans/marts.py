@@ -76,17 +76,10 @@ def user_behavior(events: DataFrame) -> DataFrame:
     )
 
 
-def _funnel(
-    events: DataFrame, key: str, users: str, products: str, approx: bool = False
-) -> DataFrame:
-    """Counts and purchase money per key, and how many users and products it has.
-
-    Rows are added up per user and product first. What is left stands once for its user and once for its product, is
-    reduced again, and both distinct counts and all sums come out of one grouping: events are read once. ``approx``
-    estimates the counts instead.
-    """
+def funnel_sums() -> dict[str, Column]:
+    """What adds up over any rows of a group: events of each type and purchase money in whole cents."""
     bought = F.when(is_type("purchase"), cents(F.col("price")))
-    sums = {
+    return {
         "total_events": F.count("*"),
         "purchase_count": _count("purchase"),
         "view_count": _count("view"),
@@ -95,6 +88,25 @@ def _funnel(
         "_paid": F.sum(bought),
         "_priced": F.count(bought),
     }
+
+
+def with_money(counted: DataFrame) -> DataFrame:
+    """Revenue and average purchase from the sums of ``funnel_sums``."""
+    return counted.withColumn("total_revenue", F.col("_revenue") / F.lit(100.0)).withColumn(
+        "avg_purchase_value", F.try_divide(F.col("_paid") / F.lit(100.0), "_priced")
+    )
+
+
+def _funnel(
+    events: DataFrame, key: str, users: str, products: str, approx: bool = False
+) -> DataFrame:
+    """Counts and purchase money per key, and how many users and products it has.
+
+    Rows are added up per user and product first. What is left stands once for its user and once for its product, is
+    reduced again, and both distinct counts and all sums come out of one grouping: events are read once. ``approx``
+    estimates the counts instead.
+    """
+    sums = funnel_sums()
     known = events.where(F.col(key).isNotNull())
     made = [c.alias(name) for name, c in sums.items()]
     if approx:
@@ -115,16 +127,16 @@ def _funnel(
             F.count_if(F.col("_user") & F.col("_id").isNotNull()).alias(users),
             F.count_if(~F.col("_user") & F.col("_id").isNotNull()).alias(products),
         )
-    return (
-        counted
-        .withColumn("total_revenue", F.col("_revenue") / F.lit(100.0))
-        .withColumn("avg_purchase_value", F.try_divide(F.col("_paid") / F.lit(100.0), "_priced"))
-    )
+    return with_money(counted)
 
 
 def category_performance(events: DataFrame, approx: bool = False) -> DataFrame:
     """Funnel and revenue per category; ``approx`` estimates the distinct counts."""
-    return _funnel(events, "category_code", "unique_users", "unique_products", approx).select(
+    return category_columns(_funnel(events, "category_code", "unique_users", "unique_products", approx))
+
+
+def category_columns(funnel: DataFrame) -> DataFrame:
+    return funnel.select(
         "category_code",
         "total_events",
         "purchase_count",
@@ -199,7 +211,11 @@ def metrics_for_day(events: DataFrame, day: str) -> DataFrame:
 
 def brand_performance(events: DataFrame, approx: bool = False) -> DataFrame:
     """Revenue and reach per brand; ``approx`` estimates the distinct counts."""
-    return _funnel(events, "brand", "unique_customers", "unique_products", approx).select(
+    return brand_columns(_funnel(events, "brand", "unique_customers", "unique_products", approx))
+
+
+def brand_columns(funnel: DataFrame) -> DataFrame:
+    return funnel.select(
         "brand",
         "total_events",
         "purchase_count",
