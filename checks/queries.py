@@ -468,8 +468,8 @@ def similar_users_rows(i: Inputs) -> DataFrame:
 
 @query
 def similar_users_probed(i: Inputs) -> DataFrame:
-    """The same with popular products searched from their strongest users down."""
-    return similarity.similar_users(i.interactions, depth=40)
+    """The same with all but the rarest products searched from their strongest users down."""
+    return similarity.similar_users(i.interactions, block=20)
 
 
 @query

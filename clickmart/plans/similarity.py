@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +9,14 @@ from clickmart.functions import strength
 from clickmart.operators.materialize import materialize
 from clickmart.operators.ranking import top_n, top_n_tree
 
-# Products with more users than this are searched through their strongest users first.
-PROBE_DEPTH = 1000
-# Users of one product that a task compares with the others.
+# Users of a product that make one block: a list of one block is compared in full, longer ones as far as bounds ask.
 BLOCK_USERS = 1000
-# How much deeper the search goes for users whose result is not certain yet.
-DEEPER = 8
+# Strongest users of a longer list that give a first score to beat, for each place in the result.
+SEEDS = 4
+# What unseen users may still reach, as a share of the score to beat.
+UNSEEN = 0.75
+# Users of a list stand in levels by their share; so many levels halve it.
+LEVELS = 4
 # Bounds are floating-point sums; a score has to beat its bound by more than their error.
 MARGIN = 1 + 1e-9
 
@@ -104,7 +104,7 @@ def similar_users(
     k: int = 10,
     mode: str = "vector",
     targets: DataFrame | None = None,
-    depth: int = PROBE_DEPTH,
+    block: int = BLOCK_USERS,
 ) -> DataFrame:
     """The ``k`` most similar other users per user, exact.
 
@@ -115,10 +115,10 @@ def similar_users(
     Users with the very same vector are compared once, as one: a group of copies, however large,
     costs no more than a single user.
 
-    Users are compared through the products they share. A product with at most ``depth`` users
-    is compared in full. Above that, only the ``depth`` users for whom it weighs most are compared;
-    a user whose list could still miss somebody is searched again ``DEEPER`` times deeper, until
-    no unseen user can reach the list.
+    Users are compared through the products they share. A product with up to ``block`` users is compared in full. Of a longer
+    list, sorted by the share that the product has of a user, each user meets only as much as its own bound
+    asks for: scores found so far give the score to beat, the greatest share of each part of a list says what its
+    users can add to a score, and parts that together cannot reach it are never joined.
     """
     raw = materialize(user_vectors(interactions))
     members = _members(raw, mode)
@@ -127,19 +127,17 @@ def similar_users(
     asked = members
     if targets is not None:
         asked = members.join(targets.select("user_id").distinct(), "user_id", "left_semi")
-    asked_vectors = vectors
-    if targets is not None:
-        asked_vectors = _of(vectors, asked.select(F.col("alike").alias("uid")).distinct())
+    wanted = None if targets is None else materialize(asked.select(F.col("alike").alias("uid")).distinct())
     sizes = vectors.groupBy("product_id").agg(F.count("*").alias("users"))
-    if sizes.where(F.col("users") > depth).isEmpty():
-        dots = _mirrored_dots(vectors) if targets is None else _dots(asked_vectors, vectors)
-        found = _best(dots, k)
+    long_lists = sizes.where(F.col("users") > max(block, SEEDS * (k + 1)))
+    if long_lists.isEmpty():
+        found = _best(_full_lists(vectors, wanted), k)
     else:
-        wanted = asked.select(F.col("alike").alias("uid")).distinct()
+        long_lists = materialize(long_lists)
+        short = vectors.join(long_lists, "product_id", "left_anti")
         # How far the length of a vector can exceed its norm; 1 for a true cosine.
         longest = members.agg(F.sqrt(F.max(F.col("own") / F.col("norm")))).first()[0]
-        everybody = targets is None
-        found = _search(vectors, materialize(sizes), wanted, everybody, longest, k, depth)
+        found = _bounded(vectors, materialize(_full_lists(short, wanted)), long_lists, wanted, longest, k)
     return _lists(found, asked, members, k)
 
 
@@ -196,21 +194,28 @@ def _others(vectors: DataFrame) -> DataFrame:
 
 
 def _meet(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Users on the left with those on the right who share a product.
+    """Users on the left with those on the right who share a product, for lists of bounded length.
 
-    The users on the left of a product are dealt into blocks, and each block meets all users on the
-    right, so no task has a popular product to itself. The number of tasks is given: the join
-    multiplies its input, so partitions merged by input size would be far too few.
+    The number of tasks is given: the join multiplies its input, so partitions merged by input
+    size would be far too few.
     """
-    blocks = left.groupBy("product_id").agg(
-        F.ceil(F.count("*") / F.lit(BLOCK_USERS)).cast("int").alias("blocks")
-    )
+    spread = left.repartition(_tasks(left.sparkSession), "product_id")
+    return spread.join(_others(right), "product_id")
+
+
+def _meet_in_blocks(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Users on the left with those on the right who agree in ``keys``, for lists of any length.
+
+    The users on the left of a key are dealt into blocks, and each block meets all users on the
+    right, so no task has a popular product to itself.
+    """
+    blocks = left.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(BLOCK_USERS)).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
-    spread = left.join(blocks, "product_id").withColumn("block", block).drop("blocks")
-    spread = spread.repartition(_tasks(left.sparkSession), "product_id", "block")
+    spread = left.join(blocks, keys).withColumn("block", block).drop("blocks")
+    spread = spread.repartition(_tasks(left.sparkSession), *keys, "block")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    copies = _others(right).join(blocks, "product_id").withColumn("block", every).drop("blocks")
-    return spread.join(copies, ["product_id", "block"]).drop("block")
+    copies = right.join(blocks, keys).withColumn("block", every).drop("blocks")
+    return spread.join(copies, [*keys, "block"]).drop("block")
 
 
 def _sum_dots(met: DataFrame) -> DataFrame:
@@ -221,9 +226,11 @@ def _sum_dots(met: DataFrame) -> DataFrame:
     )
 
 
-def _dots(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Dot products of every user on the left with everybody else on the right."""
-    return _sum_dots(_meet(left, right).where("uid <> other"))
+def _full_lists(vectors: DataFrame, wanted: DataFrame | None) -> DataFrame:
+    """Dot products of the wanted users, or of everybody, with all others."""
+    if wanted is None:
+        return _mirrored_dots(vectors)
+    return _sum_dots(_meet(_of(vectors, wanted), vectors).where("uid <> other"))
 
 
 def _mirrored_dots(vectors: DataFrame) -> DataFrame:
@@ -258,57 +265,6 @@ def _best(dots: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _search(
-    vectors: DataFrame,
-    sizes: DataFrame,
-    open_users: DataFrame,
-    everybody: bool,
-    longest: float,
-    k: int,
-    depth: int,
-) -> DataFrame:
-    """Best users when some products are too crowded to compare everybody on them."""
-    depth = max(depth, k + 1)
-    above = 0
-    dots: DataFrame | None = None
-    settled: list[DataFrame] = []
-    while True:
-        # Products that fit the depth by now are compared in full and add to the dot products.
-        fitting = sizes.where((F.col("users") > above) & (F.col("users") <= depth))
-        full = vectors.join(fitting, "product_id", "left_semi")
-        added = _mirrored_dots(full) if everybody and above == 0 else _dots(
-            _of(full, open_users), full
-        )
-        if dots is not None:
-            added = _merge_dots(_of(dots, open_users).unionByName(added))
-        dots = materialize(added)
-
-        crowded = sizes.where(F.col("users") > depth)
-        if crowded.isEmpty():
-            settled.append(_best(dots, k))
-            return reduce(DataFrame.unionByName, settled)
-
-        found, bounds = _probe(vectors, crowded, dots, open_users, longest, k, depth)
-        last = found.groupBy("uid").agg(
-            F.count("*").alias("listed"), F.min("strength").alias("weakest")
-        )
-        # Certain: one list was cut, and then its order is the order of everybody left; or the
-        # weakest listed user beats whatever the unseen can reach. Users without a crowded product
-        # have no bound and are certain anyway.
-        certain = (F.col("listed") == k) & (
-            (F.col("cut") == 1) | (F.sqrt("weakest") > F.col("reach") * MARGIN)
-        )
-        open_users = materialize(
-            bounds.join(last, "uid", "left")
-            .where(~F.coalesce(certain, F.lit(False)))
-            .select("uid")
-        )
-        settled.append(found.join(open_users, "uid", "left_anti"))
-        if open_users.isEmpty():
-            return reduce(DataFrame.unionByName, settled)
-        above, depth = depth, depth * DEEPER
-
-
 def _merge_dots(dots: DataFrame) -> DataFrame:
     return dots.groupBy(*_PAIR).agg(
         F.sum("dot").alias("dot"),
@@ -317,75 +273,106 @@ def _merge_dots(dots: DataFrame) -> DataFrame:
     )
 
 
-def _probe(
-    vectors: DataFrame,
-    crowded: DataFrame,
-    dots: DataFrame,
-    open_users: DataFrame,
-    longest: float,
-    k: int,
-    depth: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Best users among those seen at this depth, and what an unseen user could still reach.
+def _to_beat(found: DataFrame, k: int) -> DataFrame:
+    """The score that the last of ``k`` users has so far, 0 where fewer are listed."""
+    full = F.count("*") == k
+    return found.groupBy("uid").agg(F.when(full, F.sqrt(F.min("strength"))).otherwise(F.lit(0.0)).alias("beat"))
+
 
-    ``dots`` is complete for all products but the crowded ones.
+def _bounded(
+    vectors: DataFrame, dots: DataFrame, long_lists: DataFrame, wanted: DataFrame | None, longest: float, k: int
+) -> DataFrame:
+    """Best users where some lists are too long to compare everybody on them.
+
+    ``dots`` is complete for all other products. Scores here are what ``_best`` ranks by, before squaring. A user
+    meets the part of each long list whose shares are above a ``limit``, which is set so that nobody outside all those parts
+    can reach the score to beat. Whoever is met, and could reach it with all that was not met, is scored in full.
     """
-    crowd = vectors.join(crowded, "product_id").withColumn(
-        "share", F.col("weight").cast("double") * F.col("weight") / F.col("norm")
-    )
-    mine = _of(crowd, open_users)
-    # The users of a product are handled in parts, so that however many users share it, a task
-    # sees about ``depth`` of them.
-    parts = F.ceil(F.col("users") / depth).cast("int")
-    # At most ``depth`` users per product, strongest first.
+    share = F.col("weight") / F.sqrt(F.col("norm"))
+    lists = vectors.join(long_lists, "product_id").withColumn("share", share)
+    lists = materialize(lists.withColumn("level", F.floor(-LEVELS * F.log2("share")).cast("int")))
+    heads = lists.groupBy("product_id").agg(F.max("share").alias("most"), F.min("level").alias("top"))
+    mine = lists.select("uid", "product_id", "weight", "norm")
+    if wanted is not None:
+        mine = _of(mine, wanted)
+    mine = materialize(mine.join(heads, "product_id"))
+
+    def reach(limit: str) -> tuple[Column, ...]:
+        """What somebody can add whose shares are all within the limits, or whose vector is no longer than any."""
+        by_limit = F.sum(F.col("weight") * F.col(limit))
+        by_length = F.sqrt(F.sum(F.col("weight") * F.col("weight"))) * longest
+        return F.least(by_limit, by_length).alias("reach"), by_limit.alias("by_limit"), F.count("*").alias("lists")
+
+    # Who finds enough on the short lists alone needs nothing from the long ones but full scores.
+    first = _best(dots, k)
+    bounds = mine.groupBy("uid").agg(*reach("most")).join(_to_beat(first, k), "uid", "left").na.fill(0.0, ["beat"])
+    bounds = materialize(bounds)
+    enough = materialize(bounds.where(F.col("beat") > F.col("reach") * MARGIN).select("uid", "beat", "reach"))
+    rest = bounds.join(enough, "uid", "left_anti").select("uid")
+
+    # The others meet the strongest users of each of their long lists.
+    n = SEEDS * (k + 1)
+    parts = F.ceil(F.col("users") / BLOCK_USERS).cast("int")
     order = [F.desc("share"), F.asc("uid")]
-    strongest = materialize(
-        top_n_tree(crowd, "product_id", "uid", parts, order, depth, "place")
-    )
-    # Nobody further down a list weighs more on its product than the last one on it.
-    tails = strongest.where(F.col("place") == depth).select(
-        "product_id", F.sqrt("share").alias("tail")
-    )
-    # What an unseen user can add through the cut lists: no more than the tails allow, and no more
-    # than somebody with exactly this user's taste for those products.
-    weight = F.col("weight").cast("double")
-    reach = F.least(F.sum(weight * F.col("tail")), F.sqrt(F.sum(weight * weight)) * longest)
-    bounds = (
-        mine.join(tails, "product_id")
-        .groupBy("uid")
-        .agg(reach.alias("reach"), F.count("*").alias("cut"))
-    )
-    # Every part of a product meets its own copy of the product's list.
-    copies = strongest.select(
-        "product_id",
+    seeds = materialize(top_n_tree(lists, "product_id", "uid", parts, order, n, "place").drop("users", "level"))
+    ends = seeds.where(F.col("place") == n).select("product_id", F.col("share").alias("limit"), F.col("uid").alias("upto"))
+    seeking = materialize(_of(mine, rest).join(ends, "product_id"))
+    strongest = _others(seeds.drop("place", "share"))
+    met = _meet_in_blocks(seeking.select("uid", "product_id", "weight", "norm"), strongest, ["product_id"])
+    seeded = materialize(_merge_dots(_of(dots, rest).unionByName(_single(met))))
+    second = _best(seeded, k)
+    bounds = seeking.groupBy("uid").agg(*reach("limit")).join(_to_beat(second, k), "uid")
+    bounds = materialize(bounds)
+    # One list alone is in the right order already: nobody further down can displace what was seen.
+    settled = bounds.where((F.col("lists") == 1) | (F.col("beat") > F.col("reach") * MARGIN))
+    settled = materialize(settled.select("uid", "beat", "reach"))
+
+    # For who is left the limits are lowered until nobody unmet can reach the score to beat.
+    deep = bounds.join(settled, "uid", "left_anti").withColumn("lowered", F.lit(UNSEEN) * F.col("beat") / F.col("by_limit"))
+    deep = materialize(deep.select("uid", "lowered", (F.lit(UNSEEN) * F.col("beat")).alias("reach")))
+    deeper = seeking.join(deep.select("uid", "lowered"), "uid").withColumn("limit", F.col("limit") * F.col("lowered"))
+    deeper = deeper.withColumn("upto", F.lit(-1).cast("long")).drop("lowered")
+    last = F.floor(-LEVELS * F.log2("limit")).cast("int")
+    asked = deeper.withColumn("level", F.explode(F.sequence(F.col("top"), F.greatest(last, F.col("top")))))
+    asked = asked.select("uid", "product_id", "weight", "norm", "limit", "level")
+    down = lists.select(
         F.col("uid").alias("other"),
+        "product_id",
+        "level",
+        F.col("weight").alias("other_weight"),
         F.col("norm").alias("other_norm"),
-        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+        F.col("share").alias("other_share"),
     )
-    seen = (
-        mine.select(
-            "uid",
-            "product_id",
-            "norm",
-            F.pmod(F.xxhash64("uid"), parts).cast("int").alias("part"),
-        )
-        .repartition(_tasks(vectors.sparkSession), "product_id", "part")
-        .join(copies, ["product_id", "part"])
-        .where("uid <> other")
-        .select(*_PAIR, F.lit(0).cast("long").alias("dot"), "norm", "other_norm")
+    met = _meet_in_blocks(asked, down, ["product_id", "level"]).where(F.col("other_share") > F.col("limit"))
+    found = materialize(_merge_dots(_of(dots, deep).unionByName(_single(met))))
+    third = deep.join(_to_beat(_best(found, k), k), "uid").select("uid", "beat", "reach")
+
+    # Full scores of all who could reach the score to beat, with what they have on lists where they were not met.
+    nowhere = [F.lit(float("inf")).alias("limit"), F.lit(-1).cast("long").alias("upto")]
+    columns = ["uid", "product_id", "weight", "limit", "upto"]
+    limits = (
+        _of(mine, enough).select("uid", "product_id", "weight", *nowhere)
+        .unionByName(_of(seeking, settled).select(*columns))
+        .unionByName(deeper.select(*columns))
     )
-    candidates = materialize(_merge_dots(_of(dots, open_users).unionByName(seen)))
-    extra = (
-        candidates.join(mine.select("uid", "product_id", "weight"), "uid")
-        .join(_others(crowd).drop("other_norm"), ["other", "product_id"])
-        .select(
-            *_PAIR,
-            (F.col("weight") * F.col("other_weight")).alias("dot"),
-            "norm",
-            "other_norm",
-        )
+    state = enough.unionByName(settled).unionByName(third)
+    scored = _of(dots, enough).unionByName(_of(seeded, settled)).unionByName(found)
+    score = F.col("dot") / F.sqrt(F.col("other_norm"))
+    candidates = materialize(
+        scored.join(state, "uid").where((score + F.col("reach")) * MARGIN >= F.col("beat")).drop("beat", "reach")
+    )
+    unmet = (F.col("other_share") < F.col("limit")) | ((F.col("other_share") == F.col("limit")) & (F.col("other") > F.col("upto")))
+    added = candidates.drop("dot", "other_norm").join(limits, "uid").join(down.drop("level"), ["other", "product_id"]).where(unmet)
+    scores = _merge_dots(candidates.unionByName(_single(added)))
+    short_only = first.join(mine.select("uid").distinct(), "uid", "left_anti")
+    return short_only.unionByName(_best(scores, k))
+
+
+def _single(met: DataFrame) -> DataFrame:
+    """Pairs that met, with what they have in common there."""
+    return met.where("uid <> other").select(
+        *_PAIR, (F.col("weight") * F.col("other_weight")).alias("dot"), "norm", "other_norm"
     )
-    return materialize(_best(_merge_dots(candidates.unionByName(extra)), k)), bounds
 
 
 def _lists(found: DataFrame, asked: DataFrame, members: DataFrame, k: int) -> DataFrame:

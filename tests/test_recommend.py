@@ -61,17 +61,18 @@ def compare(df, expected):
         assert a[2] == pytest.approx(e[2], abs=1e-4)
 
 
-@pytest.mark.parametrize("depth", [1000, 12, 3])
+@pytest.mark.parametrize("block", [1000, 12, 3])
 @pytest.mark.parametrize("mode", ["vector", "rows"])
-def test_similar_users_equal_brute_force(spark, depth, mode):
+def test_similar_users_equal_brute_force(spark, block, mode, monkeypatch):
+    monkeypatch.setattr(similarity, "SEEDS", 1)
     data = skewed(3)
-    found = similarity.similar_users(visits(spark, *data), 5, mode, depth=depth)
+    found = similarity.similar_users(visits(spark, *data), 5, mode, block=block)
     compare(found, brute_similar(data, 5, mode))
 
 
-@pytest.mark.parametrize("depth", [1000, 4])
+@pytest.mark.parametrize("block", [1000, 4])
 @pytest.mark.parametrize("mode", ["vector", "rows"])
-def test_copies_count_as_one(spark, depth, mode, monkeypatch):
+def test_copies_count_as_one(spark, block, mode, monkeypatch):
     draw = random.Random(11)
     data = [(f"u{draw.randrange(25):02d}", f"p{draw.randrange(9)}", "view", 1) for _ in range(120)]
     # A third of all users with the same two products, some of them twice as keen.
@@ -80,24 +81,54 @@ def test_copies_count_as_one(spark, depth, mode, monkeypatch):
             1 + (i % 5 == 0)
         )
     rounds = []
-    probe = similarity._probe
+    bounded = similarity._bounded
+    monkeypatch.setattr(similarity, "SEEDS", 1)
     monkeypatch.setattr(
-        similarity, "_probe", lambda *args: rounds.append(args[-1]) or probe(*args)
+        similarity, "_bounded", lambda *args: rounds.append(args[-1]) or bounded(*args)
     )
-    found = similarity.similar_users(visits(spark, *data), 6, mode, depth=depth)
+    found = similarity.similar_users(visits(spark, *data), 6, mode, block=block)
     compare(found, brute_similar(data, 6, mode))
-    assert (len(rounds) > 0) == (depth == 4)
+    assert (len(rounds) > 0) == (block == 4)
 
 
-@pytest.mark.parametrize("depth", [1000, 4])
-def test_similar_users_of_targets(spark, depth):
+@pytest.mark.parametrize("block", [1000, 4])
+def test_similar_users_of_targets(spark, block, monkeypatch):
+    monkeypatch.setattr(similarity, "SEEDS", 1)
     data = skewed(5, users=30, n=200)
     targets = spark.createDataFrame([("u03",), ("solo07",), ("nobody",)], "user_id string")
-    found = similarity.similar_users(visits(spark, *data), 4, targets=targets, depth=depth)
+    found = similarity.similar_users(visits(spark, *data), 4, targets=targets, block=block)
     expected = [r for r in brute_similar(data, 4) if r[0] in ("u03", "solo07")]
     compare(found, expected)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_bounds_lose_nobody(spark, seed, monkeypatch):
+    """Several long lists a user, tastes of many strengths, some users with nothing but long lists."""
+    monkeypatch.setattr(similarity, "SEEDS", 1)
+    draw = random.Random(seed)
+    data = []
+    for user in range(70):
+        for product in draw.sample(range(6), draw.randint(1, 4)):
+            data += [(f"u{user:02d}", f"hot{product}", "purchase", 3)] * draw.choice([1, 1, 2, 5, 9])
+        for product in draw.sample(range(40), draw.choice([0, 2, 5])):
+            data += [(f"u{user:02d}", f"p{product:02d}", "cart", 2)] * draw.choice([1, 3])
+    found = similarity.similar_users(visits(spark, *data), 3, block=4)
+    compare(found, brute_similar(data, 3))
+
+
+def test_a_crowded_product_does_not_make_all_pairs(spark, monkeypatch):
+    users = 20_000
+    made = []
+    single, sums = similarity._single, similarity._sum_dots
+    monkeypatch.setattr(similarity, "_single", lambda met: made.append(met) or single(met))
+    monkeypatch.setattr(similarity, "_sum_dots", lambda met: made.append(met) or sums(met))
+    everybody = spark.range(users).selectExpr("concat('u', id) AS user_id", "explode(array('hot', concat('a', id % 4000), concat('b', id * 7919 % 4001))) AS product_id", "id")
+    data = everybody.selectExpr("user_id", "product_id", "'view' AS interaction_type", "1 + int(product_id = 'hot' AND id % 3 = 0) AS interaction_strength", "timestamp'2024-01-01' AS interaction_time")
+    found = similarity.similar_users(data, 5)
+    assert found.count() == 5 * users
+    assert sum(met.count() for met in made) < users * users / 100
+
+
 def test_strangers_fill_the_list(spark):
     data = [("a", "p", "view", 1), ("b", "q", "view", 1), ("c", "p", "view", 1)]
     found = similarity.similar_users(visits(spark, *data), 5)
