@@ -389,7 +389,32 @@ PRODUCT_COLUMNS = "product_id, brand, category_code, popularity_score, avg_ratin
 RECS = "ev prof cat_lists cat_recs"
 
 
+# Built tables whose rows are those of a query with a twin of its own.
+SIZED_BY = {
+    "category_performance": "category_performance",
+    "daily_performance": "daily_performance",
+    "brand_performance": "brand_performance",
+    "user_journey": "user_journey",
+    "product_affinity": "product_affinity",
+    "product_catalog": "product_catalog",
+    "user_activity_segments": "user_segments_activity",
+    "segment_export": "segment_export",
+    "category_recommendations": "category_recs_scored",
+    "flat_recommendations": "flat_recommendations",
+    "product_analytics": "product_analytics",
+    "brand_analytics": "brand_analytics",
+    "category_analytics": "category_analytics",
+}
+
+
 def oracle() -> dict[str, str]:
+    texts = _texts()
+    for table, name in SIZED_BY.items():
+        texts["warehouse_build"] += f"\nUNION ALL SELECT '{table}', (SELECT count(*) FROM ({texts[name]}))"
+    return texts
+
+
+def _texts() -> dict[str, str]:
     return {
         "ingest_roundtrip": WHOLE_LAKE,
         "stream_ingest": WHOLE_LAKE,
@@ -573,6 +598,25 @@ def oracle() -> dict[str, str]:
             "ORDER BY total_spend DESC NULLS LAST, user_id LIMIT 10)",
             neighbors="10",
         ),
+        "sql_similar_users": sql(
+            "ev inter vec norm dots near",
+            'SELECT v AS similar_user_id, score AS similarity_score, rn AS "rank" FROM near WHERE u = \'7\'',
+        ),
+        "sql_user_similarity": sql(
+            "ev inter vec norm dots",
+            """SELECT '7' AS user_1, '9' AS user_2, coalesce((SELECT CAST(round(d.dot / sqrt(CAST(a.n AS DOUBLE) * b.n), 4) AS DOUBLE)
+                   FROM (SELECT sum(x.w * y.w) AS dot FROM vec x JOIN vec y USING (product_id)
+                         WHERE x.user_id = '7' AND y.user_id = '9') d,
+                        (SELECT sum(w * w) AS n FROM vec WHERE user_id = '7') a,
+                        (SELECT sum(w * w) AS n FROM vec WHERE user_id = '9') b), 0.0) AS similarity_score""",
+        ),
+        "stored_views": sql(
+            "ev behavior popular",
+            """SELECT 'VW_PRODUCT_POPULARITY' AS view_name, count(*) AS row_count, CAST(sum(purchase_count) AS BIGINT) AS total FROM popular
+               UNION ALL SELECT 'VW_USER_BEHAVIOR', count(*), CAST(sum(total_events) AS BIGINT) FROM behavior
+               UNION ALL SELECT 'VW_USER_JOURNEY', count(*), CAST(sum(n) AS BIGINT) FROM (
+                   SELECT count(*) AS n FROM ev WHERE user_id IS NOT NULL GROUP BY user_id, event_type)""",
+        ),
         "warehouse_build": sql(
             "ev prof inter features part_features sold content vec norm dots near collab",
             f"""SELECT 'combined_events' AS table_name, count(*) AS row_count FROM ev

@@ -21,6 +21,7 @@ from clickmart.operators import (
 )
 from clickmart.operators.materialize import checkpoint_root
 from clickmart.plans import (
+    catalog,
     category_recs,
     daily_store,
     marts,
@@ -37,6 +38,7 @@ from clickmart.sinks import (
     recency_items,
     recommendation_items,
     segment_items,
+    write_version,
 )
 from clickmart.sources import (
     decode_events,
@@ -489,34 +491,51 @@ def collaborative_for_best_customers(i: Inputs) -> DataFrame:
     return recommend.collaborative(i.interactions, neighbors=10, targets=best)
 
 
-# Those whose sizes the SQL twin works out as well.
-COUNTED_TABLES = [
-    "combined_events",
-    "customer_360",
-    "user_behavior",
-    "user_segments",
-    "product_popularity",
-    "daily_metrics",
-    "user_product_interactions",
-    "user_behavior_features",
-    "product_features",
-    "similar_users",
-    "content_recommendations",
-    "collaborative_recommendations",
-    "hybrid_recommendations",
-    "popularity_recommendations",
-    "recommendation_summary",
-    "recommendation_performance",
-]
+def built(i: Inputs) -> tuple[str, DataFrame]:
+    """Folder and counts of a warehouse built from a lake of all given events."""
+    lake, out = i.scratch("lake"), i.scratch("warehouse")
+    i.lake.write.partitionBy("event_type").parquet(lake)
+    ratings = star_schema.catalogue(i.spark, i.directory)
+    return out, warehouse.build_warehouse(i.spark, lake, out, AS_OF, ratings=ratings)
 
 
 @query
 def warehouse_build(i: Inputs) -> DataFrame:
-    """Row counts of all tables, built from a lake of all given events."""
-    lake, out = i.scratch("lake"), i.scratch("warehouse")
-    i.lake.drop("event_id").write.partitionBy("event_type").parquet(lake)
-    counts = warehouse.build_warehouse(i.spark, lake, out, AS_OF, ratings=star_schema.catalogue(i.spark, i.directory))
-    return counts.where(F.col("table_name").isin(COUNTED_TABLES))
+    """Row counts of all tables."""
+    return built(i)[1].select("table_name", "row_count")
+
+
+@query
+def sql_similar_users(i: Inputs) -> DataFrame:
+    """The SQL function over a stored table of similar users, for one user."""
+    out = i.scratch("warehouse")
+    write_version(similarity.similar_users(i.interactions), f"{out}/similar_users")
+    catalog.publish_functions(i.spark, out)
+    return i.spark.sql("SELECT * FROM similar_users_of('7', 10)")
+
+
+@query
+def sql_user_similarity(i: Inputs) -> DataFrame:
+    """The SQL function that compares two users, for those who bought the same product."""
+    out = i.scratch("warehouse")
+    write_version(i.interactions, f"{out}/user_product_interactions")
+    catalog.publish_functions(i.spark, out)
+    return i.spark.sql("SELECT '7' AS user_1, '9' AS user_2, user_similarity_of('7', '9') AS similarity_score")
+
+
+@query
+def stored_views(i: Inputs) -> DataFrame:
+    """Rows and sums behind the stored views that reports read."""
+    out = i.scratch("warehouse")
+    write_version(marts.product_popularity(i.events), f"{out}/product_popularity")
+    write_version(i.behavior, f"{out}/user_behavior")
+    write_version(marts.user_journey(i.events), f"{out}/user_journey")
+    catalog.publish_views(i.spark, out)
+    return i.spark.sql(
+        "SELECT 'VW_PRODUCT_POPULARITY' AS view_name, count(*) AS row_count, sum(purchase_count) AS total FROM VW_PRODUCT_POPULARITY "
+        "UNION ALL SELECT 'VW_USER_BEHAVIOR', count(*), sum(total_events) FROM VW_USER_BEHAVIOR "
+        "UNION ALL SELECT 'VW_USER_JOURNEY', count(*), sum(event_count) FROM VW_USER_JOURNEY"
+    )
 
 
 @query

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators.quality import row_counts
+from clickmart.operators.quality import check_unique
 from clickmart.operators.upsert import upsert
 from clickmart.plans import marts, profiles, recommend, similarity
 from clickmart.plans.category_recs import (
@@ -14,7 +16,7 @@ from clickmart.plans.category_recs import (
     recommend_by_category,
 )
 from clickmart.schema import EVENT_TYPES, to_canonical
-from clickmart.sinks.tables import write_version
+from clickmart.sinks.tables import read_version, write_version
 from clickmart.sources.files import read_lake
 from clickmart.sources.tables import migrate_events
 
@@ -56,19 +58,25 @@ def build_warehouse(
     neighbors: int = 20,
     ratings: DataFrame | None = None,
 ) -> DataFrame:
-    """Build every table from the lake in dependency order and return their row counts.
+    """Build every table from the lake in dependency order; table_name, row_count and null_counts of each.
+
+    ``null_counts`` has the number of NULLs of every column. Both are counted while a table is written, without reading
+    it again.
 
     Events hold no ratings: give ``ratings`` (``product_id``, ``avg_rating``), or the ratings and the content
     scores made of them stay NULL.
     Each table is written once, as a new version beside the old ones, and its dependants read the
     written files. Readers keep the version that they have; ``read_version`` finds the newest.
     """
-    written: dict[str, DataFrame] = {}
+    counted: list[tuple[str, int, dict[str, int]]] = []
 
     def save(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
-        version = write_version(df, f"{out}/{name}", partition)
-        written[name] = spark.read.schema(df.schema).parquet(f"{out}/{name}/version={version}")
-        return written[name]
+        seen = Observation()
+        nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        observed = df.observe(seen, F.count(F.lit(1)).alias("row_count"), F.struct(*nulls).alias("nulls"))
+        version = write_version(observed, f"{out}/{name}", partition)
+        counted.append((name, seen.get["row_count"], seen.get["nulls"].asDict()))
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}/version={version}")
 
     everything = read_lake(spark, lake)
     parts = [migrate_events(to_canonical(df)) for df in staging(everything).values()]
@@ -79,6 +87,7 @@ def build_warehouse(
     behavior = save("user_behavior", marts.user_behavior(events))
     save("product_popularity", marts.product_popularity(events))
     save("category_performance", marts.category_performance(events))
+    save("daily_performance", marts.daily_performance(events))
     save("daily_metrics", marts.daily_metrics(events))
     save("brand_performance", marts.brand_performance(events))
     save("user_journey", marts.user_journey(events))
@@ -131,4 +140,51 @@ def build_warehouse(
     outcomes = recommend.mark_outcomes(flat, events)
     save("recommendation_summary", recommend.recommendation_summary(features, outcomes))
     save("recommendation_performance", recommend.recommendation_performance(rated, outcomes))
-    return row_counts(written)
+    return spark.createDataFrame(counted, "table_name string, row_count long, null_counts map<string,long>")
+
+
+# Columns that identify a row of a table; without NULLs where a table says nothing else.
+KEYS = {
+    "customer_360": ["user_id"],
+    "user_behavior": ["user_id"],
+    "product_popularity": ["product_id", "category_code"],
+    "category_performance": ["category_code"],
+    "daily_performance": ["event_date"],
+    "daily_metrics": ["metric_date"],
+    "brand_performance": ["brand"],
+    "user_journey": ["user_id", "event_type"],
+    "product_affinity": ["product_1", "product_2"],
+    "user_segments": ["user_id"],
+    "product_analytics": ["product_id"],
+    "brand_analytics": ["brand"],
+    "category_analytics": ["category_code"],
+    "user_product_interactions": ["user_id", "product_id", "interaction_type", "interaction_time"],
+    "user_behavior_features": ["user_id"],
+    "product_features": ["product_id"],
+    "similar_users": ["user_id", "similar_user_id"],
+    "content_recommendations": ["user_id", "product_id"],
+    "collaborative_recommendations": ["user_id", "product_id"],
+    "hybrid_recommendations": ["user_id", "product_id"],
+    "popularity_recommendations": ["user_id", "product_id"],
+    "recommendation_summary": ["user_id"],
+    "recommendation_performance": ["product_id"],
+}
+
+
+def check_warehouse(spark: SparkSession, out: str, built: DataFrame) -> DataFrame:
+    """One row for each table of ``KEYS``: whether it has rows, NULLs in its key, and keys that it holds twice.
+
+    ``built`` is what ``build_warehouse`` returned, which answers the first two; only the keys are read.
+    """
+    nothing = F.lit(0).cast("long")
+    repeated = [
+        check_unique(read_version(spark, f"{out}/{name}").select(*keys), keys)
+        .agg(F.count("*").alias("repeated_keys"))
+        .select(F.lit(name).alias("table_name"), "repeated_keys")
+        for name, keys in KEYS.items()
+    ]
+    of_key = F.create_map(*[x for name, keys in KEYS.items() for x in (F.lit(name), F.array(*map(F.lit, keys)))])
+    nulls = F.aggregate(of_key[F.col("table_name")], nothing, lambda n, c: n + F.col("null_counts")[c])
+    return reduce(DataFrame.unionByName, repeated).join(built, "table_name").select(
+        "table_name", (F.col("row_count") > 0).alias("has_rows"), nulls.alias("null_keys"), "repeated_keys"
+    )
