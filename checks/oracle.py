@@ -715,7 +715,18 @@ def _texts() -> dict[str, str]:
                    coalesce(days_since_last_purchase, 0) AS days_since_last_purchase,
                    {STAMP} AS updated_at FROM seg_export""",
         ),
+        "judged_messages": sql(
+            "ev",
+            """SELECT CASE WHEN event_id % 50 = 0 THEN 'not valid JSON' WHEN event_id % 50 = 1 THEN 'no user' ELSE 'accepted' END
+                   AS outcome, count(*) AS messages FROM lake GROUP BY 1""",
+        ),
+        "rejected_stream": sql(
+            "ev",
+            """SELECT CASE WHEN event_id % 50 = 0 THEN 'not valid JSON' WHEN event_id % 50 = 1 THEN 'no user' ELSE 'accepted' END
+                   AS outcome, count(*) AS messages FROM lake GROUP BY 1""",
+        ),
         "upsert_rows": behavior_upsert(),
+        "bucketed_upsert": behavior_upsert(),
         "upsert_update_cols": behavior_update(),
         "insert_ignored": sql(
             "ev inter",

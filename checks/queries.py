@@ -35,14 +35,18 @@ from clickmart.schema import DAILY_METRICS_SCHEMA, EVENT_TYPES, WIRE_SCHEMA, con
 from clickmart.sinks import (
     flat_items,
     publish_events,
+    read_buckets,
     recency_items,
     recommendation_items,
     segment_items,
+    upsert_buckets,
+    write_buckets,
     write_version,
 )
 from clickmart.sources import (
     decode_events,
     encode_events,
+    judge_messages,
     migrate_events,
     migrate_profiles,
     read_event_stream,
@@ -51,7 +55,13 @@ from clickmart.sources import (
     star_schema,
     valid_events,
 )
-from clickmart.streaming import compact_features, read_features, start_feature_refresh, start_ingest
+from clickmart.streaming import (
+    compact_features,
+    read_features,
+    start_feature_refresh,
+    start_ingest,
+    start_rejects,
+)
 
 AS_OF = "2024-02-01"
 REFRESH_DAY = "2024-01-15"
@@ -205,6 +215,36 @@ def stream_ingest(i: Inputs) -> DataFrame:
     return read_lake(i.spark, lake).select(*EVENT_COLUMNS)
 
 
+def messages(i: Inputs) -> DataFrame:
+    """All events as messages, of which some are cut short and some have lost their user."""
+    cut = encode_events(i.lake.where("event_id % 50 = 0")).select(F.expr("left(value, 40)").alias("value"))
+    lost = encode_events(i.lake.where("event_id % 50 = 1").withColumn("user_id", F.lit(None).cast("string")))
+    return encode_events(i.lake.where("event_id % 50 > 1")).unionByName(cut).unionByName(lost)
+
+
+def by_reason(judged: DataFrame) -> DataFrame:
+    reason = F.coalesce("reason", F.lit("accepted")).alias("outcome")
+    return judged.groupBy(reason).agg(F.count("*").alias("messages"))
+
+
+@query
+def judged_messages(i: Inputs) -> DataFrame:
+    """Messages by what becomes of them."""
+    return by_reason(judge_messages(messages(i)))
+
+
+@query
+def rejected_stream(i: Inputs) -> DataFrame:
+    """The same from the lake and the place of rejected messages, after both queries have run."""
+    wire, lake, kept = (i.scratch(n) for n in ("wire", "lake", "rejected"))
+    messages(i).write.text(wire)
+    stream = read_event_stream(i.spark, path=wire)
+    start_ingest(stream, lake, i.scratch("ingest"), None).awaitTermination()
+    start_rejects(stream, kept, i.scratch("rejects"), None).awaitTermination()
+    taken = read_lake(i.spark, lake).select(F.lit(None).cast("string").alias("reason"))
+    return by_reason(taken.unionByName(i.spark.read.schema("reason string").json(kept)))
+
+
 @query
 def csv_dumps(i: Inputs) -> DataFrame:
     """Events written as dumps whose columns stand in different orders, and read back by header."""
@@ -659,6 +699,15 @@ def upsert_update_cols(i: Inputs) -> DataFrame:
     return upsert(before, i.behavior, ["user_id"], ["total_spend", "last_seen"])
 
 
+@query
+def bucketed_upsert(i: Inputs) -> DataFrame:
+    """The same as ``upsert_rows`` in a table that rewrites only the buckets it touches."""
+    root = i.scratch("buckets")
+    write_buckets(marts.user_behavior(i.events.where(F.col("event_time") < REFRESH_DAY)), root, ["user_id"], 64)
+    upsert_buckets(i.behavior.where("purchase_count > 10"), root, i.behavior.schema)
+    return read_buckets(i.spark, root, i.behavior.schema)
+
+
 @query
 def insert_ignored(i: Inputs) -> DataFrame:
     early = i.interactions.where(F.col("interaction_time") < REFRESH_DAY)

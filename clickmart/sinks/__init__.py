@@ -1,3 +1,4 @@
+from clickmart.sinks.buckets import read_buckets, upsert_buckets, write_buckets
 from clickmart.sinks.items import (
     flat_items,
     put_items,
@@ -31,6 +32,7 @@ __all__ = [
     "publish_events",
     "publish_options",
     "put_items",
+    "read_buckets",
     "read_version",
     "recency_items",
     "recommendation_items",
@@ -38,7 +40,9 @@ __all__ = [
     "replace_view",
     "segment_items",
     "serving_options",
+    "upsert_buckets",
     "write_bucketed",
+    "write_buckets",
     "write_csv",
     "write_items_json",
     "write_serving_table",

@@ -63,8 +63,10 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return newest
 
 
-def write_version(df: DataFrame, root: str, partition: str | None = None) -> int:
-    """Write ``df`` as the next version.
+def write_version(
+    df: DataFrame, root: str, partition: str | None = None, after: int | None = None
+) -> int:
+    """Write ``df`` as the next version, or as the one ``after`` a given version and no other.
 
     ``df`` may read the current one: readers keep it until the new version is complete. It is written to a
     folder of its own and gets its number when it is done, by a rename that fails where that number is
@@ -78,7 +80,7 @@ def write_version(df: DataFrame, root: str, partition: str | None = None) -> int
     writer.parquet(written.toString())
     context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     never = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-    version = latest_version(spark, root) + 1
+    version = (latest_version(spark, root) if after is None else after) + 1
     while True:
         target = hadoop.Path(path, f"version={version}")
         try:
@@ -87,6 +89,8 @@ def write_version(df: DataFrame, root: str, partition: str | None = None) -> int
         except Py4JJavaError as error:
             if "FileAlreadyExists" not in error.java_exception.getClass().getName():
                 raise
+            if after is not None:
+                raise ValueError(f"version {version} of {root} was written meanwhile") from error
             version += 1
 
 

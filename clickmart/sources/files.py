@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,42 +16,36 @@ from clickmart.sources.codec import blanks_to_null
 
 
 def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files behind ``paths`` by their header row; the driver reads the first line of each."""
-    hadoop = spark._jvm.org.apache.hadoop
-    conf = spark._jsc.hadoopConfiguration()
-    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    """The files behind ``paths`` by their header row, which tasks find: the first line of the part that begins a file."""
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.where(F.col("at") == 0).groupBy("file").agg(F.min_by("value", "place").alias("line"))
     found: dict[tuple[str, ...], list[str]] = {}
-    files = spark.read.format("binaryFile").load(paths).select("path").toLocalIterator()
-    for name in sorted(row["path"] for row in files):
-        path = hadoop.fs.Path(name)
-        stream = path.getFileSystem(conf).open(path)
-        codec = codecs.getCodec(path)
-        stream = codec.createInputStream(stream) if codec else stream
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        if line:
-            header = next(csv.reader([line.removeprefix("\ufeff")]))
-            found.setdefault(tuple(c.strip() for c in header), []).append(name)
+    for row in first.orderBy("file").toLocalIterator():
+        if row["line"]:
+            header = next(csv.reader([row["line"].removeprefix("\ufeff")]))
+            found.setdefault(tuple(c.strip() for c in header), []).append(unquote(row["file"]))
     return found
 
 
 def read_events_csv(
-    spark: SparkSession, path: str | list[str], keep_empty: bool = False
+    spark: SparkSession, path: str | list[str], keep_empty: bool = False, multi_line: bool = False
 ) -> DataFrame:
     """Event dumps with a header row, every value as text, columns matched by the header of their file.
 
-    Files may have their columns in any order, lack some or have others besides. Fields are not
-    allowed to span lines, so one large file still splits into many tasks.
+    Files may have their columns in any order, lack some or have others besides. Quoted fields may span lines with
+    ``multi_line``; a file is then read by one task. Without it one large file splits into many tasks.
     """
     frames = []
     for header, files in _headers(spark, [path] if isinstance(path, str) else path).items():
         names = [c if header.index(c) == i else f"{c}_{i}" for i, c in enumerate(header)]
         schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
         reader = spark.read.schema(schema).option("header", True).option("escape", '"')
-        frames.append(conform(reader.csv(files), WIRE_SCHEMA))
+        frames.append(conform(reader.option("multiLine", multi_line).csv(files), WIRE_SCHEMA))
     wire = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], WIRE_SCHEMA)
     return wire.fillna("") if keep_empty else blanks_to_null(wire)
 

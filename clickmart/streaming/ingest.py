@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from clickmart.sources.codec import decode_events, valid_events
+from clickmart.sources.codec import accepted_events, judge_messages, rejected_messages
 
 
 def start_ingest(
@@ -18,18 +19,33 @@ def start_ingest(
     """Decode, type and validate messages and append them to the lake, partitioned by event type.
 
     The checkpoint and the file sink's own log make every message land exactly once, across
-    restarts too. ``trigger=None`` takes what is there and stops.
+    restarts too. ``trigger=None`` takes what is there and stops. How many messages each batch read, took and did not take stands
+    in the query's progress, as the observed metrics ``ingest``; ``start_rejects`` keeps those that were not taken.
     """
-    events = valid_events(decode_events(stream, value_col))
-    writer = (
-        events.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_type")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    if trigger is None:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=trigger)
+    judged = judge_messages(stream, value_col)
+    taken = F.count_if(F.col("reason").isNull())
+    judged = judged.observe("ingest", F.count("*").alias("read"), taken.alias("accepted"), (F.count("*") - taken).alias("rejected"))
+    writer = accepted_events(judged).writeStream.format("parquet").partitionBy("event_type")
+    return _start(writer, path, checkpoint, trigger)
+
+
+def start_rejects(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = "1 minute",
+    value_col: str = "value",
+) -> StreamingQuery:
+    """Append the messages that the ingest does not take, as they came, with the reason.
+
+    A query beside the ingest with a checkpoint of its own, so each message lands exactly once in one of the two places, whichever
+    of the queries is restarted.
+    """
+    rejected = rejected_messages(judge_messages(stream, value_col))
+    return _start(rejected.writeStream.format("json"), path, checkpoint, trigger)
+
+
+def _start(writer: DataStreamWriter, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+    writer = writer.outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
     return writer.start()

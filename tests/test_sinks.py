@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from concurrent.futures import ThreadPoolExecutor
 
 import json
@@ -137,3 +139,49 @@ def test_stored_view_follows_its_table(spark):
     sinks.replace_stored_view(spark, "stored_view", "SELECT amount FROM stored_view_base")
     assert rows(spark.table("stored_view")) == [(10,)]
     assert [t.isTemporary for t in spark.catalog.listTables() if t.name == "stored_view"] == [False]
+
+
+BUCKETED = "k string, part int, a long, b string"
+
+
+def files_below(root):
+    return {str(p.relative_to(root)) for p in root.rglob("*.parquet") if "places" not in str(p)}
+
+
+def test_an_upsert_writes_only_the_buckets_it_touches(spark, tmp_path):
+    from clickmart.operators import upsert
+    from clickmart.sinks import read_buckets, upsert_buckets, write_buckets
+
+    root = str(tmp_path / "table")
+    before = spark.range(500).selectExpr("concat('k', id) AS k", "int(id % 3) AS part", "id AS a", "'old' AS b")
+    before = before.union(spark.createDataFrame([(None, 0, 7, "old"), ("lone", None, 8, None)], BUCKETED))
+    assert write_buckets(before, root, ["k", "part"], 16) == 1
+    assert rows(read_buckets(spark, root, BUCKETED)) == rows(before)
+    first = files_below(tmp_path / "table")
+    reader = read_buckets(spark, root, BUCKETED)
+    updates = spark.createDataFrame([("k1", 1, 100, None), (None, 0, 200, "new"), ("fresh", 5, 1, "new")], BUCKETED)
+    assert upsert_buckets(updates, root, BUCKETED) == 2
+    once = upsert(before, updates, ["k", "part"])
+    assert rows(read_buckets(spark, root, BUCKETED)) == rows(once)
+    second = files_below(tmp_path / "table")
+    assert first <= second and 1 <= len(second - first) <= 3
+    assert rows(reader) == rows(before), "who reads keeps its files"
+    assert upsert_buckets(updates.limit(1), root, BUCKETED, ["b"]) == 3
+    assert rows(read_buckets(spark, root, BUCKETED)) == rows(upsert(once, updates.limit(1), ["k", "part"], ["b"]))
+    with pytest.raises(Exception, match="held twice"):
+        upsert_buckets(updates.union(updates), root, BUCKETED)
+    assert upsert_buckets(updates.where("false"), root, BUCKETED) == 4
+
+
+def test_two_upserts_at_once_do_not_lose_rows(spark, tmp_path):
+    from clickmart.sinks import buckets, read_buckets, upsert_buckets, write_buckets
+
+    root = str(tmp_path / "table")
+    write_buckets(spark.createDataFrame([("x", 1, 1, "x")], BUCKETED), root, ["k"], 4)
+    places = buckets._places(spark, root)
+    upsert_buckets(spark.createDataFrame([("y", 1, 1, "y")], BUCKETED), root, BUCKETED)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(buckets, "_places", lambda *_: places)
+        with pytest.raises(ValueError, match="meanwhile"):
+            upsert_buckets(spark.createDataFrame([("z", 1, 1, "z")], BUCKETED), root, BUCKETED)
+    assert {r.k for r in read_buckets(spark, root, BUCKETED).collect()} == {"x", "y"}

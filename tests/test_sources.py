@@ -173,3 +173,48 @@ def test_roundtrip_keeps_types(spark, data, event_type):
     events = star_schema.clickstream(spark, data).where(F.col("event_type") == event_type)
     wanted = conform(events, LAKE_SCHEMA)
     assert rows(sources.decode_events(sources.encode_events(events))) == rows(wanted)
+
+
+MESSAGES = [
+    ('{"event_type":"view","user_id":"u1","price":"x"}', None),
+    ('{"event_type":"view","user_id":""}', sources.codec.NO_USER),
+    ('{"event_type":"view"}', sources.codec.NO_USER),
+    ('{"event_type":"view","user_id":"u2"', sources.codec.NOT_JSON),
+    ("broken", sources.codec.NOT_JSON),
+    ("", sources.codec.NOT_JSON),
+    ("  ", sources.codec.NOT_JSON),
+    (None, sources.codec.NOT_JSON),
+    ("[1, 2]", sources.codec.NOT_JSON),
+    ('{"user_id":"u3","more":1}', None),
+]
+
+
+def test_every_message_is_taken_or_kept_with_its_reason(spark):
+    frame = spark.createDataFrame([(m,) for m, _ in MESSAGES], "value string")
+    judged = sources.judge_messages(frame)
+    assert rows(judged.select("raw", "reason")) == rows(spark.createDataFrame(MESSAGES, "raw string, reason string"))
+    taken = sources.accepted_events(judged)
+    assert taken.schema == sources.decode_events(frame).schema
+    assert {r.user_id for r in taken.collect()} == {"u1", "u3"} and taken.where("price is not null").isEmpty()
+    assert sources.rejected_messages(judged).count() + taken.count() == len(MESSAGES)
+
+
+def test_csv_headers_of_many_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a b.csv").write_text("\ufeffuser_id,price\nu1,1\n")
+    with gzip.open(tmp_path / "c.csv.gz", "wt") as file:
+        file.write("price,user_id\n2,u2\n")
+    (tmp_path / "d.csv").write_text("user_id,price\n")
+    for i in range(20):
+        (tmp_path / f"e{i}.csv").write_text(f"price,brand,user_id\n{i},b,v{i}\n")
+    found = sources.read_events_csv(spark, str(tmp_path))
+    wanted = [("u1", "1"), ("u2", "2")] + [(f"v{i}", str(i)) for i in range(20)]
+    assert rows(found.select("user_id", "price")) == sorted(wanted)
+
+
+def test_csv_fields_over_lines(spark, tmp_path):
+    given = spark.createDataFrame([("u1", 'a\n"b",\r\nc'), ("u2", "plain"), ("u3", None)], "user_id string, brand string")
+    given.write.option("header", True).option("escape", '"').csv(str(tmp_path / "dump"))
+    found = sources.read_events_csv(spark, str(tmp_path / "dump"), multi_line=True)
+    assert rows(found.select("user_id", "brand")) == rows(given)

@@ -14,6 +14,7 @@ from clickmart.streaming import (
     read_features,
     start_feature_refresh,
     start_ingest,
+    start_rejects,
 )
 
 
@@ -178,3 +179,28 @@ def test_features_from_a_source_without_files(spark, tmp_path):
         query.stop()
     seen = read_features(spark, root).collect()
     assert len(seen) == 1 and seen[0].total_views % 5 == 0 and seen[0].total_views > 0
+
+
+def test_messages_land_in_the_lake_or_among_the_rejected(spark, tmp_path):
+    wire, lake, kept = (str(tmp_path / n) for n in ("wire", "lake", "rejected"))
+
+    def send(*values):
+        spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.mode("append").text(wire)
+
+    def run():
+        stream = read_event_stream(spark, path=wire)
+        query = start_ingest(stream, lake, str(tmp_path / "c1"), None)
+        query.awaitTermination()
+        start_rejects(stream, kept, str(tmp_path / "c2"), None).awaitTermination()
+        return [p["observedMetrics"]["ingest"] for p in query.recentProgress if p["numInputRows"]]
+
+    send('{"user_id":"u1","event_type":"view"}', "broken", '{"event_type":"view"}')
+    seen = run()
+    assert [(m["read"], m["accepted"], m["rejected"]) for m in seen] == [(3, 1, 2)]
+    run()
+    send("broken too", '{"user_id":"u2","event_type":"cart"}')
+    run()
+    run()
+    assert {r.user_id for r in read_lake(spark, lake).collect()} == {"u1", "u2"}
+    rejected = spark.read.schema("raw string, reason string").json(kept)
+    assert rows(rejected) == [("broken", "not valid JSON"), ("broken too", "not valid JSON"), ('{"event_type":"view"}', "no user")]
