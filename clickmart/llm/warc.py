@@ -1,27 +1,37 @@
 """WARC archives and their index, merged from locally sorted runs.
 
-Every task writes its records, sorted by URL key and time, into an archive of its own, which is one run of the
-index. Tasks that each own a range of keys then merge the runs that reach into their range with a loser tree, so
-the whole index is in order of URL key and time: the capture history of every URL. Records are read back through
-the index.
+Every task writes its records, sorted by URL key and time, as one archive, which is one run of the index. An archive is
+stored in pieces, rows of a Parquet table below any folder that Spark reaches; its pieces one after the other are a
+``.warc.gz`` file, and ``export_files`` writes them as such. Tasks that each own a range of keys merge the runs that reach into
+their range with a loser tree, so the whole index is in order of URL key and time: the capture history of every
+URL. Records are read back through the index and carry their place in it.
 """
 
 from __future__ import annotations
 
 import base64
+import datetime
 import gzip
 import hashlib
+import os
+import urllib.parse
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart.operators.materialize import checkpoint_root, materialize
 
 ENTRIES_PER_RANGE = 200_000
-INDEX = "urlkey string, at long, page_id long, run string, start long, size long"
+PIECE_BYTES = 1 << 20
+INDEX = ("urlkey", "at", "page_id", "run", "piece", "start", "size")
+# The time of a capture, in seconds, where pages have none of their own: 2024-01-01.
+CAPTURED = 1_704_067_200
+# The seconds of the first and the last second that a date of a record can name.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 # The fields of a record and the profile of a revisit.
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -35,27 +45,23 @@ def url_key(url: Column) -> Column:
     return F.coalesce(F.when(url.contains("://"), F.concat(labels, F.lit(")"), rest)).otherwise(url), F.lit(""))
 
 
-def file_system(folder: str):
-    """File system and path of a folder given as a path or as a URI."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(folder)
-
-
 def warc_date(seconds: int) -> str:
-    import datetime
+    """A date of the years 1 to 9999; times beyond them are the first or last second of those."""
+    at = datetime.timedelta(seconds=min(max(seconds, FIRST_SECOND), LAST_SECOND))
+    return (datetime.datetime(1970, 1, 1) + at).strftime("%Y-%m-%dT%H:%M:%SZ").rjust(20, "0")
 
-    return (datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=seconds)).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+def page_name(page_id) -> str:
+    return "urn:null" if page_id is None else f"urn:page:{urllib.parse.quote(str(page_id), safe='')}"
 
 
 def record(row: dict) -> bytes:
     """One record, uncompressed. A revisit has the HTTP head only and names the record that holds the payload."""
     payload = (row["html"] or "").encode()
     digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
-    page = "none" if row["page_id"] is None else row["page_id"]
     fields = [
         ("WARC-Type", row["kind"]),
-        ("WARC-Record-ID", f"<urn:page:{page}>"),
+        ("WARC-Record-ID", f"<{page_name(row['page_id'])}>"),
         ("WARC-Date", warc_date(row["at"])),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Payload-Length", str(len(payload))),
@@ -65,7 +71,7 @@ def record(row: dict) -> bytes:
         fields.insert(2, ("WARC-Target-URI", row["url"].replace("\r", "%0D").replace("\n", "%0A")))
     block = HTTP_HEAD
     if row["kind"] == "revisit":
-        fields += [("WARC-Refers-To", f"<urn:page:{row['refers_to']}>"), ("WARC-Profile", REVISIT)]
+        fields += [("WARC-Refers-To", f"<{page_name(row['refers_to'])}>"), ("WARC-Profile", REVISIT)]
     else:
         block += payload
     fields.append(("Content-Length", str(len(block))))
@@ -73,40 +79,38 @@ def record(row: dict) -> bytes:
     return head.encode() + block + b"\r\n\r\n"
 
 
-def write_run(folder: str):
-    """Writes the rows of a task, which come sorted, as one archive of gzip members; returns the index entries.
+def entry_type(id_type: pa.DataType) -> pa.DataType:
+    return pa.struct([("urlkey", pa.string()), ("at", pa.int64()), ("page_id", id_type), ("start", pa.int64()), ("size", pa.int64())])
+
+
+def write_run(id_type: pa.DataType):
+    """The rows of a task, which come sorted, as the pieces of one archive of gzip members, with the entries of each.
 
-    An attempt has a file of its own. What a failed attempt has written is in no index.
+    A piece has PIECE_BYTES, or one larger record. An attempt has a run of its own, so one that failed leaves nothing behind.
     """
+    schema = pa.schema([("run", pa.string()), ("piece", pa.int32()), ("members", pa.binary()), ("entries", pa.list_(entry_type(id_type)))])
 
     def run(batches):
-        system, base = file_system(folder)
-        name = f"{uuid.uuid4().hex}.warc.gz"
-        out, start = None, 0
-        try:
-            for batch in batches:
-                entries = []
-                for row in batch.to_pylist():
-                    if out is None:
-                        system.create_dir(base, recursive=True)
-                        out = system.open_output_stream(f"{base}/{name}", compression=None)
-                    member = gzip.compress(record(row), 6, mtime=0)
-                    out.write(member)
-                    entries.append((row["urlkey"], row["at"], row["page_id"], name, start, len(member)))
-                    start += len(member)
-                if entries:
-                    yield entry_batch(entries)
-        finally:
-            if out is not None:
-                out.close()
+        name, piece, members, entries, size = uuid.uuid4().hex, 0, [], [], 0
 
-    return run
+        def closed():
+            row = {"run": name, "piece": piece, "members": b"".join(members), "entries": entries}
+            return pa.RecordBatch.from_pylist([row], schema=schema)
 
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                for row in batch.slice(at, 64).to_pylist():
+                    member = gzip.compress(record(row), 6, mtime=0)
+                    if members and size + len(member) > PIECE_BYTES:
+                        yield closed()
+                        piece, members, entries, size = piece + 1, [], [], 0
+                    entries.append({"urlkey": row["urlkey"], "at": row["at"], "page_id": row["page_id"], "start": size, "size": len(member)})
+                    members.append(member)
+                    size += len(member)
+        if members:
+            yield closed()
 
-def entry_batch(entries: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-    names = [part.split()[0] for part in INDEX.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*entries, strict=True), kinds, strict=True)], names=names)
+    return run
 
 
 class LoserTree:
@@ -147,43 +151,50 @@ class LoserTree:
 
 
 def entry_key(entry: tuple):
-    """URL key by code point, then time, then page; a null page comes first."""
-    return entry[0].encode(), entry[1], entry[2] is not None, entry[2] or 0
+    """URL key by code point, then time, then page, null first, then where it lies."""
+    key, at, page, run, piece, start, _ = entry
+    return key.encode(), at, page is not None, page.encode() if isinstance(page, str) else page or 0, run, piece, start
 
 
 def merge_range(batches):
     """The runs' parts of one key range, run after run and each in order, merged into one; a range is of bounded size."""
     runs: dict[str, list[tuple]] = {}
+    schema = None
     for batch in batches:
-        for entry in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+        schema = batch.schema
+        for entry in zip(*(batch.column(i).to_pylist() for i in range(len(INDEX))), strict=True):
             runs.setdefault(entry[3], []).append(entry)
     merged, place = [], 0
     for entry in LoserTree([iter(r) for r in runs.values()], entry_key):
         merged.append(entry)
         if len(merged) == 10_000:
-            yield numbered_entries(merged, place)
+            yield numbered_entries(merged, place, schema)
             place, merged = place + len(merged), []
     if merged:
-        yield numbered_entries(merged, place)
+        yield numbered_entries(merged, place, schema)
 
 
-def numbered_entries(entries: list[tuple], place: int) -> pa.RecordBatch:
-    batch = entry_batch(entries)
+def numbered_entries(entries: list[tuple], place: int, schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*entries, strict=True), schema, strict=True)]
     return pa.RecordBatch.from_arrays(
-        [*batch.columns, pa.array(range(place, place + len(entries)), pa.int64())], names=[*batch.schema.names, "place"]
+        [*columns, pa.array(range(place, place + len(entries)), pa.int64())], names=[*schema.names, "place"]
     )
 
 
 def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", time_column: str | None = None) -> DataFrame:
-    """Writes ``pages`` as WARC files below ``folder`` and returns the merged index: INDEX, range and place.
+    """Writes ``pages`` as archives below ``folder`` and returns the merged index: INDEX, range and place.
 
     Of pages with equal payloads that with the largest id is a response and the others revisit it. A null html is an empty
     payload. Pages that share the largest id are all responses, and so are pages of which none has an id. A null URL has no target and an empty
-    key. Without ``time_column`` (seconds) a page's time is its id. Other columns are not read. Ordered by range and
-    place, the index is in order of URL key, time and id.
+    key. The time of a page is in ``time_column``, in seconds; without it, and where it is null, it is CAPTURED. Whole numbers stay
+    whole as ids; ids of any other type are text, by code point. Other columns are not read. Ordered by range and place, the index is in order of
+    URL key, time and id.
     """
-    page_id = F.col(id_column).cast("long")
-    at = F.coalesce(F.col(time_column).cast("long") if time_column else page_id, F.lit(0))
+    whole = isinstance(pages.schema[id_column].dataType, T.IntegralType)
+    page_id = F.col(id_column).cast("long" if whole else "string")
+    at = F.lit(CAPTURED).cast("long")
+    if time_column:
+        at = F.coalesce(F.col(time_column).cast("long"), at)
     rows = pages.select(
         page_id.alias("page_id"),
         F.col(url_column).cast("string").alias("url"),
@@ -198,25 +209,31 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ur
     )
     marked = rows.select("*", *payload).join(holders, ["digest", "length"])
     revisit = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
-    written = (
+    entry = f"struct<urlkey:string,at:long,page_id:{'long' if whole else 'string'},start:long,size:long>"
+    archives = (
         marked.select(
             "page_id", "url", "html", "at", "urlkey",
             F.when(revisit, "revisit").otherwise("response").alias("kind"),
             F.when(revisit, F.col("holder")).alias("refers_to"),
         )
         .sortWithinPartitions("urlkey", "at", F.asc_nulls_first("page_id"))
-        .mapInArrow(write_run(folder), INDEX)
+        .mapInArrow(write_run(pa.int64() if whole else pa.string()), f"run string, piece int, members binary, entries array<{entry}>")
     )
-    return merge_index(materialize(written))
+    archives.write.parquet(folder)
+    written = pages.sparkSession.read.schema(archives.schema).parquet(folder)
+    return merge_index(written.select("run", "piece", F.inline("entries")).select(*INDEX))
 
 
 def merge_index(entries: DataFrame) -> DataFrame:
-    """(INDEX, range, place) in order of URL key, time and id, from sorted runs; ranges are cut by all three, so a hot URL has many."""
+    """(INDEX, range, place) in order of URL key, time and id, from sorted runs.
+
+    Ranges are cut by all of that and by where a record lies, so many captures of one URL, with or without ids, have many ranges.
+    """
     parts = -(-entries.count() // ENTRIES_PER_RANGE) or 1
     merged = (
-        entries.repartitionByRange(parts, "urlkey", "at", "page_id")
-        .sortWithinPartitions("run", "urlkey", "at", F.asc_nulls_first("page_id"))
-        .mapInArrow(merge_range, f"{INDEX}, place long")
+        entries.repartitionByRange(parts, "urlkey", "at", "page_id", "run", "piece", "start")
+        .sortWithinPartitions("run", "urlkey", "at", F.asc_nulls_first("page_id"), "piece", "start")
+        .mapInArrow(merge_range, T.StructType([*entries.schema.fields, T.StructField("place", T.LongType())]))
     )
     return materialize(merged.withColumn("range", F.spark_partition_id()))
 
@@ -235,9 +252,9 @@ def parse(member: bytes) -> dict:
     if fields["WARC-Type"] == "response" and digest != base64.b32encode(hashlib.sha1(payload).digest()).decode():
         raise ValueError("payload and digest differ")
 
-    def page(name: str) -> int | None:
-        value = fields.get(name, "").removeprefix("<urn:page:").removesuffix(">")
-        return int(value) if value and value != "none" else None
+    def page(name: str) -> str | None:
+        value = fields.get(name, "").removeprefix("<").removesuffix(">")
+        return urllib.parse.unquote(value.removeprefix("urn:page:")) if value.startswith("urn:page:") else None
 
     return {
         "page_id": page("WARC-Record-ID"),
@@ -251,38 +268,66 @@ def parse(member: bytes) -> dict:
 
 
 def read_archives(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
-    """The records that ``index`` names, parsed and checked; one record at a time is held besides a batch.
+    """The records that ``index`` names, parsed and checked; a piece of an archive is held at a time.
 
-    Columns: page_id, url, payload_bytes, payload_digest, record_type, refers_to and, if asked for, html (null for revisits).
+    Columns: page_id, url, payload_bytes, payload_digest, record_type, refers_to, html if asked for (null for revisits), and range and
+    place: sorted by both, the records are capture histories in the order of the index.
     """
-    kinds = {"page_id": "long", "url": "string", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "long"}
+    kinds = {"page_id": "string", "url": "string", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "string"}
     kinds |= {"html": "string"} if payload else {}
-    arrow = {"long": pa.int64(), "string": pa.string()}
+    kinds |= {"range": "int", "place": "long"}
+    arrow = {"long": pa.int64(), "string": pa.string(), "int": pa.int32()}
 
     def run(batches):
-        system, base = file_system(folder)
-        name, file = None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                records = []
-                for run_, start, size in zip(*(part.column(c).to_pylist() for c in ("run", "start", "size")), strict=True):
-                    if run_ != name:
-                        if file is not None:
-                            file.close()
-                        name, file = run_, system.open_input_file(f"{base}/{run_}")
-                    file.seek(start)
-                    records.append(parse(file.read(size)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[c] for r in records], arrow[t]) for c, t in kinds.items()], names=list(kinds)
-                )
-        if file is not None:
+            for row in range(batch.num_rows):
+                members = batch.column("members")[row].as_py()
+                found = batch.column("wanted")[row].as_py()
+                for at in range(0, len(found), 256):
+                    records = [
+                        parse(members[f["start"] : f["start"] + f["size"]]) | {"range": f["range"], "place": f["place"]}
+                        for f in found[at : at + 256]
+                    ]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[c] for r in records], arrow[t]) for c, t in kinds.items()], names=list(kinds)
+                    )
+
+    # The entries of a piece, no more than its bytes allow, come to the piece.
+    wanted = index.groupBy("run", "piece").agg(F.collect_list(F.struct("start", "size", "range", "place")).alias("wanted"))
+    archives = index.sparkSession.read.schema("run string, piece int, members binary").parquet(folder)
+    found = archives.join(wanted, ["run", "piece"]).select("members", "wanted")
+    records = found.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    ids = index.schema["page_id"].dataType
+    return records.withColumns({c: F.col(c).cast(ids) for c in ("page_id", "refers_to")})
+
+
+def export_files(spark, folder: str, target: str) -> DataFrame:
+    """Write the archives below ``folder`` as files ``<run>.warc.gz`` in ``target``, a folder that every worker has mounted.
+
+    Returns run and bytes of each. A run is written by one task, piece after piece, and gets its name when it is whole.
+    """
+
+    def run(batches):
+        name, file, size = None, None, 0
+
+        def done():
             file.close()
+            os.replace(file.name, f"{target}/{name}.warc.gz")
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([size], pa.int64())], names=["run", "bytes"])
+
+        for batch in batches:
+            for own, members in zip(batch.column("run").to_pylist(), batch.column("members"), strict=True):
+                if own != name:
+                    if file is not None:
+                        yield done()
+                    name, size = own, 0
+                    file = open(f"{target}/.{own}-{uuid.uuid4().hex}", "wb")  # noqa: SIM115
+                size += file.write(members.as_py())
+        if file is not None:
+            yield done()
 
-    # Index rows are small and what they stand for is not, so the number of tasks follows the runs.
-    runs = index.select("run").distinct().count()
-    located = index.select("run", "start", "size").repartition(max(1, runs), "run").sortWithinPartitions("run", "start")
-    return located.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    archives = spark.read.schema("run string, piece int, members binary").parquet(folder)
+    return materialize(archives.repartition("run").sortWithinPartitions("run", "piece").mapInArrow(run, "run string, bytes long"))
 
 
 def archive_folder(spark) -> str:

@@ -313,6 +313,55 @@ def test_index_is_in_order_and_records_come_back(spark, data, tmp_path, monkeypa
         assert holder["record_type"] == "response" and holder["html"] == page["html"]
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_ids_of_any_size_and_kind(spark, tmp_path, kind):
+    ids = [2**62, -(2**62), 2**40, 0, None, None, None] if kind == "long" else ["b/ä>", "a\r\nb", "none", "", None, None, "z"]
+    rows = [(i, "http://a.example/x", f"payload {n // 2}", 10**15 * (n - 3)) for n, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, f"page_id {kind}, url string, html string, t long").repartition(3)
+    for time in (None, "t"):
+        folder = str(tmp_path / f"{kind}{time}")
+        index = warc.write_archives(pages, folder, time_column=time)
+        back = sorted(warc.read_archives(index, folder).collect(), key=lambda r: (r["range"], r["place"]))
+        assert index.schema["page_id"].dataType.simpleString() == {"long": "bigint"}.get(kind, kind)
+        assert sorted(map(str, ids)) == sorted(str(r["page_id"]) for r in back)
+        entries = [(r["at"], r["page_id"]) for r in index.orderBy("range", "place").collect()]
+        assert entries == sorted(entries, key=lambda e: (e[0], e[1] is not None, e[1] if isinstance(e[1], int) else (e[1] or "").encode()))
+        assert [e[1] for e in entries] == [r["page_id"] for r in back]
+        by_payload = {}
+        for i, _, html, _ in rows:
+            by_payload.setdefault(html, []).append(i)
+        for r in back:
+            if r["record_type"] == "revisit":
+                assert any(r["page_id"] in group and r["refers_to"] == max(i for i in group if i is not None) for group in by_payload.values())
+
+
+def test_captures_of_one_url_without_ids_have_many_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ENTRIES_PER_RANGE", 20)
+    monkeypatch.setattr(warc, "PIECE_BYTES", 1500)
+    pages = spark.range(400).selectExpr("cast(null as long) AS page_id", "'http://a.example/' AS url", "concat('p', id) AS html").repartition(4)
+    folder = str(tmp_path / "warc")
+    index = warc.write_archives(pages, folder)
+    sizes = [r["count"] for r in index.groupBy("range").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 100
+    assert index.groupBy("run", "piece").count().count() > 20
+    assert {r["html"] for r in warc.read_archives(index, folder).collect()} == {f"p{i}" for i in range(400)}
+
+
+def test_exported_files_are_archives(spark, data, tmp_path, monkeypatch):
+    import gzip
+
+    monkeypatch.setattr(warc, "PIECE_BYTES", 20_000)
+    folder, target = str(tmp_path / "warc"), tmp_path / "files"
+    target.mkdir()
+    pages = queries.table(spark, data, "pages").repartition(3)
+    index = warc.write_archives(pages, folder)
+    written = {r["run"]: r["bytes"] for r in warc.export_files(spark, folder, str(target)).collect()}
+    files = {p.name.removesuffix(".warc.gz"): p for p in target.iterdir()}
+    assert {n: p.stat().st_size for n, p in files.items()} == written and len(written) == index.select("run").distinct().count()
+    records = b"".join(gzip.decompress(p.read_bytes()) for p in files.values())
+    assert records.count(b"WARC/1.1\r\n") == pages.count()
+
+
 # personal data
 
 PATTERNS = [
