@@ -83,7 +83,7 @@ def entry_type(id_type: pa.DataType) -> pa.DataType:
     return pa.struct([("urlkey", pa.string()), ("at", pa.int64()), ("page_id", id_type), ("start", pa.int64()), ("size", pa.int64())])
 
 
-def write_run(id_type: pa.DataType):
+def write_run(id_type: pa.DataType, write: str):
     """The rows of a task, which come sorted, as the pieces of one archive of gzip members, with the entries of each.
 
     A piece has PIECE_BYTES, or one larger record. An attempt has a run of its own, so one that failed leaves nothing behind.
@@ -91,7 +91,7 @@ def write_run(id_type: pa.DataType):
     schema = pa.schema([("run", pa.string()), ("piece", pa.int32()), ("members", pa.binary()), ("entries", pa.list_(entry_type(id_type)))])
 
     def run(batches):
-        name, piece, members, entries, size = uuid.uuid4().hex, 0, [], [], 0
+        name, piece, members, entries, size = f"{write}-{uuid.uuid4().hex}", 0, [], [], 0
 
         def closed():
             row = {"run": name, "piece": piece, "members": b"".join(members), "entries": entries}
@@ -182,7 +182,7 @@ def numbered_entries(entries: list[tuple], place: int, schema: pa.Schema) -> pa.
 
 
 def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", time_column: str | None = None) -> DataFrame:
-    """Writes ``pages`` as archives below ``folder`` and returns the merged index: INDEX, range and place.
+    """Writes ``pages`` as archives into a new folder below ``folder`` and returns the merged index: INDEX, range and place.
 
     Of pages with equal payloads that with the largest id is a response and the others revisit it. A null html is an empty
     payload. Pages that share the largest id are all responses, and so are pages of which none has an id. A null URL has no target and an empty
@@ -209,6 +209,7 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ur
     )
     marked = rows.select("*", *payload).join(holders, ["digest", "length"])
     revisit = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
+    write = uuid.uuid4().hex
     entry = f"struct<urlkey:string,at:long,page_id:{'long' if whole else 'string'},start:long,size:long>"
     archives = (
         marked.select(
@@ -217,10 +218,10 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ur
             F.when(revisit, F.col("holder")).alias("refers_to"),
         )
         .sortWithinPartitions("urlkey", "at", F.asc_nulls_first("page_id"))
-        .mapInArrow(write_run(pa.int64() if whole else pa.string()), f"run string, piece int, members binary, entries array<{entry}>")
+        .mapInArrow(write_run(pa.int64() if whole else pa.string(), write), f"run string, piece int, members binary, entries array<{entry}>")
     )
-    archives.write.parquet(folder)
-    written = pages.sparkSession.read.schema(archives.schema).parquet(folder)
+    archives.write.parquet(f"{folder}/{write}")
+    written = pages.sparkSession.read.schema(archives.schema).parquet(f"{folder}/{write}")
     return merge_index(written.select("run", "piece", F.inline("entries")).select(*INDEX))
 
 
@@ -271,34 +272,38 @@ def read_archives(index: DataFrame, folder: str, payload: bool = True) -> DataFr
     """The records that ``index`` names, parsed and checked; a piece of an archive is held at a time.
 
     Columns: page_id, url, payload_bytes, payload_digest, record_type, refers_to, html if asked for (null for revisits), and range and
-    place: sorted by both, the records are capture histories in the order of the index.
+    place: sorted by both, the records are capture histories in the order of the index. Archives are read where they lie, each piece with
+    the entries that are stored beside it; what is shuffled to meet the index is the parsed records.
     """
     kinds = {"page_id": "string", "url": "string", "payload_bytes": "long", "payload_digest": "string", "record_type": "string", "refers_to": "string"}
     kinds |= {"html": "string"} if payload else {}
-    kinds |= {"range": "int", "place": "long"}
+    places = {"run": "string", "piece": "int", "start": "long"}
     arrow = {"long": pa.int64(), "string": pa.string(), "int": pa.int32()}
 
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
                 members = batch.column("members")[row].as_py()
-                found = batch.column("wanted")[row].as_py()
+                run_, piece, found = (batch.column(c)[row].as_py() for c in ("run", "piece", "found"))
                 for at in range(0, len(found), 256):
                     records = [
-                        parse(members[f["start"] : f["start"] + f["size"]]) | {"range": f["range"], "place": f["place"]}
+                        parse(members[f["start"] : f["start"] + f["size"]]) | {"run": run_, "piece": piece, "start": f["start"]}
                         for f in found[at : at + 256]
                     ]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r[c] for r in records], arrow[t]) for c, t in kinds.items()], names=list(kinds)
+                        [pa.array([r[c] for r in records], arrow[t]) for c, t in (kinds | places).items()], names=[*kinds, *places]
                     )
 
-    # The entries of a piece, no more than its bytes allow, come to the piece.
-    wanted = index.groupBy("run", "piece").agg(F.collect_list(F.struct("start", "size", "range", "place")).alias("wanted"))
-    archives = index.sparkSession.read.schema("run string, piece int, members binary").parquet(folder)
-    found = archives.join(wanted, ["run", "piece"]).select("members", "wanted")
-    records = found.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in kinds.items()))
+    stored = "run string, piece int, members binary, entries array<struct<start:long,size:long>>"
+    writes = [r[0] for r in index.select(F.substring_index("run", "-", 1)).distinct().collect()]  # of one index: one
+    if not writes:
+        return index.sparkSession.createDataFrame([], ", ".join(f"{c} {t}" for c, t in (kinds | {"range": "int", "place": "long"}).items()))
+    archives = index.sparkSession.read.schema(stored).parquet(*[f"{folder}/{w}" for w in writes]).select("run", "piece", "members", F.col("entries").alias("found"))
+    records = archives.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in (kinds | places).items()))
     ids = index.schema["page_id"].dataType
-    return records.withColumns({c: F.col(c).cast(ids) for c in ("page_id", "refers_to")})
+    named = index.select("run", "piece", "start", "range", "place")
+    records = records.withColumns({c: F.col(c).cast(ids) for c in ("page_id", "refers_to")})
+    return records.join(named, ["run", "piece", "start"]).select(*kinds, "range", "place")
 
 
 def export_files(spark, folder: str, target: str) -> DataFrame:
@@ -326,7 +331,7 @@ def export_files(spark, folder: str, target: str) -> DataFrame:
         if file is not None:
             yield done()
 
-    archives = spark.read.schema("run string, piece int, members binary").parquet(folder)
+    archives = spark.read.schema("run string, piece int, members binary").option("recursiveFileLookup", True).parquet(folder)
     return materialize(archives.repartition("run").sortWithinPartitions("run", "piece").mapInArrow(run, "run string, bytes long"))
 
 
