@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from clickmart.llm import (
     url_filter,
     warc,
 )
-from clickmart.operators.materialize import materialize
+from clickmart.operators.materialize import checkpoint_root, materialize
 
 # Production parameters.
 URL_RULES = [
@@ -32,7 +33,10 @@ URL_RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-JUNK_HOSTS = r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+# Words of a host name for which a URL is listed.
+LISTED_WORDS = (
+    "ads adult bet bets betting casino gambling jackpot loans lottery pharmacy pills poker porn sex slots spam viagra xxx"
+).split()
 TOKEN_LIMIT = 512
 SHARDS = 40
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,8 +65,9 @@ def counted(spans: Column, field: str, kind: str) -> Column:
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    findings, _ = secret_scan.scan_history(docs)
-    found = secret_scan.findings_by_path(docs, findings)
+    ledger = secret_scan.SecretLedger(spark, f"{checkpoint_root(spark)}/secrets-{uuid.uuid4().hex}")
+    ledger.update(docs)
+    found = secret_scan.findings_by_path(docs, ledger.findings())
     names = [rule.name for rule in secret_scan.RULES]
     order = F.array(*[F.lit(n) for n in names])
     placed = F.sort_array(
@@ -90,7 +95,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    listed = pages.where(url_filter.url_host(F.col("url")).rlike(JUNK_HOSTS)).select("url")
+    words = F.split(url_filter.url_host(F.col("url")), "[.-]")
+    listed = pages.where(F.arrays_overlap(words, F.array(*map(F.lit, LISTED_WORDS)))).select("url")
     return url_filter.judge_urls(pages, rules, listed)
 
 
@@ -134,7 +140,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprint.edited_likeness(table(spark, sf_dir, "documents"))
+    """Besides the likenesses, for documents whose id is divisible by 100: how many others are near, and the smallest id of them and itself."""
+    docs = table(spark, sf_dir, "documents")
+    found = edit_fingerprint.edited_likeness(docs)
+    asked = F.col("doc_id") % 100 == 0
+    prints = edit_fingerprint.fingerprints(docs.where(asked)).select("doc_id", "fingerprint")
+    near = edit_fingerprint.near_classes(prints, edit_fingerprint.fingerprints(docs))
+    near = near.groupBy(F.col("asked").alias("fingerprint")).agg(F.sum("n").alias("n"), F.min("least_id").alias("near_least"))
+    near = materialize(near)  # a row for each distinct text that was asked about
+    return found.join(near, "fingerprint", "left").select(
+        *found.columns,
+        F.when(asked, F.coalesce(F.col("n") - 1, F.lit(0))).alias("n_near"),
+        F.when(asked, F.coalesce("near_least", "doc_id")).alias("near_least"),
+    )
 
 
 def with_periods(docs: DataFrame) -> DataFrame:

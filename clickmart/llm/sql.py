@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickmart.llm.queries import JUNK_HOSTS, URL_RULES
+from clickmart.llm.queries import LISTED_WORDS, URL_RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -103,7 +103,7 @@ OP3 = rf"""
                    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_|ref=)')) AS kept
         FROM pages),
     named AS (SELECT *, {CANONICAL} AS canonical FROM parted),
-    listed AS (SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, '{JUNK_HOSTS}')),
+    listed AS (SELECT DISTINCT canonical FROM named WHERE list_has_any(string_split_regex(host, '[.-]'), {LISTED_WORDS})),
     fitting AS (
         SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
                arg_max(r.verdict, length(r.host || r.path)) AS verdict
