@@ -193,3 +193,29 @@ def test_mix_spreads_documents_without_id(spark):
     assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))
     taken = first.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
     assert all(abs(r["taken"] - r["target"]) <= 1 for r in taken)
+
+
+def test_a_listed_url_blocks_its_other_spellings(spark, tmp_path):
+    rows = [
+        (1, "https://www.spam.example/a/?b=2&a=1&utm_source=x#top"), (2, "http://spam.example:80/a?a=1&b=2"), (3, "http://spam.example/other"),
+        (4, "http://fine.example/a?a=1&b=2"), (5, "http://spamless.example/"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    pages.where("page_id <> 2").write.parquet(f"{tmp_path}/pages.parquet")
+    verdicts = {r["page_id"]: r["verdict"] for r in queries.op3_url_filter(spark, str(tmp_path)).collect()}
+    assert verdicts == {1: "block", 3: "block", 4: "allow", 5: "allow"}
+    listed = pages.where("page_id = 1").select("url")
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    judged = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, none, listed).collect()}
+    assert judged == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
+
+
+def test_a_second_update_scans_nothing(spark, data, tmp_path):
+    docs = queries.table(spark, data, "documents").select("doc_id", "text")
+    ledger = secret_scan.SecretLedger(spark, str(tmp_path / "ledger"))
+    ledger.update(docs)
+    once = sorted(map(tuple, ledger.findings().collect()))
+    _, scanned = secret_scan.scan_history(docs, ledger.scanned())
+    assert once and scanned.isEmpty()
+    ledger.update(docs)
+    assert sorted(map(tuple, ledger.findings().collect())) == once

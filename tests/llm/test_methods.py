@@ -495,6 +495,39 @@ def test_near_texts_are_found(spark):
     assert all(a % 100 == b % 100 for a, b in found)
 
 
+def test_recall_of_the_bands(spark, data):
+    docs = queries.table(spark, data.replace("sf0.001", "sf0.01"), "documents")
+    prints = edit_fingerprint.fingerprints(docs).select("doc_id", "fingerprint")
+    rows = [r for r in prints.collect() if r["fingerprint"]]
+    asked = [r for r in rows if r["doc_id"] % 5 == 0]
+    wanted = {
+        (a["doc_id"], b["doc_id"])
+        for a in asked
+        for b in rows
+        if a["doc_id"] != b["doc_id"] and abs(len(a["fingerprint"]) - len(b["fingerprint"])) <= 32
+        and edit_fingerprint.likeness(a["fingerprint"], b["fingerprint"]) >= edit_fingerprint.LEAST
+    }
+    near = edit_fingerprint.near_texts(prints.where("doc_id % 5 = 0"), prints).collect()
+    found = {(r["query_id"], r["doc_id"]) for r in near}
+    unlike = {p for p in wanted if edit_fingerprint.likeness(*[next(r["fingerprint"] for r in rows if r["doc_id"] == i) for i in p]) < 1}
+    assert len(found) == len(near) and found <= wanted and len(unlike) >= 10
+    assert len(found) >= 0.9 * len(wanted) and len(found & unlike) >= 0.9 * len(unlike)
+
+
+def test_registered_neighbours_are_counted_by_class(spark, tmp_path):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefgh ijklmno") for _ in range(700)) for _ in range(40)]
+    rows = [(i, texts[0] if i % 3 == 0 else texts[i % 40]) for i in range(301)] + [(400, None), (500, "short"), (501, "short")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.op10_edit_fingerprint(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    assert all((r["n_near"] is None) == (i % 100 != 0) for i, r in found.items())
+    for i in (0, 100, 200, 300, 500):
+        same = [d for d, t in rows if t == dict(rows)[i]]
+        assert (found[i]["n_near"], found[i]["near_least"]) == (len(same) - 1, min(same))
+    assert (found[400]["n_near"], found[400]["near_least"]) == (0, 400)
+
+
 # pipeline
 
 
