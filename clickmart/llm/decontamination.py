@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart.llm.arrays import mix, pieces, words
+from clickmart.llm.ids import numbered, row_key, whole
 from clickmart.operators.materialize import materialize
 
 WINDOW = 13
 TOLERANCE = 2
+LEAST_TOKENS = 3  # shorter items take no document out of a corpus
 # No two places of a window of 13 break both masks in all of their positions.
 MASKS = ("1101111", "110100111")
 FILTER_BITS = 23  # 1 MB: tells which hashes of training texts may be benchmark hashes
@@ -172,13 +174,13 @@ def agreement(batches):
         )
 
 
-def may_be_seeds(hashes: DataFrame) -> np.ndarray:
+def may_be_seeds(hashes: DataFrame, filter_bits: int = FILTER_BITS) -> np.ndarray:
     """Bit array of fixed size with a bit set for the leading bits of each hash; put together by the cluster."""
-    at = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    at = F.shiftrightunsigned("hash", 64 - filter_bits)
     rows = hashes.select(at.alias("at")).selectExpr(
         "shiftrightunsigned(at, 6) as word", "shiftleft(1L, cast(at & 63 as int)) as bit"
     )
-    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table = np.zeros(1 << (filter_bits - 6), np.int64)
     for row in rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         table[row["word"]] = row["bits"]
     return table.view(np.uint8)
@@ -191,15 +193,14 @@ def class_leaks(
     text_column: str,
     item_column: str,
     item_text_column: str,
-    short_items: bool,
+    short: range,
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, class, equal, hits, first, last) and (class, item_id).
+    """(doc_id, class, equal, hits, first, last) and (class, item_id); ``short`` are the lengths of short items to find.
 
     A class is what seeds of items look like: hash, mask, tokens around and tokens of the item. Each is searched once, however
     many items have it.
     """
     items = benchmark.select(F.col(item_column).cast("long").alias("id"), parted(F.col(item_text_column)).alias("text"))
-    short = range(1, min(map(len, MASKS))) if short_items else ()
     alike = ["hash", "mask", "item_near", "item_tokens"]
     items = items.mapInArrow(seeds(outside=1, lengths=short), SEED_SCHEMA).withColumnsRenamed({"near": "item_near", "text_tokens": "item_tokens"})
     items = materialize(items.select("id", *alike).distinct())
@@ -237,9 +238,20 @@ def leaks(
     Items of fewer tokens than the shorter mask leak where a document holds all their tokens in a row if ``short_items``,
     else nowhere, as they cannot be told from chance. Items that
     share passages are each reported. A null text is empty; a null id leaks under a null id; repeated rows give one result row
-    for each document and item. Other columns are not read. Empty tables give an empty result.
+    for each document and item. Ids keep their type. Other columns are not read. Empty tables give an empty result.
     """
-    agreed, members = class_leaks(docs, benchmark, id_column, text_column, item_column, item_text_column, short_items)
+    for frame, column, text, other in ((docs, id_column, text_column, False), (benchmark, item_column, item_text_column, True)):
+        if not whole(frame, column):
+            placed, ids = numbered(frame.select(column, F.col(text).alias("text")), column, "n")
+            if other:
+                found = leaks(docs, placed, id_column, text_column, "n", "text", short_items)
+            else:
+                found = leaks(placed, benchmark, "n", "text", item_column, item_text_column, short_items)
+            name = "item_id" if other else "doc_id"
+            columns = found.columns
+            return found.withColumnRenamed(name, "n").join(ids.withColumnRenamed("_id", name), "n", "left").select(*columns)
+    short = range(1, min(map(len, MASKS)) if short_items else 1)
+    agreed, members = class_leaks(docs, benchmark, id_column, text_column, item_column, item_text_column, short)
     # A class that many documents and items share has many rows; Spark splits them, as the next grouping deals them anew.
     return (
         agreed.join(members, "class")
@@ -253,11 +265,17 @@ def leaks(
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without the documents that leak an item, short ones too; all columns stay. Rows that share an id go together.
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_tokens: int = LEAST_TOKENS
+) -> DataFrame:
+    """``docs`` without the rows that leak an item of ``least_tokens`` tokens or more; all columns stay.
 
-    A row with a null id stays, as nothing tells which one leaks.
+    Shorter items are words that clean texts use too: ``leaks`` reports them, but they take no document. Rows are told apart by a hash of id and
+    text, so ids may be null or repeat, and a clean row stays whatever its namesake holds.
     """
-    agreed, _ = class_leaks(docs, benchmark, id_column, text_column, "item_id", "text", True)
+    key = row_key(id_column, text_column)
+    keyed = docs.select(key.alias("key"), F.col(text_column).alias("text"))
+    items = benchmark.select(F.xxhash64("text").alias("item_id"), "text")
+    agreed, _ = class_leaks(keyed, items, "key", "text", "item_id", "text", range(least_tokens, min(map(len, MASKS))))
     found = agreed.select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs[id_column] == found["_leak"], "left_anti")
+    return docs.join(found, key == found["_leak"], "left_anti")

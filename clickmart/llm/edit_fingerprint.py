@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickmart.llm.arrays import mix, pieces
+from clickmart.llm.decontamination import may_be_seeds
+from clickmart.llm.ids import numbered, whole
 from clickmart.operators.materialize import materialize
 
 SAMPLES = 32  # steps in each octave, one hexadecimal digit each
@@ -25,6 +27,7 @@ FIRST_OCTAVE = 5  # the first one covers the steps 0 to 31
 BANDS = 20  # in each of the last two octaves that a text fills
 BAND_SYMBOLS = 8
 LEAST = 0.8  # likeness of near texts
+FILTER_BITS = 25  # 4 MB: tells which keys may be those of a query
 PIECE_BYTES = 8 << 20  # of texts whose walks go on together
 END = "-"  # stands for a step after the end of a text
 
@@ -113,7 +116,7 @@ def fingerprint_texts(texts: list[str]) -> list[str]:
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_chars, fingerprint) for every row of ``docs``, of the whole text; a null text is empty.
 
-    Equal texts have equal fingerprints, the empty text the empty one. Rows are independent; other columns are not read.
+    Equal texts have equal fingerprints, the empty text the empty one. Ids keep their type. Rows are independent; other columns are not read.
     """
 
     def run(batches):
@@ -129,8 +132,9 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                     names=["doc_id", "n_chars", "fingerprint"],
                 )
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
+    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return narrow.mapInArrow(run, f"doc_id {kind}, n_chars long, fingerprint string")
 
 
 def band_places(octave: int) -> np.ndarray:
@@ -163,12 +167,19 @@ def band_keys(fingerprint: str) -> list[int]:
 _places: dict[int, np.ndarray] = {}
 
 
-def with_keys(prints: DataFrame) -> DataFrame:
-    """``prints`` (doc_id, fingerprint) with the array ``keys``."""
+def with_keys(prints: DataFrame, filter_=None) -> DataFrame:
+    """``prints`` (doc_id, fingerprint) with the array ``keys``; with a filter only those whose leading bits are set there."""
+
+    def passing(keys: list[int]) -> list[int]:
+        at = np.array(keys, np.int64).view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        kept = filter_.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+        return [k for k, keep in zip(keys, kept.tolist(), strict=True) if keep]
 
     def run(batches):
         for batch in batches:
             keys = [band_keys(f or "") for f in batch.column("fingerprint").to_pylist()]
+            if filter_ is not None:
+                keys = [passing(k) for k in keys]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*batch.schema.names, "keys"])
 
     narrow = prints.select("doc_id", "fingerprint")
@@ -187,16 +198,18 @@ def near_classes(queries: DataFrame, prints: DataFrame, least: float = LEAST) ->
     """(asked, fingerprint, n, least_id, likeness) of distinct fingerprints that are alike by ``least`` or more and share a band.
 
     Both sides have (doc_id, fingerprint). n and least_id are the number of rows of ``prints`` with the fingerprint, and their smallest id. Rows
-    with equal fingerprints are added up where they are found, so copies are not paired one by one. Empty fingerprints match nothing. The
-    queries' keys are written first: Spark sees their size and brings them to the prints while they are few.
+    with equal fingerprints are added up where they are found, so copies are not paired one by one. Empty fingerprints match nothing.
     """
     asked = with_keys(queries.where("fingerprint <> ''").select(F.lit(None).cast("long").alias("doc_id"), "fingerprint").distinct())
-    asked = materialize(asked.select(F.col("fingerprint").alias("asked"), F.col("keys").alias("asked_keys"), F.explode("keys").alias("key")))
-    held = with_keys(prints.where("fingerprint <> ''"))
-    held = held.select("doc_id", "fingerprint", "keys", F.explode("keys").alias("key"))
-    # A text that shares several bands with a query counts by the first of them.
-    met = held.join(asked, "key").where(F.col("key") == F.get(F.array_intersect("keys", "asked_keys"), 0))
-    classes = met.groupBy("asked", "fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
+    asked = materialize(asked.select(F.xxhash64("fingerprint").alias("asked_id"), F.col("fingerprint").alias("asked"), "keys"))
+    asked_keys = materialize(asked.select("asked_id", F.explode("keys").alias("key")))
+    # Of fixed size, so it can be sent to all tasks; what it lets through besides, the join takes out.
+    filter_ = prints.sparkSession.sparkContext.broadcast(may_be_seeds(asked_keys.select(F.col("key").alias("hash")), FILTER_BITS))
+    held = with_keys(prints.where("fingerprint <> ''"), filter_).select("doc_id", "fingerprint", F.explode("keys").alias("key"))
+    # Rows with the same fingerprint have the same keys, so each key that a class shares with a query counts them all.
+    met = held.join(asked_keys, "key").groupBy("asked_id", "fingerprint", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
+    classes = met.groupBy("asked_id", "fingerprint").agg(F.max("n").alias("n"), F.min("least_id").alias("least_id"))
+    classes = classes.join(asked.select("asked_id", "asked"), "asked_id").select("asked", "fingerprint", "n", "least_id")
     kinds = T.StructType([*classes.schema.fields, T.StructField("likeness", T.DoubleType())])
     return classes.mapInArrow(likenesses, kinds).where(F.col("likeness") >= least)
 
@@ -282,9 +295,14 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text_column: str
     document; the last document is followed by the first one. Ids are dealt into ranges by approximate quantiles, some for each
     shuffle partition; a range is read in order, and the first row of the next one is put at its end. Null ids come
     last; rows with the same id follow each other by a hash of their text. A single row is followed by itself. Null texts
-    are empty. Other columns are not read.
+    are empty. Ids that are no whole numbers go by their own order. Other columns are not read.
     """
     spark = docs.sparkSession
+    if not whole(docs, id_column):
+        placed, ids = numbered(docs.select(id_column, F.col(text_column).alias("text")), id_column, "id")
+        found = edited_likeness(placed, "id", "text").withColumnRenamed("doc_id", "_number")
+        named = found.join(ids.select(F.col("id").alias("_number"), F.col("_id").alias("doc_id")), "_number", "left")
+        return named.select(*[part.split()[0] for part in RESULT.split(", ")])
     docs = docs.select(
         F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )

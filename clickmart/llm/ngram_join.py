@@ -16,9 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmart.llm.arrays import mix, pieces, shingles, words
 from clickmart.llm.graph import components
+from clickmart.llm.ids import numbered, row_key, whole
 from clickmart.operators.materialize import materialize
 
 SKETCH_BITS = 21
@@ -357,8 +359,15 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str
     100 * |both| >= percent * |either|; ``component_id`` is the smallest id reachable by links.
     Sets are compared by 64-bit hashes of their runs. Rows that share an id count as one document. A null id links with nothing
     by itself: it gets the component of the documents with the same set, or null if there are none.
-    Other columns of ``docs`` are not read, whatever their names. An empty table gives an empty result.
+    Ids that are no whole numbers go by their own order and keep their type. Other columns of ``docs`` are not read, whatever
+    their names. An empty table gives an empty result.
     """
+    if not whole(docs, id_column):
+        placed, ids = numbered(docs.select(id_column, F.col(text_column).alias("text")), id_column, "id")
+        found = ngram_jaccard(placed, k, percent, "id", "text")
+        for name in ("doc_id", "component_id"):
+            found = found.withColumnRenamed(name, "id").join(ids, "id", "left").drop("id").withColumnRenamed("_id", name)
+        return found.select("doc_id", "n_shingles", "component_id")
     narrow = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     members, edges = links(narrow, k, percent)
     labels = components(edges)
@@ -370,10 +379,26 @@ def ngram_jaccard(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` without all but one document of each group of near copies; the smallest id stays.
+    """One row of each group of near copies, and all rows without any word; all columns stay.
 
-    Rows with a null id and rows without any word stay. Of rows that share the id that stays, all stay.
+    Rows are told apart by a hash of id and text, so ids may be null or repeat: rows that share an id and not the text go by their
+    texts. Of a group the row with the smallest id stays, null last, and of several with that id the one with the least hash; of
+    rows that share id and text one stays, the least by all columns that can be compared.
     """
-    groups = ngram_jaccard(docs, k, percent, id_column, text_column)
-    gone = groups.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")
+    key = row_key(id_column, text_column)
+    keyed = docs.select(key.alias("key"), F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    groups = ngram_jaccard(keyed, k, percent, "key").where("n_shingles > 0")
+    groups = groups.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    named = materialize(groups.join(keyed.groupBy("key").agg(F.min("id").alias("id")), "key"))
+    first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    # Only keys with something to be done: groups of one row are in neither table.
+    judged = named.join(first.select("component", F.col("first.key").alias("stays")), "component")
+    gone = materialize(judged.where("key <> stays OR rows > 1").select(F.col("key").alias("_key"), (F.col("key") == F.col("stays")).alias("_stays")))
+    plain = docs.join(gone.select("_key"), key == gone["_key"], "left_anti")
+    again = gone.where("_stays").select("_key")
+    if again.isEmpty():
+        return plain
+    ordered = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    several = docs.join(again, key == again["_key"]).groupBy("_key").agg(F.min_by(F.struct(*docs.columns), F.struct(*[F.col(c) for c in ordered])).alias("_row"))
+    return plain.unionByName(several.select("_row.*"))
+

@@ -178,7 +178,7 @@ def personal_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """(doc_id, spans) for every row of ``docs``; spans is an array of (start, kind, end) in code points, end exclusive.
 
     Sorted by start and then by kind as in KINDS. Whole texts are read; a null text is empty and has none. Spans of
-    different kinds may overlap. Rows are independent: repeated rows, null ids and other columns change nothing; an empty
+    different kinds may overlap. Ids keep their type. Rows are independent: repeated rows, null ids and other columns change nothing; an empty
     table gives an empty result.
     """
 
@@ -192,8 +192,9 @@ def personal_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(spans, kind)], names=["doc_id", "spans"])
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, spans array<struct<start:long,kind:string,end:long>>")
+    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return narrow.mapInArrow(run, f"doc_id {kind}, spans array<struct<start:long,kind:string,end:long>>")
 
 
 def redact_text(text: str) -> str:
@@ -209,8 +210,10 @@ def redact_text(text: str) -> str:
 def redact(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data replaced; all rows and columns stay. Null texts stay null.
 
-    ``length_column``, where there is one of that name, gets the new length in code points of rows that changed.
+    ``length_column``, where there is one of that name, gets the new length in code points of rows that changed. A column of that name
+    that holds no whole numbers is left alone.
     """
+    counts = length_column in docs.columns and isinstance(docs.schema[length_column].dataType, T.IntegralType)
 
     def run(batches):
         for batch in batches:
@@ -220,7 +223,7 @@ def redact(docs: DataFrame, text_column: str = "text", length_column: str | None
                 clean = [None if t is None else redact_text(t) for t in texts]
                 columns = piece.columns
                 columns[at] = pa.array(clean, piece.schema.field(at).type)
-                if length_column in piece.schema.names:
+                if counts:
                     n = piece.schema.get_field_index(length_column)
                     old = columns[n].to_pylist()
                     new = [o if a == b else len(b) for a, b, o in zip(texts, clean, old, strict=True)]

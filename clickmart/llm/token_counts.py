@@ -154,7 +154,7 @@ def token_counts(
 
     ``tokenizer`` is the path of a byte-level BPE file on every worker. No begin or end tokens are added; special strings within a text are one
     token each. A null text is empty and has 0 bytes and tokens. Texts of any length are counted whole; the
-    work is done in slices of about 256 KB of texts. Rows are independent, so repeated rows, null ids and other columns
+    work is done in slices of about 256 KB of texts. Ids keep their type. Rows are independent, so repeated rows, null ids and other columns
     change nothing, and an empty table gives an empty result.
     """
 
@@ -174,5 +174,6 @@ def token_counts(
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 
-    narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    kind = narrow.schema["doc_id"].dataType.simpleString()
+    return narrow.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
