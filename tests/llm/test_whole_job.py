@@ -8,7 +8,16 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickmart.llm import decontamination, language_id, queries
+import corpus_pipeline
+from clickmart.llm import (
+    decontamination,
+    edit_fingerprint,
+    language_id,
+    ngram_join,
+    pii,
+    queries,
+    token_counts,
+)
 
 
 @pytest.mark.parametrize("away", ["de", "en"])
@@ -60,7 +69,9 @@ def test_short_items_and_scripts_without_spaces(spark, tmp_path):
     found = {(r["doc_id"], r["item_id"]) for r in queries.op2_decontamination(spark, str(tmp_path)).collect()}
     assert found == {(1, 1), (2, 2), (3, 3), (3, 5), (4, 4), (5, 8)}
     kept = decontamination.decontaminate(docs, queries.table(spark, str(tmp_path), "benchmark")).collect()
-    assert {r["doc_id"] for r in kept} == {6, 7, 8}
+    assert {r["doc_id"] for r in kept} == {1, 6, 7, 8}, "an item of one or two tokens takes nothing"
+    strict = decontamination.decontaminate(docs, queries.table(spark, str(tmp_path), "benchmark"), least_tokens=1).collect()
+    assert {r["doc_id"] for r in strict} == {6, 7, 8}
 
 
 def test_repeated_ids_bring_one_text_each(spark, data):
@@ -83,3 +94,50 @@ def test_given_labels_stay_and_nulls_are_filled(spark, data):
     kept = language_id.keep_known(changed).join(docs.select("doc_id", F.col("lang").alias("truth")), "doc_id").collect()
     assert kept and all(r["lang"] is not None for r in kept)
     assert sum(r["lang"] == r["truth"] for r in kept) >= 0.97 * len(kept)
+
+
+SENTENCE = "the quick brown fox jumps over the lazy dog while nine grey cats watch from a warm wall"
+
+
+def test_stages_go_by_rows_and_not_by_ids(spark):
+    other = "an altogether different text that nobody else has written down so far in this table"
+    rows = [(None, SENTENCE, [1])] * 4 + [(5, other, [2]), (5, SENTENCE, [3]), (6, "", [4]), (6, "", [4]), (7, None, [5]), (8, other, [6]), (8, other, [6])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more array<int>").repartition(3)
+    kept = sorted(map(tuple, ngram_join.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(5, other, [2]), (5, SENTENCE, [3]), (6, "", [4]), (6, "", [4]), (7, None, [5])], key=str)
+    assert ngram_join.keep_one(docs.where("doc_id is null")).collect() == [docs.where("doc_id is null").first()]
+    items = spark.createDataFrame([("q", other)], "item_id string, text string")
+    clean = decontamination.decontaminate(docs, items).collect()
+    assert sorted(map(tuple, clean), key=str) == sorted([r for r in rows if r[1] != other], key=str)
+
+
+def test_ids_may_be_text(spark, data):
+    docs = queries.table(spark, data, "documents").where("length(text) < 3000")
+    named = docs.withColumn("doc_id", F.format_string("doc-%05d", "doc_id"))
+    benchmark = queries.table(spark, data, "benchmark")
+    text_items = benchmark.withColumn("item_id", F.format_string("item-%05d", "item_id"))
+    operators = [
+        lambda d: token_counts.token_counts(d, queries.tokenizer_path()),
+        pii.personal_spans,
+        edit_fingerprint.fingerprints,
+        edit_fingerprint.edited_likeness,
+        lambda d: ngram_join.ngram_jaccard(d, 4, 85),
+        lambda d: decontamination.leaks(d, benchmark),
+    ]
+    for operator in operators:
+        found, by_name = operator(docs), operator(named)
+        assert by_name.columns == found.columns and by_name.schema["doc_id"].dataType.simpleString() == "string"
+        ids = [c for c in ("doc_id", "component_id") if c in found.columns]
+        wanted = found.withColumns({c: F.format_string("doc-%05d", c) for c in ids})
+        assert sorted(map(str, by_name.collect())) == sorted(map(str, wanted.collect()))
+    pairs = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, benchmark).collect()}
+    by_text = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, text_items).collect()}
+    assert pairs and by_text == {(d, f"item-{i:05d}") for d, i in pairs}
+
+
+def test_pipeline_takes_text_ids(spark, data, tmp_path):
+    docs = queries.table(spark, data, "documents")
+    docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")).withColumn("n_chars", F.lit("many")).write.parquet(f"{tmp_path}/documents.parquet")
+    queries.table(spark, data, "benchmark").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert 0.7 * docs.count() < len(found) < docs.count() and all(i.startswith("d") for i in found)
