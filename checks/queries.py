@@ -16,7 +16,7 @@ from clickmart.operators import (
     check_unique,
     insert_ignore,
     lead_by_key,
-    row_counts,
+    observed,
     upsert,
 )
 from clickmart.operators.materialize import checkpoint_root
@@ -769,16 +769,24 @@ def strongest_recommendations(i: Inputs) -> DataFrame:
 
 @query
 def row_count_report(i: Inputs) -> DataFrame:
-    return row_counts(
-        {
-            "combined_events": i.events,
-            "customer_360": i.profile,
-            "user_segments": i.segments,
-            "category_recommendations": i.category_recs,
-            "daily_metrics": marts.daily_metrics(i.events),
-            "product_catalog": marts.product_catalog(i.events, AS_OF),
-        }
-    )
+    """Rows of some tables, counted while they are written; each is made of those written before it."""
+    counts = []
+
+    def save(name: str, df: DataFrame) -> DataFrame:
+        rows, seen = observed(df)
+        path = i.scratch(name)
+        rows.write.parquet(path)
+        counts.append((name, seen.get["row_count"]))
+        return i.spark.read.schema(df.schema).parquet(path)
+
+    events = save("combined_events", i.events)
+    profile = save("customer_360", i.profile)
+    save("user_segments", profiles.user_segments(profile))
+    top = category_recs.category_top_products(events)
+    save("category_recommendations", category_recs.recommend_by_category(profile, top, AS_OF))
+    save("daily_metrics", marts.daily_metrics(events))
+    save("product_catalog", marts.product_catalog(events, AS_OF))
+    return i.spark.createDataFrame(counts, "table_name string, row_count long")
 
 
 @query

@@ -7,12 +7,12 @@ from clickmart.operators.quality import (
     check_reference,
     check_schema,
     check_unique,
+    observed,
     partition_files,
     row_counts,
     sample_rows,
 )
 from clickmart.operators.ranking import best_value, collect_ranked, top_n, top_n_tree
-from clickmart.operators.skew import heavy_keys
 from clickmart.operators.upsert import insert_ignore, upsert
 
 __all__ = [
@@ -24,11 +24,11 @@ __all__ = [
     "check_schema",
     "check_unique",
     "collect_ranked",
-    "heavy_keys",
     "insert_ignore",
     "lead_by_key",
     "materialize",
     "number_rows",
+    "observed",
     "partition_files",
     "row_counts",
     "sample_rows",

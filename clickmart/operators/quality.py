@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,16 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and what will be seen when it is written: ``row_count`` and, by column, the NULLs in ``nulls``.
+
+    Counts while the rows go by, so nothing is read for them.
+    """
+    seen = Observation()
+    nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+    return df.observe(seen, F.count(F.lit(1)).alias("row_count"), F.struct(*nulls).alias("nulls")), seen
+
+
 def check_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Columns that are missing, unexpected or of another type. Empty when the schema fits."""
     actual = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmart.operators.quality import check_unique
+from clickmart.operators.quality import check_unique, observed
 from clickmart.operators.upsert import upsert
 from clickmart.plans import marts, profiles, recommend, similarity
 from clickmart.plans.category_recs import (
@@ -71,10 +71,8 @@ def build_warehouse(
     counted: list[tuple[str, int, dict[str, int]]] = []
 
     def save(name: str, df: DataFrame, partition: str | None = None) -> DataFrame:
-        seen = Observation()
-        nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-        observed = df.observe(seen, F.count(F.lit(1)).alias("row_count"), F.struct(*nulls).alias("nulls"))
-        version = write_version(observed, f"{out}/{name}", partition)
+        rows, seen = observed(df)
+        version = write_version(rows, f"{out}/{name}", partition)
         counted.append((name, seen.get["row_count"], seen.get["nulls"].asDict()))
         return spark.read.schema(df.schema).parquet(f"{out}/{name}/version={version}")
 

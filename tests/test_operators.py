@@ -60,13 +60,6 @@ def test_insert_ignore(spark):
     assert rows(op.insert_ignore(target, new, ["id"])) == [(1, "a", "x"), (2, "b", "y")]
 
 
-def test_heavy_keys(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"))
-    assert rows(op.heavy_keys(df, ["k"], share=0.1, min_rows=1)) == [(0,)]
-    assert op.heavy_keys(df, ["k"], share=0.1, min_rows=500).isEmpty()
-    assert op.heavy_keys(df, ["k"], share=0.5, min_rows=1).isEmpty()
-
-
 def test_lead_by_key_equals_brute_force(spark):
     draw = random.Random(7)
     data = []
