@@ -715,6 +715,9 @@ def _texts() -> dict[str, str]:
                    coalesce(days_since_last_purchase, 0) AS days_since_last_purchase,
                    {STAMP} AS updated_at FROM seg_export""",
         ),
+        "event_parameters": """
+            SELECT event_id, replace(replace(props, ': ', ':'), ', ', ',') AS props, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+            FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 = 1""",
         "judged_messages": sql(
             "ev",
             """SELECT CASE WHEN event_id % 50 = 0 THEN 'not valid JSON' WHEN event_id % 50 = 1 THEN 'no user' ELSE 'accepted' END

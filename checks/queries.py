@@ -10,7 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmart.functions import day_diff, minute_diff, safe_float, safe_int, segment
+from clickmart.functions import (
+    day_diff,
+    minute_diff,
+    parameter,
+    safe_float,
+    safe_int,
+    segment,
+    with_json,
+    with_variant,
+)
 from clickmart.operators import (
     check_not_null,
     check_unique,
@@ -258,6 +267,16 @@ def csv_dumps(i: Inputs) -> DataFrame:
     return valid_events(events).select(*EVENT_COLUMNS)
 
 
+@query
+def event_parameters(i: Inputs) -> DataFrame:
+    """The JSON of the events stored as VARIANT, filtered by a value inside, and written back as JSON."""
+    stored = i.scratch("parameters")
+    given = i.spark.read.parquet(f"{i.directory}/events.parquet").select("event_id", "props")
+    with_variant(given, "props").write.parquet(stored)
+    found = i.spark.read.parquet(stored).withColumn("k", parameter("props", "$.k", "bigint")).where("k % 3 = 1")
+    return with_json(found, "props")
+
+
 @query
 def lake_view_partition(i: Inputs) -> DataFrame:
     lake = i.scratch("lake")

@@ -15,6 +15,7 @@ from clickmart.functions.expressions import (
     strength,
 )
 from clickmart.functions.sql_helpers import register_helpers
+from clickmart.functions.variants import parameter, with_json, with_variant
 
 __all__ = [
     "cents",
@@ -26,10 +27,13 @@ __all__ = [
     "money_avg",
     "money_sum",
     "pad_id",
+    "parameter",
     "pick",
     "register_helpers",
     "safe_float",
     "safe_int",
     "segment",
     "strength",
+    "with_json",
+    "with_variant",
 ]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from conftest import rows
 from pyspark.sql import functions as F
 
 from clickmart import functions as fn
@@ -103,3 +104,17 @@ def test_sql_helpers(spark):
         "whole_number('x') d, whole_number('1d') e"
     ).first()
     assert tuple(row) == ("Premium", 2, 4, 0, 0)
+
+
+def test_parameters_as_variant(spark, tmp_path):
+    from clickmart.functions import parameter, with_json, with_variant
+
+    texts = [("a", '{"n": 10, "deep": {"x": [1, 2]}, "name": "als"}'), ("b", '{"n": "many"}'), ("c", "no json"), ("d", None), ("e", "[1]")]
+    models = spark.createDataFrame(texts, "model string, parameters string")
+    with_variant(models, "parameters").write.parquet(str(tmp_path / "models"))
+    stored = spark.read.parquet(str(tmp_path / "models"))
+    assert stored.schema["parameters"].dataType.simpleString() == "variant"
+    assert rows(stored.where(parameter("parameters", "$.n", "int") == 10).select("model")) == [("a",)]
+    assert rows(stored.select("model", parameter("parameters", "$.deep.x[1]", "int"))) == [("a", 2), ("b", None), ("c", None), ("d", None), ("e", None)]
+    back = {r["model"]: r["parameters"] for r in with_json(stored, "parameters").collect()}
+    assert back == {"a": '{"deep":{"x":[1,2]},"n":10,"name":"als"}', "b": '{"n":"many"}', "c": None, "d": None, "e": "[1]"}
