@@ -24,7 +24,7 @@ from clickmart.operators.materialize import materialize
 
 SAMPLES = 32  # steps in each octave, one hexadecimal digit each
 FIRST_OCTAVE = 5  # the first one covers the steps 0 to 31
-BANDS = 20  # in each of the last two octaves that a text fills
+BANDS = 12  # in each of the last two octaves that a text fills
 BAND_SYMBOLS = 8
 LEAST = 0.8  # likeness of near texts
 FILTER_BITS = 25  # 4 MB: tells which keys may be those of a query
@@ -147,7 +147,7 @@ def band_keys(fingerprint: str) -> list[int]:
     """A 64-bit key for every band of the last two octaves that a text fills; of a text that fills none, its fingerprint is one band.
 
     Two texts of likeness LEAST, with as many differences in each octave, agree in a band with a chance of 0.8 ** 8, and in one of
-    twenty with 0.97.
+    two dozen with 0.99.
     """
     full = len(fingerprint) // SAMPLES
     while full and END in fingerprint[(full - 1) * SAMPLES : full * SAMPLES]:
@@ -202,13 +202,15 @@ def near_classes(queries: DataFrame, prints: DataFrame, least: float = LEAST) ->
     """
     asked = with_keys(queries.where("fingerprint <> ''").select(F.lit(None).cast("long").alias("doc_id"), "fingerprint").distinct())
     asked = materialize(asked.select(F.xxhash64("fingerprint").alias("asked_id"), F.col("fingerprint").alias("asked"), "keys"))
-    asked_keys = materialize(asked.select("asked_id", F.explode("keys").alias("key")))
+    asked_keys = materialize(asked.select("asked_id", F.col("keys").alias("asked_keys"), F.explode("keys").alias("asked_key")))
     # Of fixed size, so it can be sent to all tasks; what it lets through besides, the join takes out.
-    filter_ = prints.sparkSession.sparkContext.broadcast(may_be_seeds(asked_keys.select(F.col("key").alias("hash")), FILTER_BITS))
-    held = with_keys(prints.where("fingerprint <> ''"), filter_).select("doc_id", "fingerprint", F.explode("keys").alias("key"))
-    # Rows with the same fingerprint have the same keys, so each key that a class shares with a query counts them all.
-    met = held.join(asked_keys, "key").groupBy("asked_id", "fingerprint", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"))
-    classes = met.groupBy("asked_id", "fingerprint").agg(F.max("n").alias("n"), F.min("least_id").alias("least_id"))
+    filter_ = prints.sparkSession.sparkContext.broadcast(may_be_seeds(asked_keys.select(F.col("asked_key").alias("hash")), FILTER_BITS))
+    held = with_keys(prints.where("fingerprint <> ''"), filter_).where(F.size("keys") > 0)
+    held = held.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"))
+    held = held.select("*", F.explode("keys").alias("key"))
+    # Two texts that share several bands meet in the first of them alone.
+    first = F.get(F.array_intersect("keys", "asked_keys"), 0)
+    classes = held.join(asked_keys, (F.col("key") == F.col("asked_key")) & (F.col("key") == first))
     classes = classes.join(asked.select("asked_id", "asked"), "asked_id").select("asked", "fingerprint", "n", "least_id")
     kinds = T.StructType([*classes.schema.fields, T.StructField("likeness", T.DoubleType())])
     return classes.mapInArrow(likenesses, kinds).where(F.col("likeness") >= least)

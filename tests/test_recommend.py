@@ -281,6 +281,6 @@ def test_summaries_keep_users_and_products_without_recommendations(spark):
 def test_no_task_has_a_popular_product_to_itself(spark, monkeypatch):
     monkeypatch.setattr(similarity, "BLOCK_USERS", 50)
     users = spark.range(2000).select(F.col("id").alias("uid"), F.lit("hot").alias("product_id"), (F.col("id") % 7 + 1).alias("weight"), F.lit(9).alias("norm"))
-    met = similarity._meet(users, users.where("uid < 10")).withColumn("task", F.spark_partition_id())
+    met = similarity._meet_in_blocks(users, similarity._others(users.where("uid < 10")), ["product_id"]).withColumn("task", F.spark_partition_id())
     assert met.count() == 20_000
     assert met.groupBy("task").count().agg(F.max("count")).first()[0] < 20_000
