@@ -409,6 +409,7 @@ SIZED_BY = {
 
 def oracle() -> dict[str, str]:
     texts = _texts()
+    texts["sql_user_similarity"] = texts["user_similarity_vector"]
     for table, name in SIZED_BY.items():
         texts["warehouse_build"] += f"\nUNION ALL SELECT '{table}', (SELECT count(*) FROM ({texts[name]}))"
     return texts
@@ -602,14 +603,6 @@ def _texts() -> dict[str, str]:
             "ev inter vec norm dots near",
             'SELECT v AS similar_user_id, score AS similarity_score, rn AS "rank" FROM near WHERE u = \'7\'',
         ),
-        "sql_user_similarity": sql(
-            "ev inter vec norm dots",
-            """SELECT '7' AS user_1, '9' AS user_2, coalesce((SELECT CAST(round(d.dot / sqrt(CAST(a.n AS DOUBLE) * b.n), 4) AS DOUBLE)
-                   FROM (SELECT sum(x.w * y.w) AS dot FROM vec x JOIN vec y USING (product_id)
-                         WHERE x.user_id = '7' AND y.user_id = '9') d,
-                        (SELECT sum(w * w) AS n FROM vec WHERE user_id = '7') a,
-                        (SELECT sum(w * w) AS n FROM vec WHERE user_id = '9') b), 0.0) AS similarity_score""",
-        ),
         "stored_views": sql(
             "ev behavior popular",
             """SELECT 'VW_PRODUCT_POPULARITY' AS view_name, count(*) AS row_count, CAST(sum(purchase_count) AS BIGINT) AS total FROM popular

@@ -579,7 +579,8 @@ def sql_user_similarity(i: Inputs) -> DataFrame:
     out = i.scratch("warehouse")
     write_version(i.interactions, f"{out}/user_product_interactions")
     catalog.publish_functions(i.spark, out)
-    return i.spark.sql("SELECT '7' AS user_1, '9' AS user_2, user_similarity_of('7', '9') AS similarity_score")
+    i.co_buyers.select("user_1", "user_2").distinct().createOrReplaceTempView("co_buyers")
+    return i.spark.sql("SELECT user_1, user_2, user_similarity_of(user_1, user_2) AS similarity_score FROM co_buyers")
 
 
 @query
