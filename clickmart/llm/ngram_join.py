@@ -391,11 +391,11 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "d
     groups = groups.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
     named = materialize(groups.join(keyed.groupBy("key").agg(F.min("id").alias("id")), "key"))
     first = named.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
-    # Only keys with something to be done: groups of one row are in neither table.
     judged = named.join(first.select("component", F.col("first.key").alias("stays")), "component")
-    gone = materialize(judged.where("key <> stays OR rows > 1").select(F.col("key").alias("_key"), (F.col("key") == F.col("stays")).alias("_stays")))
-    plain = docs.join(gone.select("_key"), key == gone["_key"], "left_anti")
-    again = gone.where("_stays").select("_key")
+    # Only keys with something to be done. Not written, so that Spark plans the join with the texts alike at every size.
+    gone = judged.where("key <> stays OR rows > 1").select(F.col("key").alias("_key"))
+    again = judged.where("key = stays AND rows > 1").select(F.col("key").alias("_key"))
+    plain = docs.join(gone, key == gone["_key"], "left_anti")
     if again.isEmpty():
         return plain
     ordered = [f.name for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType)]
