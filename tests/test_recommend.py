@@ -284,3 +284,16 @@ def test_no_task_has_a_popular_product_to_itself(spark, monkeypatch):
     met = similarity._meet_in_blocks(users, similarity._others(users.where("uid < 10")), ["product_id"]).withColumn("task", F.spark_partition_id())
     assert met.count() == 20_000
     assert met.groupBy("task").count().agg(F.max("count")).first()[0] < 20_000
+
+
+def test_pairs_of_users_are_no_rows(spark, monkeypatch):
+    """Blocks meet, not users; a block of few users makes several groups and several blocks on the other side."""
+    made = []
+    single, sums = similarity._single, similarity._sum_dots
+    monkeypatch.setattr(similarity, "_single", lambda met: made.append(met) or single(met))
+    monkeypatch.setattr(similarity, "_sum_dots", lambda met: made.append(met) or sums(met))
+    draw = random.Random(4)
+    data = [(f"u{u:03d}", f"p{draw.randrange(30):02d}", "view", draw.randint(1, 4)) for u in range(300) for _ in range(5)]
+    for block in (1000, 20):
+        compare(similarity.similar_users(visits(spark, *data), 4, block=block), brute_similar(data, 4))
+    assert 0 < sum(met.count() for met in made) < 300
