@@ -72,12 +72,21 @@ def publish_functions(spark: SparkSession, out: str) -> list[str]:
         weights = (
             f"(SELECT user_id, product_id, sum(CASE interaction_type {kinds} END) AS w FROM {source} GROUP BY user_id, product_id)"
         )
-        norm = f"(SELECT sum(w * w) FROM {weights} WHERE user_id = user_similarity_of."
+        # One row per user: both vectors are looked up by their user, so no pair is made that was not asked for.
+        vectors = f"(SELECT user_id, sum(w * w) AS norm, collect_list(named_struct('p', product_id, 'w', w)) AS entries FROM {weights} GROUP BY user_id)"
+        # In the entries of both, sorted by product, a product that both have stands beside itself.
+        begin = "named_struct('p', CAST(NULL AS STRING), 'w', 0L, 'dot', 0L)"
+        step = "named_struct('p', e.p, 'w', e.w, 'dot', s.dot + if(s.p = e.p, coalesce(s.w * e.w, 0L), 0L))"
         spark.sql(
-            "CREATE OR REPLACE TEMPORARY FUNCTION user_similarity_of(one STRING, other STRING) RETURNS DOUBLE RETURN coalesce(round("
-            f"(SELECT sum(x.w * y.w) FROM {weights} x JOIN {weights} y ON x.product_id = y.product_id "
-            "WHERE x.user_id = user_similarity_of.one AND y.user_id = user_similarity_of.other) "
-            f"/ sqrt(cast({norm}one) AS DOUBLE) * {norm}other)), 4), 0.0)"
+            "CREATE OR REPLACE TEMPORARY FUNCTION cosine_of(entries ARRAY<STRUCT<p: STRING, w: BIGINT>>, norm_1 BIGINT, norm_2 BIGINT) RETURNS DOUBLE "
+            f"RETURN coalesce(round(aggregate(array_sort(entries), {begin}, (s, e) -> {step}, s -> s.dot) / sqrt(cast(norm_1 AS DOUBLE) * norm_2), 4), 0.0)"
+        )
+        spark.sql(
+            "CREATE OR REPLACE TEMPORARY FUNCTION user_similarity_of(one STRING, other STRING) RETURNS DOUBLE RETURN cosine_of(concat("
+            f"(SELECT any_value(entries) FROM {vectors} WHERE user_id = user_similarity_of.one), "
+            f"(SELECT any_value(entries) FROM {vectors} WHERE user_id = user_similarity_of.other)), "
+            f"(SELECT any_value(norm) FROM {vectors} WHERE user_id = user_similarity_of.one), "
+            f"(SELECT any_value(norm) FROM {vectors} WHERE user_id = user_similarity_of.other))"
         )
         made.append("user_similarity_of")
     return made

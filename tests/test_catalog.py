@@ -75,3 +75,11 @@ def test_two_users_compared_from_sql(spark, built):
 
 def test_what_is_not_built_has_no_view_or_function(spark, tmp_path):
     assert catalog.publish_views(spark, str(tmp_path)) == [] and catalog.publish_functions(spark, str(tmp_path)) == []
+
+
+def test_function_of_two_users_makes_no_other_pairs(spark, built):
+    out, _ = built
+    catalog.publish_functions(spark, out)
+    spark.sql("SELECT '1' AS a, '2' AS b").createOrReplaceTempView("one_pair")
+    plan = spark.sql("SELECT user_similarity_of(a, b) FROM one_pair")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in plan and "Join Inner" not in plan
