@@ -7,23 +7,42 @@ from pyspark.sql import functions as F
 
 from clickmart.operators.materialize import materialize
 
+# Rows of a range: what a task sorts at a time, whatever the input.
+ROWS_OF_RANGE = 100_000
+
+
+def range_count(df: DataFrame) -> int:
+    """As many ranges as there are shuffle partitions, or more, so that one has about ``ROWS_OF_RANGE`` rows. Counts ``df``."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // ROWS_OF_RANGE))
+
 
 def lead_by_key(
-    df: DataFrame, key: str, order: list[str], value: str, alias: str, ranges: int | None = None
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    value: str,
+    alias: str,
+    ranges: int | None = None,
+    keep_range: bool = False,
 ) -> DataFrame:
     """``df`` with the ``value`` of the next row of the same ``key`` along ``order``.
 
-    All rows are sorted by key and order into ranges, as many as there are shuffle partitions unless
-    ``ranges`` says otherwise; a key of any size spreads over as many of them as it needs. Within a
+    All rows are sorted by key and order into ranges, as many as there are shuffle partitions, or more so that
+    a range has about ``ROWS_OF_RANGE`` rows, unless ``ranges`` says otherwise; a key of any size spreads over as many of them as it needs. Within a
     range the next row stands beside; the last row of a key in a range takes the first value of the key's next range.
-    ``key`` must not be NULL.
+    ``key`` must not be NULL. With ``keep_range`` the number of the range stays as ``_range``; the result is partitioned
+    by it, so groups within a range need no exchange.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [*df.columns, "_range"] if keep_range else df.columns
+    if ranges is None:
+        df = materialize(df)
+        ranges = range_count(df)
     # Written out because the range number is a property of the task that produced the row: two
     # readers must see the same one.
     cut = materialize(
         df.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id())
     )
+    cut = cut.repartition(ranges, "_range")
     inside = Window.partitionBy(key, "_range").orderBy(*order)
     ahead = Window.partitionBy(key).orderBy("_range")
     heads = cut.groupBy(key, "_range").agg(
@@ -39,7 +58,7 @@ def lead_by_key(
         .withColumn("_is_last", F.lead(F.lit(True)).over(inside).isNull())
         .join(F.broadcast(follow), [key, "_range"], "left")
         .withColumn(alias, F.when(F.col("_is_last"), F.col("_next_head")).otherwise(F.col("_inside")))
-        .select(*df.columns, alias)
+        .select(*columns, alias)
     )
 
 

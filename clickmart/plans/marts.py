@@ -16,7 +16,8 @@ from clickmart.functions import (
     money_avg,
     money_sum,
 )
-from clickmart.operators.ordered import lead_by_key
+from clickmart.operators.materialize import materialize
+from clickmart.operators.ordered import lead_by_key, range_count
 from clickmart.schema import to_canonical
 
 
@@ -250,13 +251,21 @@ def product_affinity(events: DataFrame, ranges: int | None = None) -> DataFrame:
     bought = events.where(is_type("purchase") & F.col("product_id").isNotNull()).select(
         buyer.alias("buyer"), *order
     )
-    steps = lead_by_key(bought, "buyer", order, "product_id", "product_2", ranges)
-    return (
+    bought = materialize(bought)
+    ranges = ranges or range_count(bought)
+    steps = lead_by_key(bought, "buyer", order, "product_id", "product_2", ranges, keep_range=True)
+    # Counted in each range first: a frequent pair has one row a range, and the counts are dealt over as many tasks as there are ranges.
+    counts = (
         steps.withColumnRenamed("product_id", "product_1")
         .where(F.col("product_2").isNotNull() & (F.col("product_1") != F.col("product_2")))
-        .groupBy("product_1", "product_2")
+        .groupBy("_range", "product_1", "product_2")
         .agg(F.count("*").alias("frequency"))
     )
+    return (
+        counts.repartition(ranges, "product_1", "product_2")
+        .groupBy("product_1", "product_2")
+        .agg(F.sum("frequency").alias("frequency"))
+    )
 
 
 def product_catalog(events: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -219,3 +219,16 @@ def test_product_features_take_the_rating_as_given(spark):
     assert (found["p2"].avg_rating, found["p2"].popularity_score) == (None, 0.0)
     unsold = recommend.product_features(catalogue, events.where("event_type = 'view'")).collect()
     assert {r.popularity_score for r in unsold} == {0.0}
+
+
+def test_product_affinity_has_tasks_by_rows(spark, monkeypatch):
+    """More rows are more tasks of the same size, for the steps and for their counts."""
+    monkeypatch.setattr("clickmart.operators.ordered.ROWS_OF_RANGE", 50)
+    bought = spark.range(1000).selectExpr(
+        "concat('u', id % 7) AS user_id", "'purchase' AS event_type", "concat('p', id * 31 % 90) AS product_id",
+        "timestamp'2024-01-01' AS event_time", "id AS event_id",
+    )
+    plan = marts.product_affinity(bought)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and ", 20), REPARTITION_BY_NUM" in plan
+    monkeypatch.undo()
+    assert rows(marts.product_affinity(bought, ranges=20)) == rows(marts.product_affinity(bought, ranges=1))
