@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from clickmart.operators import blocks
 from clickmart.plans import recommend, similarity
 
 FIELDS = "user_id string, product_id string, interaction_type string, interaction_strength int"
@@ -179,6 +180,54 @@ def test_collaborative(spark):
     assert [r.product_id for r in every.orderBy("rank").collect()] == ["q", "p"]
 
 
+@pytest.mark.parametrize("limits", [None, (300, 40, 90), (50, 1, 1000)])
+def test_collaborative_equals_brute_force(spark, limits, monkeypatch):
+    """Only the best of a user leave the tasks, however many groups, blocks and parts there are; absent products and users count as before."""
+    if limits:
+        for name, value in zip(["GROUP_ENTRIES", "BLOCK_ENTRIES", "PARTNER_ENTRIES"], limits, strict=True):
+            monkeypatch.setattr(blocks, name, value)
+    made = []
+    top = recommend.top_n
+    monkeypatch.setattr(recommend, "top_n", lambda df, *args: made.append(df) or top(df, *args))
+    draw = random.Random(8)
+    kinds = ["view", "cart", "purchase"]
+    data = []
+    for _ in range(700):
+        kind = draw.randrange(3)
+        product = None if draw.random() < 0.03 else f"p{draw.randrange(40):02d}"
+        data.append((f"u{draw.randrange(40):02d}", product, kinds[kind], kind + 1))
+    near = [(f"u{u:02d}" if u < 45 else None, f"u{o:02d}", draw.choice([0.0, 0.25, 0.3333, 1.5])) for u in range(46) for o in draw.sample(range(48), 6)]
+    near.append(("u01", None, 1.0))
+    neighborhood = spark.createDataFrame(near, "user_id string, similar_user_id string, similarity_score double")
+    liked = {}
+    for user, product, _, strength in data:
+        total, n = liked.get((user, product), (0, 0))
+        liked[user, product] = total + strength, n + 1
+    for exclude_seen in (True, False):
+        sums = {}
+        for user, other, units in ((u, o, round(s * 10000)) for u, o, s in near):
+            for (who, product), (strength, n) in liked.items():
+                if who == other:
+                    total, rows_of = sums.get((user, product), (0, 0))
+                    sums[user, product] = total + units * strength, rows_of + n
+        expected = {}
+        for (user, product), (total, n) in sums.items():
+            if not exclude_seen or product is None or user is None or (user, product) not in liked:
+                expected.setdefault(user, []).append((-math.floor((2 * total + n) / (2 * n)), product or "", product))
+        expected = {(u, i + 1, p, -s / 10000) for u, found in expected.items() for i, (s, _, p) in enumerate(sorted(found)[:7])}
+        found = recommend.collaborative(visits(spark, *data), 7, exclude_seen=exclude_seen, neighborhood=neighborhood)
+        assert {(r["user_id"], r["rank"], r["product_id"], r["recommendation_score"]) for r in found.collect()} == expected
+        parts = -(-len(liked) // limits[2]) if limits else 1
+        assert made.pop().count() <= 46 * 7 * parts < len(sums) * (3 if parts > 1 else 1)
+
+
+def test_collaborative_of_nobody(spark):
+    nobody = visits(spark, ("a", "p", "view", 1)).where("user_id = 'b'")
+    assert recommend.collaborative(nobody).collect() == []
+    alone = visits(spark, ("a", "p", "view", 1))
+    assert recommend.collaborative(alone, exclude_seen=False).collect() == []
+
+
 def test_content_and_hybrid(spark):
     products = spark.createDataFrame(
         [
