@@ -346,3 +346,34 @@ def test_pairs_of_users_are_no_rows(spark, monkeypatch):
     for block in (1000, 20):
         compare(similarity.similar_users(visits(spark, *data), 4, block=block), brute_similar(data, 4))
     assert 0 < sum(met.count() for met in made) < 300
+
+
+def test_events_are_exchanged_once(spark):
+    """Interactions are dealt by user, and what is added up by user and product needs no further exchange."""
+    events = spark.range(100).selectExpr("concat('u', id % 7) AS user_id", "concat('p', id % 5) AS product_id", "'view' AS event_type", "timestamp'2024-01-01' AS event_time")
+    vectors = similarity.user_vectors(similarity.interactions_from_events(events))
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(vectors.agg(F.sum("weight"), F.sum("interactions"))) == [(35, 35)]
+
+
+def test_entries_of_a_user_are_exchanged_as_one_row(spark):
+    everybody = spark.range(3000).selectExpr("id + 1 AS place", "id * 7 AS uid", "id + 5 AS norm", "explode(sequence(id % 3, id % 3 + 9)) AS column", "10 - 40 * (id % 100) AS weight")
+    assert everybody.mapInArrow(blocks._pieces, blocks.PIECES).count() < 3100
+    packed, mixed = (sorted(map(tuple, blocks.pack(df).collect())) for df in (everybody, everybody.repartition(5, "column", "uid")))
+    assert packed == mixed and [p[0] for p in packed] == [0, 1]
+    first = blocks.Block([dict(zip(blocks._PAYLOAD, packed[0][1:], strict=True))])
+    assert first.uids[:3].tolist() == [0, 7, 14] and first.norms[:3].tolist() == [5, 6, 7]
+    assert first.columns[10:20].tolist() == list(range(1, 11)) and first.weights[[0, 10, 20 * 10]].tolist() == [10, -30, -790]
+
+
+def test_vectors_do_not_travel_with_joins(spark, monkeypatch):
+    """Places are the side that is copied; entries stay in the order in which users pack well."""
+    made = []
+    pack = similarity.pack
+    monkeypatch.setattr(similarity, "pack", lambda df: made.append(df) or pack(df))
+    draw = random.Random(8)
+    data = [(f"u{u:03d}", f"p{p:02d}", "view", draw.randint(1, 4)) for u in range(500) for p in draw.sample(range(30), 8)]
+    compare(similarity.similar_users(visits(spark, *data), 2), brute_similar(data, 2))
+    entries = made[0].select("place", "uid", "norm", "column", "weight")
+    assert entries.mapInArrow(blocks._pieces, blocks.PIECES).count() < 600
