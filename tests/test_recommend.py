@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -377,3 +378,60 @@ def test_vectors_do_not_travel_with_joins(spark, monkeypatch):
     compare(similarity.similar_users(visits(spark, *data), 2), brute_similar(data, 2))
     entries = made[0].select("place", "uid", "norm", "column", "weight")
     assert entries.mapInArrow(blocks._pieces, blocks.PIECES).count() < 600
+
+
+def packed(vectors):
+    """``uid``, ``norm``, columns and weights of vectors as a block."""
+    columns, weights = (np.concatenate([v[i] for v in vectors]) for i in (2, 3))
+    steps = np.concatenate([np.diff(v[2], prepend=0) for v in vectors])
+    assert (blocks._thick(blocks._thin(steps), len(columns)) == steps).all()
+    of_vectors = np.array([v[0] for v in vectors]).tobytes(), blocks._narrow(np.array([v[1] for v in vectors])), blocks._narrow(np.array([len(v[2]) for v in vectors]))
+    return dict(zip(blocks._PAYLOAD, [*of_vectors, blocks._thin(steps), blocks._narrow(weights)], strict=True))
+
+
+@pytest.mark.parametrize("strong", [3, 100_000_000])
+def test_a_lane_keeps_the_best_partners(strong, monkeypatch):
+    """Few products at once, ties in and between blocks, and dot products that fit no key."""
+    monkeypatch.setattr(blocks, "WIDE_CELLS", 7)
+    draw = np.random.default_rng(6)
+    vectors = []
+    for uid in range(90):
+        columns = np.sort(draw.choice(70_000 if uid % 9 == 8 else 30, draw.integers(1, 6), replace=False))
+        weights = draw.integers(1, 3, len(columns)) * (strong if strong < 9 or uid % 2 else 1)
+        vectors.append((uid * 10, int((weights * weights).sum()), columns, weights))
+    lane = blocks.Lane([packed(vectors[a : a + 15]) for a in (15, 45)], 3)
+    for a in range(0, 90, 10):
+        lane.meet(*blocks.unpack(packed(vectors[a : a + 10])))
+    found = {}
+    for batch in lane.rows():
+        for row in batch.to_pylist():
+            found.setdefault(row["uid"], []).append((row["other"], row["dot"], row["norm"], row["other_norm"]))
+    for uid, norm, columns, weights in vectors[15:30] + vectors[45:60]:
+        mine = dict(zip(columns.tolist(), weights.tolist(), strict=True))
+        best = []
+        for other, other_norm, theirs, with_weights in vectors:
+            dot = sum(mine.get(c, 0) * w for c, w in zip(theirs.tolist(), with_weights.tolist(), strict=True))
+            if other != uid and dot:
+                best.append((-(float(dot) ** 2 / other_norm), other, dot, norm, other_norm))
+        assert found.get(uid, []) == [b[1:] for b in sorted(best)[:3]]
+
+
+def test_blocks_pass_each_lane_once(spark, monkeypatch):
+    """Rows with a block do not carry those of the lane along, and there is no product of partitions."""
+    monkeypatch.setattr(similarity, "LANE_WORK", 300)
+    made = []
+    single = similarity._single
+    monkeypatch.setattr(similarity, "_single", lambda met: made.append(met) or single(met))
+    draw = random.Random(9)
+    data = [(f"u{u:03d}", f"p{draw.randrange(60):02d}", "view", draw.randint(1, 2)) for u in range(200) for _ in range(4)]
+    found = similarity.similar_users(visits(spark, *data), 6)
+    compare(found, brute_similar(data, 6))
+    met = made[0].withColumn("lane", F.spark_partition_id())
+    passing = met.where("side = 1").groupBy("block").agg(F.count("*").alias("times"), F.count_distinct("lane").alias("lanes"))
+    lanes = made[0].rdd.getNumPartitions()
+    assert lanes > 1 and passing.where(f"times <> {lanes} OR lanes <> {lanes}").count() == 0
+    assert met.where("side = 0").count() == passing.count()
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    targets = spark.createDataFrame([(f"u{u:03d}",) for u in range(0, 200, 2)], "user_id string")
+    asked = similarity.similar_users(visits(spark, *data), 6, targets=targets)
+    compare(asked, [r for r in brute_similar(data, 6) if int(r[0][1:]) % 2 == 0])
