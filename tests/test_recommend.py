@@ -6,6 +6,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -435,3 +436,61 @@ def test_blocks_pass_each_lane_once(spark, monkeypatch):
     targets = spark.createDataFrame([(f"u{u:03d}",) for u in range(0, 200, 2)], "user_id string")
     asked = similarity.similar_users(visits(spark, *data), 6, targets=targets)
     compare(asked, [r for r in brute_similar(data, 6) if int(r[0][1:]) % 2 == 0])
+
+
+@pytest.mark.parametrize("strong", [3, 1_000_000_000_000])
+@pytest.mark.parametrize("exclude_own", [True, False])
+def test_what_neighbours_have_is_added_up_by_parts(strong, exclude_own, monkeypatch):
+    """Added up before a part is complete, ties between parts, sums that fit no key, targets and neighbours that nobody is."""
+    monkeypatch.setattr(blocks, "GROUP_ENTRIES", 20)
+    draw = random.Random(12)
+    has = {(f"u{u}", c): (draw.randint(1, 2) * strong, draw.randint(1, 2)) for u in range(20) for c in draw.sample(range(14), 6)}
+    near = [(t, f"u{o}", draw.randint(1, 3)) for t in [None, "x", *(f"u{u}" for u in range(12))] for o in draw.sample(range(24), 5)]
+    parts, half = 3, len(near) // 2
+    lists = [tuple(zip(*some, strict=True)) for some in (near[:half], near[half:])]
+    sums = blocks.Sums([pa.array(x[0], pa.string()) for x in lists], [pa.array(x[1], pa.string()) for x in lists], [np.array(x[2]) for x in lists], 4, exclude_own, parts)
+    rows_of = [pa.table({"block": [b] * len(some), "user": [u for u, _ in some], "column": [c for _, c in some], "weight": [has[e][0] for e in some], "rows": [has[e][1] for e in some]}) for b in (0, 1) if (some := [e for e in has if int(e[0][1:]) % 2 == b])]
+    blocks_of = [row for table in rows_of for row in blocks._pack_users(table, parts).to_pylist()]
+    users = {}
+    for row in sorted(blocks_of, key=lambda r: (r["part"], r["block"])):
+        if row["part"] < 0:
+            users[row["block"]] = row["users"]
+            sums.know(row["block"], pa.array(row["users"]))
+            continue
+        sizes = blocks._wide(row["sizes"], len(users[row["block"]]))
+        columns = blocks._thick(row["columns"], sizes.sum()).astype(np.int64)
+        sums.add(row["part"], row["block"], sizes, columns, *(blocks._wide(row[name], sizes.sum()) for name in ("weights", "counts")))
+    found = {}
+    for batch in sums.rows():
+        for row in batch.to_pylist():
+            found.setdefault(row["target"], []).append((-row["score"], row["column"]))
+    expected = {}
+    for target in {t for t, _, _ in near}:
+        total, rows_there = defaultdict(int), defaultdict(int)
+        for _, other, units in (pair for pair in near if pair[0] == target):
+            for column in range(14):
+                weight, n = has.get((other, column), (0, 0))
+                total[column] += units * weight
+                rows_there[column] += n
+        own = {c for c in range(1, 14) if (target, c) in has} if exclude_own else set()
+        expected[target] = sorted((-((2 * total[c] + n) // (2 * n)), c) for c, n in rows_there.items() if n and c not in own)[:4]
+    assert found == expected
+
+
+def test_what_users_have_passes_each_lane_once(spark, monkeypatch):
+    """Users of a block are named once, rows do not carry the pairs of a lane along, and there is no product of partitions."""
+    for name, value in zip(["GROUP_ENTRIES", "BLOCK_ENTRIES", "PARTNER_ENTRIES"], (300, 200, 1500), strict=True):
+        monkeypatch.setattr(blocks, name, value)
+    made = []
+    lanes_of = blocks.in_lanes
+    monkeypatch.setattr(blocks, "in_lanes", lambda *args: made.append(lanes_of(*args)) or made[-1])
+    draw = random.Random(3)
+    data = [(f"u{draw.randrange(50):02d}", f"p{draw.randrange(40):02d}", "view", 1) for _ in range(600)]
+    near = [(f"u{u:02d}", f"u{o:02d}", 0.5) for u in range(50) for o in draw.sample(range(50), 5)]
+    neighborhood = spark.createDataFrame(near, "user_id string, similar_user_id string, similarity_score double")
+    found = recommend.collaborative(visits(spark, *data), 3, neighborhood=neighborhood)
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    met, lanes = made[0], made[0].rdd.getNumPartitions()
+    assert lanes > 1 and met.where("side = 0").agg(F.sum(F.size("targets"))).first()[0] == len(near)
+    assert met.where("side = 1").agg(F.sum(F.size("users"))).first()[0] == 50 * lanes
+    assert met.where("side = 1 AND part >= 0 AND (users IS NOT NULL OR targets IS NOT NULL)").count() == 0
