@@ -387,7 +387,7 @@ def packed(vectors):
     steps = np.concatenate([np.diff(v[2], prepend=0) for v in vectors])
     assert (blocks._thick(blocks._thin(steps), len(columns)) == steps).all()
     of_vectors = np.array([v[0] for v in vectors]).tobytes(), blocks._narrow(np.array([v[1] for v in vectors])), blocks._narrow(np.array([len(v[2]) for v in vectors]))
-    return dict(zip(blocks._PAYLOAD, [*of_vectors, blocks._thin(steps), blocks._narrow(weights)], strict=True))
+    return dict(zip(blocks._PAYLOAD, map(blocks._press, [*of_vectors, blocks._thin(steps), blocks._narrow(weights)]), strict=True))
 
 
 @pytest.mark.parametrize("strong", [3, 100_000_000])
@@ -457,9 +457,7 @@ def test_what_neighbours_have_is_added_up_by_parts(strong, exclude_own, monkeypa
             users[row["block"]] = row["users"]
             sums.know(row["block"], pa.array(row["users"]))
             continue
-        sizes = blocks._wide(row["sizes"], len(users[row["block"]]))
-        columns = blocks._thick(row["columns"], sizes.sum()).astype(np.int64)
-        sums.add(row["part"], row["block"], sizes, columns, *(blocks._wide(row[name], sizes.sum()) for name in ("weights", "counts")))
+        sums.add(row["part"], row["block"], *blocks._parts_of(len(users[row["block"]]), *(row[name] for name in ("sizes", "columns", "weights", "counts"))))
     found = {}
     for batch in sums.rows():
         for row in batch.to_pylist():
